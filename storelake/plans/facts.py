@@ -211,7 +211,8 @@ def profit_by_sku(pos: DataFrame, erp: DataFrame, fanout: bool = True) -> DataFr
         revenue, cost, units = m["revenue"], m["cost"], F.col("_units") * F.col("_n_erp")
     else:
         revenue, units = F.col("_revenue"), F.col("_units")
-        cost = (safe_div("_cost", "_n_erp") * F.col("_n_pos")).cast("decimal(28,4)")
+        per_line = F.round(safe_div("_cost", "_n_erp").cast(SNAP), 4).cast(MONEY)
+        cost = (per_line * F.col("_n_pos")).cast("decimal(28,4)")
     profit = revenue - cost
     return joined.select(
         *keys,

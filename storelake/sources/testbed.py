@@ -215,9 +215,14 @@ def iot_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def as_json(col: str) -> Column:
+    """JSON text that keeps microseconds."""
+    return F.to_json(col, {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
+
+
 def iot_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same documents as a variant column."""
-    return iot_documents(spark, sf_dir).select(F.parse_json(F.to_json("data")).alias("data"))
+    return iot_documents(spark, sf_dir).select(F.parse_json(as_json("data")).alias("data"))
 
 
 def erp_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1 +1,71 @@
-JOB_ORACLES = {}
+"""SQL for the queries that exercise loading and streaming jobs."""
+
+from __future__ import annotations
+
+_POS = """SELECT transaction_id, store_id, store_name, store_city, store_region, cashier_id, customer_id,
+    transaction_date, transaction_time, product_sku, product_name, category, subcategory, quantity,
+    CAST(unit_price AS DOUBLE) AS unit_price, discount_pct, CAST(total_amount AS DOUBLE) AS total_amount,
+    payment_method, loyalty_points FROM pos"""
+
+_ERP = """SELECT * REPLACE (CAST(unit_cost AS DOUBLE) AS unit_cost, CAST(total_cost AS DOUBLE) AS total_cost)
+    FROM erp"""
+
+JOB_ORACLES = {
+    "scan_csv_landing": _POS,
+    "scan_parquet_by_name": f"SELECT * EXCLUDE (load_ts) FROM ({_ERP})",
+    "scan_parquet_as_variant": """SELECT order_id, category, CAST(total_cost AS DOUBLE) AS total_cost
+        FROM erp""",
+    "scan_json_array": "SELECT * FROM iot_events",
+    "scan_json_array_variant": "SELECT * FROM alerts",
+    "file_name_pattern": """SELECT transaction_id, product_sku, transaction_date, quantity FROM pos
+        WHERE transaction_date <= DATE '1998-06-30'""",
+    "load_metadata": """SELECT count(*) AS n_rows, count(*) AS n_with_file,
+        CAST(1 AS BIGINT) AS n_load_times FROM pos""",
+    "external_csv_positional": """SELECT transaction_id, store_id, store_region, transaction_date,
+        product_sku, CAST(total_amount AS DOUBLE) AS total_amount FROM pos""",
+    "external_by_name": """SELECT order_id, store_id, CAST(order_date AS DATE) AS order_date, category,
+        CAST(total_cost AS DOUBLE) AS total_cost FROM erp""",
+    "external_iot_events": """SELECT event_id, store_id, CAST(event_ts AS DATE) AS event_date
+        FROM readings""",
+    "ctas_snapshot": "SELECT * FROM f2",
+    "insert_select": """SELECT * REPLACE (
+            CASE WHEN quantity_on_hand < 10 THEN reorder_level ELSE 5 END AS reorder_level,
+            CASE WHEN quantity_on_hand >= 10 THEN last_received_date END AS last_received_date)
+        FROM inventory""",
+    "truncate_reload": """SELECT transaction_date AS date_key, store_id, product_sku, category,
+        count(*) AS total_transactions, CAST(sum(quantity
+            * CASE WHEN year(transaction_date) >= 1998 THEN 1 ELSE 2 END) AS BIGINT)
+            AS total_quantity,
+        CAST(sum(total_amount) AS DOUBLE) AS total_revenue,
+        CAST(year(transaction_date) AS INTEGER) AS year FROM pos GROUP BY ALL""",
+    "as_of_read": """SELECT order_id, product_sku, order_status, load_ts FROM erp
+        WHERE load_ts <= TIMESTAMP '1998-06-30 00:00:00'""",
+    "incremental_ingest": _POS,
+    "append_only_stream": "SELECT * FROM clean",
+    "file_ledger": """SELECT CAST(0 AS BIGINT) AS files_missing, CAST(0 AS BIGINT) AS files_twice,
+        count(*) AS rows_loaded, CAST(0 AS BIGINT) AS rows_rejected FROM pos""",
+    "load_audit": """SELECT 'pos_transactions' AS table_name, count(*) AS rows_loaded,
+        CAST(0 AS BIGINT) AS rows_rejected FROM pos""",
+    "run_if_data": "SELECT count(*) AS n_rows FROM inventory",
+    "inventory_append": "SELECT * FROM clean_stock",
+    "iot_passthrough": "SELECT * FROM iot_events",
+    "stream_insert_all": _ERP,
+    "chained_refresh": """SELECT transaction_date AS date_key, store_id, product_sku, category,
+        count(*) AS total_transactions, CAST(sum(quantity) AS BIGINT) AS total_quantity,
+        CAST(sum(total_amount) AS DOUBLE) AS total_revenue FROM clean_lines GROUP BY ALL""",
+    "merge_orders_stream": """SELECT DISTINCT ON (order_id) order_id, order_status, actual_delivery
+        FROM erp ORDER BY order_id, load_ts DESC, order_date DESC, store_id DESC, store_city DESC,
+        supplier_id DESC, supplier_name DESC, supplier_city DESC, product_sku DESC, category DESC,
+        quantity_ordered DESC, quantity_received DESC, unit_cost DESC, total_cost DESC,
+        order_status DESC""",
+    "incremental_rollup": """SELECT store_id, store_name, store_city, store_region, transaction_date,
+        CAST(round(sum(total_amount), 2) AS DOUBLE) AS revenue,
+        CAST(sum(quantity) AS BIGINT) AS units_sold, count(*) AS n_lines,
+        CAST(round(CAST(CAST(sum(total_amount) AS DOUBLE) / count(*) AS DECIMAL(38,9)), 2) AS DOUBLE)
+            AS avg_basket
+        FROM pos WHERE transaction_id IS NOT NULL AND total_amount > 0 GROUP BY ALL""",
+    "incremental_rollup_distinct": """SELECT category, store_region,
+        count(DISTINCT transaction_id) AS txns, count(DISTINCT customer_id) AS customers, true AS close
+        FROM pos WHERE transaction_id IS NOT NULL AND total_amount > 0 GROUP BY ALL""",
+    "load_clock": "SELECT count(*) AS n_injected, count(*) AS n_clock FROM inventory",
+}

@@ -1 +1,390 @@
-JOBS = {}
+"""Queries that exercise loading and streaming jobs.
+
+Each one has Spark write landing files derived from the test tables into a fresh
+folder under the shared one, runs the job over them, and returns what the job
+stored.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from storelake import schemas
+from storelake.operators import cleaning
+from storelake.plans import facts, iot
+from storelake.session import new_folder
+from storelake.sources import landing, tables, testbed
+from storelake.streaming import buffer, ingest, ledger, orders, rollup
+
+JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+# Landing drops: the lines up to this day arrive first, the later ones second.
+FIRST_DROP = "1998-06-30"
+EVENTS_PER_FILE = 5000
+CHANGES_FROM = "1998-01-01"
+
+
+class Job:
+    """Test relations as landing files, and fresh folders for what a job stores."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, name: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self.root = new_folder(spark, name)
+
+    def at(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    @property
+    def pos(self) -> DataFrame:
+        """Sales lines in the types of the landing schema."""
+        return tables.conform(testbed.pos(self.spark, self.sf_dir), schemas.pos_schema())
+
+    @property
+    def erp(self) -> DataFrame:
+        schema = schemas.erp_orders_schema().add("load_ts", "timestamp_ntz")
+        return tables.conform(testbed.erp_orders(self.spark, self.sf_dir), schema)
+
+    def drops(self, df: DataFrame, day: str) -> tuple[DataFrame, DataFrame]:
+        first = F.col(day) <= F.lit(FIRST_DROP).cast("date")
+        return df.where(first), df.where(~first)
+
+    def pos_csv(self, df: DataFrame, folder: str) -> str:
+        df.write.mode("append").options(
+            header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
+        ).csv(f"{folder}/pos")
+        return folder
+
+    def json_arrays(self) -> str:
+        """Files that hold one array of at most EVENTS_PER_FILE documents each."""
+        docs = testbed.iot_documents(self.spark, self.sf_dir)
+        number = F.col("data.event_id").cast("bigint")
+        arrays = docs.groupBy(F.floor(number / EVENTS_PER_FILE)).agg(
+            F.collect_list("data").alias("docs")
+        )
+        texts = arrays.select(testbed.as_json("docs").alias("value"))
+        texts.write.option("maxRecordsPerFile", 1).text(self.at("json"))
+        return self.at("json")
+
+    def bronze(self, df: DataFrame, name: str) -> str:
+        df.write.mode("append").parquet(self.at(name))
+        return self.at(name)
+
+
+def job(name: str):
+    def register(fn: Callable[[Job], DataFrame]):
+        JOBS[name] = lambda spark, sf_dir: fn(Job(spark, sf_dir, name))
+        return fn
+
+    return register
+
+
+# --- batch loading --------------------------------------------------------------
+
+
+@job("scan_csv_landing")
+def _(j: Job):
+    src = j.pos_csv(j.pos, j.at("landing"))
+    rows = landing.read_csv_landing(j.spark, f"{src}/pos", schemas.pos_schema(), landing.POS_FILES)
+    return rows.select(*schemas.POS_COLUMNS)
+
+
+@job("scan_parquet_by_name")
+def _(j: Job):
+    shouting = j.erp.select(*[F.col(c).alias(c.upper()) for c in schemas.ERP_ORDER_COLUMNS])
+    src = j.at("landing/erp_orders")
+    tables.write_table(shouting, src)
+    return landing.read_parquet_by_name(
+        j.spark, src, schemas.erp_orders_schema(), landing.ERP_ORDER_FILES
+    )
+
+
+@job("scan_parquet_as_variant")
+def _(j: Job):
+    tables.write_table(j.erp, j.at("landing"))
+    raw = landing.read_parquet_variant(j.spark, j.at("landing"))
+    fields = {
+        "order_id": ("order_id", "string"),
+        "category": ("category", "string"),
+        "total_cost": ("total_cost", "double"),
+    }
+    return landing.project_paths(raw, fields, variant="raw_data")
+
+
+@job("scan_json_array")
+def _(j: Job):
+    raw = landing.read_json_landing(j.spark, j.json_arrays(), schemas.iot_event_schema(), None)
+    return iot.iot_events(raw)
+
+
+@job("scan_json_array_variant")
+def _(j: Job):
+    return iot.iot_alerts(landing.read_json_variant(j.spark, j.json_arrays(), None), wide=True)
+
+
+@job("file_name_pattern")
+def _(j: Job):
+    first, second = j.drops(j.pos, "transaction_date")
+    j.pos_csv(first, j.at("landing/store=1"))
+    second.write.option("header", "true").csv(j.at("landing/store=1/returns"))
+    rows = landing.read_csv_landing(
+        j.spark, j.at("landing/store=1/*"), schemas.pos_schema(), ".*/pos/.*[.]csv"
+    )
+    return rows.select("transaction_id", "product_sku", "transaction_date", "quantity")
+
+
+@job("load_metadata")
+def _(j: Job):
+    src = j.pos_csv(j.pos, j.at("landing"))
+    rows = landing.read_csv_landing(j.spark, f"{src}/pos", schemas.pos_schema())
+    return rows.agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(F.col("source_file").rlike(landing.POS_FILES)).alias("n_with_file"),
+        F.countDistinct("load_ts").alias("n_load_times"),
+    )
+
+
+@job("external_csv_positional")
+def _(j: Job):
+    src = j.pos_csv(j.pos, j.at("landing"))
+    return landing.read_csv_positional(j.spark, f"{src}/pos", landing.EXTERNAL_POS)
+
+
+@job("external_by_name")
+def _(j: Job):
+    stored = tables.write_table(j.erp, j.at("landing"))
+    return landing.project_paths(stored, landing.EXTERNAL_ERP_ORDERS)
+
+
+@job("external_iot_events")
+def _(j: Job):
+    raw = landing.read_json_variant(j.spark, j.json_arrays(), None)
+    return landing.project_paths(raw, landing.EXTERNAL_IOT_EVENTS, variant="data")
+
+
+@job("ctas_snapshot")
+def _(j: Job):
+    report = facts.daily_sales_report(testbed.pos(j.spark, j.sf_dir))
+    return tables.write_table(report, j.at("snapshot"))
+
+
+@job("insert_select")
+def _(j: Job):
+    stock = testbed.inventory(j.spark, j.sf_dir)
+    low = F.col("quantity_on_hand") < 10
+    schema = schemas.erp_inventory_schema()
+    tables.append_table(stock.where(low).drop("last_received_date"), j.at("stock"), schema)
+    return tables.append_table(
+        stock.where(~low).drop("reorder_level"), j.at("stock"), schema, {"reorder_level": 5}
+    )
+
+
+@job("truncate_reload")
+def _(j: Job):
+    """Loads a fact by year, then reloads the later years only."""
+    sales = facts.sales_buffer(testbed.pos(j.spark, j.sf_dir)).withColumn("year", F.year("date_key"))
+    doubled = sales.withColumn("total_quantity", F.col("total_quantity") * 2)
+    tables.write_table(doubled, j.at("fact"), partition_by=["year"])
+    reload = sales.where(F.col("year") >= F.year(F.lit(FIRST_DROP)))
+    return tables.write_table(reload, j.at("fact"), partition_by=["year"])
+
+
+@job("as_of_read")
+def _(j: Job):
+    stored = tables.write_table(j.erp, j.at("orders"))
+    past = tables.as_of(stored, "load_ts", f"{FIRST_DROP} 00:00:00")
+    return past.select("order_id", "product_sku", "order_status", "load_ts")
+
+
+# --- streams --------------------------------------------------------------------
+
+
+def _ingest_pos(j: Job) -> str:
+    """Two runs of the landing stream, one drop each, and a third that finds nothing."""
+    schema = schemas.pos_schema()
+    for drop in j.drops(j.pos, "transaction_date"):
+        src = j.pos_csv(drop, j.at("landing"))
+        ingest.ingest_stream(
+            j.spark, src, "csv", schema, j.at("bronze"), j.at("ckpt"), landing.POS_FILES
+        ).awaitTermination()
+    idle = ingest.ingest_stream(
+        j.spark, src, "csv", schema, j.at("bronze"), j.at("ckpt"), landing.POS_FILES
+    )
+    idle.awaitTermination()
+    return j.at("bronze")
+
+
+@job("incremental_ingest")
+def _(j: Job):
+    return ingest.read_bronze(j.spark, _ingest_pos(j), schemas.pos_schema()).select(
+        *schemas.POS_COLUMNS
+    )
+
+
+@job("append_only_stream")
+def _(j: Job):
+    bronze = _ingest_pos(j)
+    ingest.stream_append(
+        j.spark, bronze, ingest.bronze_schema(schemas.pos_schema()), j.at("silver"),
+        j.at("silver_ckpt"), ingest.pos_to_silver,
+    ).awaitTermination()
+    return j.spark.read.parquet(j.at("silver")).drop("processed_ts")
+
+
+def _ledger(j: Job) -> DataFrame:
+    """Loads both drops, then reads all files again from a fresh checkpoint."""
+    for n, drop in enumerate([*j.drops(j.pos, "transaction_date"), None]):
+        if drop is not None:
+            j.pos_csv(drop, j.at("landing"))
+        ckpt = j.at("first") if n < 2 else j.at("second")
+        ledger.ingest_with_ledger(
+            j.spark, j.at("landing"), "csv", schemas.pos_schema(), "pos_transactions",
+            j.at("bronze"), j.at("ledger"), ckpt, landing.POS_FILES,
+        ).awaitTermination()
+    return ledger.read_ledger(j.spark, j.at("ledger"))
+
+
+@job("file_ledger")
+def _(j: Job):
+    """Files of the landing folder that the ledger lacks or counts twice: none; and all rows."""
+    rows = _ledger(j)
+    listed = landing.list_files(j.spark, j.at("landing"), landing.POS_FILES)
+    entries = rows.groupBy("source_file").agg(
+        F.count("*").alias("entries"),
+        F.sum("rows_loaded").alias("loaded"),
+        F.sum("rows_rejected").alias("rejected"),
+    )
+    return listed.join(entries, F.col("file_id") == F.col("source_file"), "full_outer").agg(
+        F.count_if(F.col("entries").isNull() & (F.col("file_bytes") > 0)).alias("files_missing"),
+        F.count_if(F.col("entries") > 1).alias("files_twice"),
+        F.sum("loaded").alias("rows_loaded"),
+        F.sum("rejected").alias("rows_rejected"),
+    )
+
+
+@job("load_audit")
+def _(j: Job):
+    audit = ledger.load_audit(_ledger(j), "2000-01-01 00:00:00")
+    return audit.select("table_name", "rows_loaded", "rows_rejected")
+
+
+@job("run_if_data")
+def _(j: Job):
+    """Rows of a table whose stream ran once with data and twice without."""
+    bronze = j.bronze(testbed.inventory(j.spark, j.sf_dir), "bronze")
+    for _run in range(3):
+        ingest.stream_append(
+            j.spark, bronze, schemas.erp_inventory_schema(), j.at("copy"), j.at("ckpt")
+        ).awaitTermination()
+    return j.spark.read.parquet(j.at("copy")).agg(F.count("*").alias("n_rows"))
+
+
+@job("inventory_append")
+def _(j: Job):
+    bronze = j.bronze(testbed.inventory(j.spark, j.sf_dir), "bronze")
+    ingest.stream_append(
+        j.spark, bronze, schemas.erp_inventory_schema(), j.at("silver"), j.at("ckpt"),
+        ingest.inventory_to_silver,
+    ).awaitTermination()
+    return j.spark.read.parquet(j.at("silver")).drop("processed_ts")
+
+
+@job("iot_passthrough")
+def _(j: Job):
+    docs = testbed.iot_documents(j.spark, j.sf_dir)
+    bronze = j.bronze(docs, "bronze")
+    ingest.stream_append(
+        j.spark, bronze, docs.schema, j.at("silver"), j.at("ckpt"), ingest.iot_to_silver
+    ).awaitTermination()
+    return iot.iot_events(j.spark.read.parquet(j.at("silver")))
+
+
+@job("stream_insert_all")
+def _(j: Job):
+    schema = j.erp.schema
+    for drop in j.drops(j.erp, "actual_delivery"):
+        bronze = j.bronze(drop, "bronze")
+        ingest.stream_append(
+            j.spark, bronze, schema, j.at("copy"), j.at("ckpt")
+        ).awaitTermination()
+    return j.spark.read.parquet(j.at("copy"))
+
+
+@job("chained_refresh")
+def _(j: Job):
+    """Two drops split by quantity, so that the second touches days of the first."""
+    few = F.col("quantity") <= 25
+    for drop in (j.pos.where(few), j.pos.where(~few)):
+        bronze = j.bronze(drop, "bronze")
+        buffer.sales_buffer_stream(
+            j.spark, bronze, schemas.pos_schema(), j.at("silver"), j.at("buffer"), j.at("ckpt"),
+            grain="quarter",
+        ).awaitTermination()
+    return j.spark.read.parquet(j.at("buffer")).drop(buffer.PERIOD)
+
+
+@job("merge_orders_stream")
+def _(j: Job):
+    """Order lines in two batches, the second one updating orders of the first."""
+    early = F.col("load_ts") < F.lit(CHANGES_FROM).cast("timestamp_ntz")
+    schema = j.erp.schema
+    for drop in (j.erp.where(early), j.erp.where(~early)):
+        bronze = j.bronze(drop, "bronze")
+        orders.orders_stream(
+            j.spark, bronze, schema, j.at("orders"), j.at("ckpt"), compact_every=2
+        ).awaitTermination()
+    current = orders.read_orders(j.spark, j.at("orders"), schema)
+    return current.select("order_id", "order_status", "actual_delivery")
+
+
+@job("incremental_rollup")
+def _(j: Job):
+    """Exact columns of a store-day rollup built from two batches."""
+    lines = testbed.pos(j.spark, j.sf_dir)
+    few = F.col("quantity") <= 25
+    for drop in (lines.where(few), lines.where(~few)):
+        bronze = j.bronze(drop, "bronze")
+        rollup.maintain_rollup(
+            j.spark, bronze, lines.schema, rollup.STORE_DAY, j.at("rollup"), j.at("ckpt"),
+            compact_every=2,
+        ).awaitTermination()
+    kept = rollup.read_rollup(j.spark, j.at("rollup"), lines.schema, rollup.STORE_DAY)
+    return kept.drop("approx_txns", "approx_customers")
+
+
+@job("incremental_rollup_distinct")
+def _(j: Job):
+    """How far the distinct-count estimates are from the exact counts: within five percent."""
+    lines = testbed.pos(j.spark, j.sf_dir)
+    bronze = j.bronze(lines, "bronze")
+    keys = rollup.CATEGORY_REGION
+    rollup.maintain_rollup(
+        j.spark, bronze, lines.schema, keys, j.at("rollup"), j.at("ckpt")
+    ).awaitTermination()
+    kept = rollup.read_rollup(j.spark, j.at("rollup"), lines.schema, keys)
+    exact = facts.sales_lines(lines).groupBy(*keys).agg(
+        F.countDistinct("transaction_id").alias("txns"),
+        F.countDistinct("customer_id").alias("customers"),
+    )
+
+    def close(estimate: str, count: str):
+        return F.abs(F.col(estimate) - F.col(count)) <= F.col(count) * 0.05
+
+    return kept.join(exact, keys).select(
+        *keys, "txns", "customers",
+        (close("approx_txns", "txns") & close("approx_customers", "customers")).alias("close"),
+    )
+
+
+@job("load_clock")
+def _(j: Job):
+    """Rows stamped with an injected time, and with the clock."""
+    at = "2024-01-01 00:00:00"
+    rows = cleaning.stamp(testbed.inventory(j.spark, j.sf_dir), at=at)
+    rows = cleaning.stamp(rows, name="clock_ts")
+    return rows.agg(
+        F.count_if(F.col("processed_ts") == F.lit(at).cast("timestamp_ntz")).alias("n_injected"),
+        F.count_if(F.col("clock_ts") > F.col("processed_ts")).alias("n_clock"),
+    )

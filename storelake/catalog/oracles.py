@@ -228,6 +228,10 @@ RELATIONS = {
         coalesce(discount_pct, 0) AS discount_pct, CAST(total_amount AS DOUBLE) AS total_amount,
         upper(trim(payment_method)) AS payment_method, coalesce(loyalty_points, 0) AS loyalty_points
         FROM pos WHERE transaction_id IS NOT NULL AND total_amount > 0""",
+    "clean_lines": """SELECT transaction_date, store_id, product_sku, total_amount,
+        upper(left(category, 1)) || lower(substr(category, 2)) AS category,
+        greatest(quantity, 0) AS quantity
+        FROM pos WHERE transaction_id IS NOT NULL AND total_amount > 0""",
     "clean_stock": """SELECT snapshot_date, store_id, warehouse_id, product_sku, category,
         CASE WHEN quantity_on_hand < 0 THEN 0 ELSE quantity_on_hand END AS quantity_on_hand,
         reorder_level, max_stock_level, last_received_date FROM inventory""",

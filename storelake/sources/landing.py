@@ -11,8 +11,6 @@ from storelake.functions.variants import Paths, variant_fields
 from storelake.sources.tables import conform
 
 CORRUPT = "_corrupt_record"
-# Every column is parsed in every query, so that which lines count as malformed
-# does not depend on the columns a query selects.
 CSV_OPTIONS = {
     "header": "true",
     "quote": '"',
@@ -44,6 +42,16 @@ def with_corrupt_column(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
 
 
+def _parse_whole(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """All rows, by a condition that always holds and needs every column.
+
+    The text readers convert only the columns a query selects, and a bad value in
+    any other column goes unnoticed. Here every column is converted, so that which
+    rows are malformed is the same in every query.
+    """
+    return df.where(F.pmod(F.xxhash64(*schema.names), F.lit(2)) < 2)
+
+
 def read_csv_landing(
     spark: SparkSession,
     path: str,
@@ -63,7 +71,7 @@ def read_csv_landing(
     df = spark.read.schema(schema).options(**CSV_OPTIONS, mode=mode).csv(path)
     if pattern:
         df = filter_files(df, pattern)
-    return with_load_metadata(df)
+    return with_load_metadata(_parse_whole(df, schema))
 
 
 def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -73,26 +81,37 @@ def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return loaded, rejected
 
 
+def _read_parquet(spark: SparkSession, path: str, pattern: str | None, skip_corrupt: bool) -> DataFrame:
+    """Parquet files of possibly different columns, under the union of their columns."""
+    reader = spark.read.option("mergeSchema", "true")
+    df = reader.option("ignoreCorruptFiles", str(skip_corrupt).lower()).parquet(path)
+    return filter_files(df, pattern) if pattern else df
+
+
 def read_parquet_by_name(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
     pattern: str | None = None,
     on_error: str = "CONTINUE",
+    uniform: bool = False,
 ) -> DataFrame:
-    """Parquet columns matched by name ignoring case; unreadable files are skipped."""
-    skip = "true" if on_error == "CONTINUE" else "false"
-    df = spark.read.option("ignoreCorruptFiles", skip).parquet(path)
-    if pattern:
-        df = filter_files(df, pattern)
-    return conform(df, schema)
+    """Parquet columns matched by name ignoring case; unreadable files are skipped.
+
+    The columns and types come from all files' footers, and are cast. ``uniform``
+    promises that the files hold the types of ``schema``; their footers are then
+    not read beforehand, which matters for folders of very many files.
+    """
+    skip = on_error == "CONTINUE"
+    if uniform:
+        df = spark.read.schema(schema).option("ignoreCorruptFiles", str(skip).lower()).parquet(path)
+        return filter_files(df, pattern) if pattern else df
+    return conform(_read_parquet(spark, path, pattern, skip), schema)
 
 
 def read_parquet_variant(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """Every Parquet row as one variant column ``raw_data``."""
-    df = spark.read.option("ignoreCorruptFiles", "true").parquet(path)
-    if pattern:
-        df = filter_files(df, pattern)
+    """Every Parquet row as one variant column ``raw_data``, whatever its columns."""
+    df = _read_parquet(spark, path, pattern, skip_corrupt=True)
     return df.select(F.to_variant_object(F.struct(*df.columns)).alias("raw_data"))
 
 
@@ -110,7 +129,7 @@ def read_json_landing(
     )
     if pattern:
         df = filter_files(df, pattern)
-    df = with_load_metadata(df)
+    df = with_load_metadata(_parse_whole(df, schema))
     return df.select(F.struct(*schema.names).alias("data"), "load_ts", "source_file")
 
 

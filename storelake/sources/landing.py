@@ -143,7 +143,7 @@ def read_json_variant(spark: SparkSession, path: str, pattern: str | None = JSON
 
 
 def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """Files of a landing folder, empty ones too. Contents are not read."""
+    """Files of a landing folder, but for those of zero bytes. Contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     if pattern:
         files = files.where(F.col("path").rlike(f"^(?:{pattern})$"))

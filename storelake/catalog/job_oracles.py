@@ -25,8 +25,10 @@ JOB_ORACLES = {
         product_sku, CAST(total_amount AS DOUBLE) AS total_amount FROM pos""",
     "external_by_name": """SELECT order_id, store_id, CAST(order_date AS DATE) AS order_date, category,
         CAST(total_cost AS DOUBLE) AS total_cost FROM erp""",
-    "external_iot_events": """SELECT event_id, store_id, CAST(event_ts AS DATE) AS event_date
-        FROM readings""",
+    "external_iot_events": """SELECT r.event_id, r.store_id, CAST(event_ts AS DATE) AS event_date,
+        alert_type FROM readings r LEFT JOIN alerts a ON r.event_id = a.event_id""",
+    "external_inventory_by_name": """SELECT store_id, product_sku, snapshot_date, quantity_on_hand
+        FROM inventory""",
     "ctas_snapshot": "SELECT * FROM f2",
     "insert_select": """SELECT * REPLACE (
             CASE WHEN quantity_on_hand < 10 THEN reorder_level ELSE 5 END AS reorder_level,

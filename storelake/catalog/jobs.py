@@ -161,7 +161,13 @@ def _(j: Job):
 @job("external_iot_events")
 def _(j: Job):
     raw = landing.read_json_variant(j.spark, j.json_arrays(), None)
-    return landing.project_paths(raw, landing.EXTERNAL_IOT_EVENTS, variant="data")
+    return iot.external_events(raw)
+
+
+@job("external_inventory_by_name")
+def _(j: Job):
+    stored = tables.write_table(testbed.inventory(j.spark, j.sf_dir), j.at("landing"))
+    return landing.project_paths(stored, landing.EXTERNAL_ERP_INVENTORY)
 
 
 @job("ctas_snapshot")

@@ -632,6 +632,7 @@ def _(x: Layers):
 @query("layer_row_counts")
 def _(x: Layers):
     f1, f4, f7 = x.f1, x.f4, x.f7
+    # The labels of the report.
     return cleaning.layer_row_counts(
         {
             "dim  : dim_store": dims.dim_store(x.pos),

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from storelake.functions.numeric import ColumnOrName, as_col
 
 
+def instant(at: dt.datetime | dt.date | str) -> Column:
+    """Literal point in time, free of any time zone."""
+    return F.lit(str(at)).cast("timestamp_ntz")
+
+
 def as_date(c: ColumnOrName) -> Column:
     return as_col(c).cast("date")
 

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from storelake.functions.dates import instant
 from storelake.functions.scalars import clamp_min, default_to, normalize_code, title_case
 from storelake.schemas import INVENTORY_COLUMNS, POS_COLUMNS
 
@@ -34,10 +35,12 @@ def clean_inventory(df: DataFrame) -> DataFrame:
     )
 
 
-def stamp(df: DataFrame, name: str = "processed_ts", at: dt.datetime | None = None) -> DataFrame:
+def stamp(
+    df: DataFrame, name: str = "processed_ts", at: dt.datetime | str | None = None
+) -> DataFrame:
     """Processing time; injected by tests, the clock otherwise."""
-    now = F.current_timestamp() if at is None else F.lit(at)
-    return df.withColumn(name, now.cast("timestamp_ntz"))
+    now = F.current_timestamp().cast("timestamp_ntz") if at is None else instant(at)
+    return df.withColumn(name, now)
 
 
 def between(df: DataFrame, col: str, lo: str, hi: str) -> DataFrame:
@@ -49,7 +52,7 @@ def recent_rows(
 ) -> DataFrame:
     """The newest n rows of the last minutes, for a look at a running feed."""
     since = at - dt.timedelta(minutes=minutes)
-    recent = df.where(F.col(ts) >= F.lit(since).cast("timestamp_ntz"))
+    recent = df.where(F.col(ts) >= instant(since))
     return recent.orderBy(F.col(ts).desc(), *order).limit(n)
 
 

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from storelake.functions.dates import instant
+
 # What an order update may change.
 ORDER_KEYS = ["order_id"]
 ORDER_UPDATES = ["order_status", "quantity_received", "actual_delivery", "is_late"]
@@ -39,35 +41,54 @@ def merge_upsert(
     update_cols: list[str],
     latest_by: list[str],
     touch: str | None = None,
-    at: dt.datetime | Column | None = None,
+    at: dt.datetime | str | None = None,
+    small_source: bool = False,
 ) -> DataFrame:
     """Target after a merge: matched rows take ``update_cols``, the rest is inserted.
 
-    Both sides have one row per key, so the one shuffle on the key has no hot
-    partition. Rows with a NULL key match nothing; all of them are inserted.
-    ``touch`` names a column that gets ``at`` on each updated or inserted row.
+    Rows with a NULL key match nothing; all of them are inserted. ``touch`` names
+    a column that gets ``at``, or the clock, on each updated or inserted row.
+
+    Both sides have one row per key, so a shuffle by key has no hot partition. By
+    default one full outer join does all the work. ``small_source`` is for a stored
+    target that is far larger than the changes: it scans the target twice, the
+    second time its keys only, and if the changes are below Spark's broadcast
+    threshold the target is not shuffled at all.
     """
+    now = F.current_timestamp().cast("timestamp_ntz") if at is None else instant(at)
     columns = target.columns
     data = [c for c in columns if c != touch]
-    keyed = source.where(all_present(keys))
-    newest = latest_per_key(keyed, keys, latest_by).select(
+    newest = latest_per_key(source.where(all_present(keys)), keys, latest_by).select(
         *[F.col(c).alias(f"_s_{c}") for c in data], F.lit(True).alias("_in_source")
     )
-    old = target.withColumn("_in_target", F.lit(True))
     on = [F.col(k) == F.col(f"_s_{k}") for k in keys]
-    both = old.join(newest, on, "full_outer")
-    in_source, in_target = F.col("_in_source").isNotNull(), F.col("_in_target").isNotNull()
+    in_source = F.col("_in_source").isNotNull()
 
-    def merged(c: str) -> Column:
+    def updated(c: str) -> Column:
+        if c == touch:
+            return F.when(in_source, now).otherwise(F.col(c)).alias(c)
         if c in update_cols:
-            return F.when(in_source, F.col(f"_s_{c}")).otherwise(F.col(c))
-        return F.when(in_target, F.col(c)).otherwise(F.col(f"_s_{c}"))
+            return F.when(in_source, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c)
+        return F.col(c)
+
+    def inserted(c: str) -> Column:
+        return (now if c == touch else F.col(f"_s_{c}")).alias(c)
+
+    if small_source:
+        known = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
+        is_known = [F.col(f"_t_{k}") == F.col(f"_s_{k}") for k in keys]
+        met = known.join(newest.select(*[f"_s_{k}" for k in keys]), is_known, "left_semi")
+        fresh = newest.join(met, is_known, "left_anti")
+        merged = target.join(newest, on, "left").select(*[updated(c) for c in columns])
+        merged = merged.unionByName(fresh.select(*[inserted(c) for c in columns]))
+    else:
+        in_target = F.col("_in_target").isNotNull()
+        both = target.withColumn("_in_target", F.lit(True)).join(newest, on, "full_outer")
+        merged = both.select(
+            *[F.when(in_target, updated(c)).otherwise(inserted(c)).alias(c) for c in columns]
+        )
 
     unkeyed = source.where(~all_present(keys)).select(*data)
     if touch:
-        now = (F.current_timestamp() if at is None else at if isinstance(at, Column) else F.lit(at))
-        now = now.cast("timestamp_ntz")
-        stamp = F.when(in_source, now).otherwise(F.col(touch)).alias(touch)
         unkeyed = unkeyed.withColumn(touch, now)
-    out = both.select(*[stamp if c == touch else merged(c).alias(c) for c in columns])
-    return out.unionByName(unkeyed.select(*columns))
+    return merged.unionByName(unkeyed.select(*columns))

@@ -63,6 +63,16 @@ def iot_alerts(raw: DataFrame, wide: bool = False) -> DataFrame:
     )
 
 
+def external_events(raw: DataFrame) -> DataFrame:
+    """Date and alert type per event: one row per alert, or one with none."""
+    return raw.select(
+        variant_path("data", "event_id", "string").alias("event_id"),
+        variant_path("data", "store_id", "string").alias("store_id"),
+        variant_path("data", "timestamp", "date").alias("event_date"),
+        F.explode_outer(variant_path("data", "alerts", ALERT_ARRAY)).alias("alert"),
+    ).select("event_id", "store_id", "event_date", F.col("alert.alert_type").alias("alert_type"))
+
+
 def explode_object(df: DataFrame, col: str, keep: list[str] | None = None) -> DataFrame:
     """One row per top-level field of a variant object, its value as a variant."""
     fields = df.lateralJoin(df.sparkSession.tvf.variant_explode(F.col(col).outer()))

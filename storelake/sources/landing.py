@@ -121,7 +121,10 @@ def read_json_landing(
     schema: T.StructType,
     pattern: str | None = JSON_FILES,
 ) -> DataFrame:
-    """One row per element of the array each JSON file holds, as struct ``data``."""
+    """One row per element of the array each JSON file holds, as struct ``data``.
+
+    One task parses a file as a whole: land many files of moderate size.
+    """
     df = (
         spark.read.schema(schema)
         .options(multiLine="true", mode="DROPMALFORMED")
@@ -196,8 +199,3 @@ EXTERNAL_ERP_INVENTORY = {
     "snapshot_date": ("snapshot_date", "date"),
     "quantity_on_hand": ("quantity_on_hand", "int"),
 }
-EXTERNAL_IOT_EVENTS = {
-    "event_id": ("event_id", "string"),
-    "store_id": ("store_id", "string"),
-    "event_date": ("timestamp", "date"),
-}

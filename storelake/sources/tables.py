@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from storelake.functions import dates
+
 
 def write_table(
     df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None
@@ -54,7 +56,7 @@ def append_table(
 
 def as_of(df: DataFrame, ts_col: str, instant: dt.datetime | str) -> DataFrame:
     """An append-only table as it stood at ``instant``, by its load time."""
-    return df.where(F.col(ts_col) <= F.lit(instant).cast("timestamp_ntz"))
+    return df.where(F.col(ts_col) <= dates.instant(instant))
 
 
 def number_rows(spark: SparkSession, n: int, name: str = "row_id") -> DataFrame:

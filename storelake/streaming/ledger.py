@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from storelake.functions.dates import instant
 from storelake.operators.merge import merge_upsert
 from storelake.sources.batches import BATCH, path_exists, write_batch
 from storelake.streaming.ingest import REJECTED, each_batch, open_landing
@@ -103,9 +104,9 @@ def load_audit(
     ledger: DataFrame, since: dt.datetime | str, until: dt.datetime | str | None = None
 ) -> DataFrame:
     """Files and rows per table loaded in a window of time."""
-    window = F.col("loaded_at") >= F.lit(since).cast("timestamp_ntz")
+    window = F.col("loaded_at") >= instant(since)
     if until is not None:
-        window = window & (F.col("loaded_at") <= F.lit(until).cast("timestamp_ntz"))
+        window = window & (F.col("loaded_at") <= instant(until))
     return (
         ledger.where(window)
         .groupBy("table_name")

@@ -62,7 +62,9 @@ def read_orders(spark: SparkSession, root: str, schema: T.StructType) -> DataFra
     if version < 0:
         return folded
     base = spark.read.schema(schema).parquet(f"{root}/base/v={version}")
-    return merge_upsert(base, folded, ORDER_KEYS, [*ORDER_UPDATES, *LATEST_BY], LATEST_BY)
+    return merge_upsert(
+        base, folded, ORDER_KEYS, [*ORDER_UPDATES, *LATEST_BY], LATEST_BY, small_source=True
+    )
 
 
 def compact(spark: SparkSession, root: str, schema: T.StructType, version: int) -> None:

@@ -97,7 +97,8 @@ def test_device_last_seen_counts_low_readings(spark, rows):
 ORDER = "order_id string, quantity_ordered int, order_status string, load_ts int, processed_ts timestamp_ntz"
 
 
-def test_merge_upsert(spark, rows):
+@pytest.mark.parametrize("small_source", [False, True])
+def test_merge_upsert(spark, rows, small_source):
     old, new = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
     target = spark.createDataFrame(
         [("a", 1, "open", 1, old), ("b", 2, "open", 1, old), (None, 9, "open", 1, old)], ORDER
@@ -110,7 +111,8 @@ def test_merge_upsert(spark, rows):
         ORDER,
     ).drop("processed_ts")
     got = merge.merge_upsert(
-        target, source, ["order_id"], ["order_status"], ["load_ts"], touch="processed_ts", at=new
+        target, source, ["order_id"], ["order_status"], ["load_ts"], touch="processed_ts", at=new,
+        small_source=small_source,
     )
     assert got.columns == target.columns
     assert rows(got, "order_id", "quantity_ordered", "order_status", "processed_ts") == [

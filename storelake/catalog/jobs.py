@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from storelake import schemas
 from storelake.operators import cleaning
-from storelake.plans import facts, iot
+from storelake.plans import analytics, facts, gold, iot, rollups
 from storelake.session import new_folder
 from storelake.sources import landing, tables, testbed
 from storelake.streaming import buffer, ingest, ledger, orders, rollup
@@ -326,9 +326,9 @@ def _(j: Job):
         bronze = j.bronze(drop, "bronze")
         buffer.sales_buffer_stream(
             j.spark, bronze, schemas.pos_schema(), j.at("silver"), j.at("buffer"), j.at("ckpt"),
-            grain="quarter",
+            grain="year",
         ).awaitTermination()
-    return j.spark.read.parquet(j.at("buffer")).drop(buffer.PERIOD)
+    return j.spark.read.parquet(j.at("buffer")).drop(tables.PERIOD)
 
 
 @job("merge_orders_stream")
@@ -384,6 +384,27 @@ def _(j: Job):
     )
 
 
+@job("gold_tables")
+def _(j: Job):
+    """Row counts of all gold tables, built from the sources and then read as stored."""
+    stored = gold.build_gold(
+        testbed.pos(j.spark, j.sf_dir),
+        testbed.erp_orders(j.spark, j.sf_dir),
+        testbed.iot_readings(j.spark, j.sf_dir),
+        j.at("gold"),
+        grain="year",
+    )
+    return cleaning.layer_row_counts(gold.labelled(stored))
+
+
+@job("gold_store_q4")
+def _(j: Job):
+    """A quarter of the stored store-days, from the partitions of that year only."""
+    days = rollups.store_daily(facts.fct_daily_sales(testbed.pos(j.spark, j.sf_dir)))
+    stored = gold.store_by_period(days, j.at("store_days"), "report_date", "year")
+    return analytics.store_period(stored, "1998-10-01", "1998-12-31")
+
+
 @job("load_clock")
 def _(j: Job):
     """Rows stamped with an injected time, and with the clock."""

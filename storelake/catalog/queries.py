@@ -13,7 +13,7 @@ from storelake.catalog.jobs import JOBS
 from storelake.functions import bands, dates, numeric, scalars
 from storelake.operators import aggregates as agg
 from storelake.operators import changes, cleaning, merge, ordering, quality, scd
-from storelake.plans import analytics, dims, facts, iot, rollups
+from storelake.plans import analytics, dims, facts, gold, iot, rollups
 from storelake.sources import tables, testbed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -632,21 +632,22 @@ def _(x: Layers):
 @query("layer_row_counts")
 def _(x: Layers):
     f1, f4, f7 = x.f1, x.f4, x.f7
-    # The labels of the report.
     return cleaning.layer_row_counts(
-        {
-            "dim  : dim_store": dims.dim_store(x.pos),
-            "dim  : dim_product": dims.dim_product(x.pos),
-            "dim  : dim_date": x.calendar,
-            "dim  : dim_supplier": dims.dim_supplier(x.erp),
-            "fact : fct_daily_sales": f1,
-            "fact : fct_gross_margin": f4,
-            "fact : fct_store_iot_daily": f7,
-            "fact : fct_sales_vs_iot": iot.sales_vs_iot(f1, f7),
-            "mv   : mv_store_revenue": rollups.store_daily(f1),
-            "mv   : mv_category_revenue": rollups.category_region(f1),
-            "mv   : mv_margin_summary": rollups.margin_store(f4),
-        }
+        gold.labelled(
+            {
+                "dim_store": dims.dim_store(x.pos),
+                "dim_product": dims.dim_product(x.pos),
+                "dim_date": x.calendar,
+                "dim_supplier": dims.dim_supplier(x.erp),
+                "fct_daily_sales": f1,
+                "fct_gross_margin": f4,
+                "fct_store_iot_daily": f7,
+                "fct_sales_vs_iot": iot.sales_vs_iot(f1, f7),
+                "mv_store_revenue": rollups.store_daily(f1),
+                "mv_category_revenue": rollups.category_region(f1),
+                "mv_margin_summary": rollups.margin_store(f4),
+            }
+        )
     )
 
 

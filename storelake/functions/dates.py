@@ -57,6 +57,11 @@ def shift_date(c: ColumnOrName, n: ColumnOrName | int, unit: str = "day") -> Col
     raise ValueError(f"unit {unit!r}")
 
 
+def period_start(c: ColumnOrName, grain: str) -> Column:
+    """First day of the day, month, quarter or year: the partition a dated row is stored in."""
+    return as_col(c) if grain == "day" else F.trunc(as_col(c), grain)
+
+
 def days_between(start: ColumnOrName, end: ColumnOrName) -> Column:
     return F.datediff(as_col(end), as_col(start))
 

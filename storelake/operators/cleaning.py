@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from storelake.functions.dates import instant
 from storelake.functions.scalars import clamp_min, default_to, normalize_code, title_case
 from storelake.schemas import INVENTORY_COLUMNS, POS_COLUMNS
+from storelake.sources.tables import PERIOD
 
 
 def clean_pos(df: DataFrame) -> DataFrame:
@@ -44,7 +45,12 @@ def stamp(
 
 
 def between(df: DataFrame, col: str, lo: str, hi: str) -> DataFrame:
-    return df.where(F.col(col).between(F.lit(lo).cast("date"), F.lit(hi).cast("date")))
+    """Closed date range. Of a table stored by period only the periods in range are read."""
+    first, last = F.lit(lo).cast("date"), F.lit(hi).cast("date")
+    if PERIOD in df.columns:
+        # The longest period is a year, so one that holds `lo` starts at most a year before.
+        df = df.where(F.col(PERIOD).between(F.trunc(first, "year"), last))
+    return df.where(F.col(col).between(first, last))
 
 
 def recent_rows(

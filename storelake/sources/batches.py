@@ -61,3 +61,17 @@ def newest_base(spark: SparkSession, root: str) -> int:
         if name.startswith("v=") and path_exists(spark, f"{root}/{name}/_SUCCESS"):
             versions.append(int(name[2:]))
     return max(versions)
+
+
+def drop_batches(spark: SparkSession, root: str, upto: int) -> int:
+    """Deletes the folders of batches that a base of version ``upto`` has taken in.
+
+    Call it when no reader still works from an older base. Returns how many went.
+    """
+    fs, where = _files(spark, root)
+    dropped = 0
+    for entry in fs.listStatus(where):
+        name = entry.getPath().getName()
+        if name.startswith(f"{BATCH}=") and int(name.removeprefix(f"{BATCH}=")) <= upto:
+            dropped += bool(fs.delete(entry.getPath(), True))
+    return dropped

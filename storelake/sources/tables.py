@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from storelake.functions import dates
 
+PERIOD = "period"  # partition column of dated tables: first day of the period
+
 
 def write_table(
     df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None

@@ -2,24 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from storelake.functions.dates import period_start
 from storelake.plans.facts import sales_buffer
 from storelake.sources.batches import BATCH, write_batch
-from storelake.sources.tables import write_table
+from storelake.sources.tables import PERIOD, write_table
 from storelake.streaming.ingest import each_batch, pos_to_silver
 
-PERIOD = "period"
-
-
-def period_of(date_col: str, grain: str) -> Column:
-    """Start of the day, month or quarter: the partition a row is stored in."""
-    return F.col(date_col) if grain == "day" else F.trunc(date_col, grain)
-
-
 def touched_periods(silver: DataFrame, batch_id: int) -> DataFrame:
     """All silver rows of the periods that occur in one batch.
 
@@ -45,7 +38,7 @@ def refresh_buffer(
     stored = spark.read.schema(T.StructType(fields)).parquet(silver)
     fresh = sales_buffer(touched_periods(stored, batch_id))
     write_table(
-        fresh.withColumn(PERIOD, period_of("date_key", grain)), buffer, partition_by=[PERIOD]
+        fresh.withColumn(PERIOD, period_start("date_key", grain)), buffer, partition_by=[PERIOD]
     )
 
 
@@ -70,7 +63,7 @@ def sales_buffer_stream(
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        cleaned = pos_to_silver(batch).withColumn(PERIOD, period_of("transaction_date", grain))
+        cleaned = pos_to_silver(batch).withColumn(PERIOD, period_start("transaction_date", grain))
         write_batch(cleaned, silver, batch_id, partition_by=[PERIOD])
         refresh_buffer(batch.sparkSession, silver, cleaned.schema, buffer, batch_id, grain)
 

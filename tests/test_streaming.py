@@ -155,6 +155,14 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     assert batches.read_batches(spark, str(tmp_path / "none"), schema).count() == 0
 
 
+def test_folded_batches_can_go(spark, tmp_path):
+    root, schema = str(tmp_path / "t"), spark.range(1).schema
+    for n in range(12):
+        batches.write_batch(spark.range(n + 1), root, n)
+    assert batches.drop_batches(spark, root, 9) == 10
+    assert batches.read_batches(spark, root, schema).count() == 11 + 12
+
+
 def _sales(spark, n):
     """A third of the lines belong to one store and day."""
     hot = F.col("id") % 3 == 0

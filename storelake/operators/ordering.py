@@ -21,29 +21,38 @@ def stage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def _slices(df: DataFrame, order: list[Column]) -> DataFrame:
+    """Rows sorted by range, with their slice and their place ``_row`` in the order.
+
+    The sorted slices are checkpointed: counting and numbering must see the same
+    slices, also after a retry.
+    """
+    sorted_rows = stage(df.repartitionByRange(*order).sortWithinPartitions(*order))
+    tagged = sorted_rows.withColumn("_row", F.monotonically_increasing_id())
+    return tagged.withColumn("_slice", F.shiftright("_row", _SLICE_BITS))
+
+
+def _with_rows_before_slice(slices: DataFrame, weight: Column) -> DataFrame:
+    """Adds ``_before``: the weight of all earlier slices.
+
+    The weights are one row per slice, so they are the one thing here that may
+    pass through a single task or be broadcast.
+    """
+    weights = slices.groupBy(F.col("_slice").alias("_of")).agg(weight.alias("_w"))
+    earlier = Window.orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    before = weights.select("_of", F.coalesce(F.sum("_w").over(earlier), F.lit(0)).alias("_before"))
+    return slices.join(F.broadcast(before), F.col("_slice") == F.col("_of")).drop("_of")
+
+
 def global_positions(df: DataFrame, order: list[Column], name: str = "position") -> DataFrame:
     """Adds the 1-based position of every row in ``order``.
 
     ``order`` should end in columns that break ties; rows equal in all of them
-    get neighbouring positions in no set order. The sorted slices are
-    checkpointed: the slice numbers used for counting and for numbering must be
-    the same, also after a retry. The slice counts are one row per slice, so
-    they are the one thing here that may pass through a single task or be
-    broadcast.
+    get neighbouring positions in no set order.
     """
-    columns = df.columns
-    slices = stage(df.repartitionByRange(*order).sortWithinPartitions(*order))
-    tagged = slices.withColumn("_row", F.monotonically_increasing_id())
-    tagged = tagged.withColumn("_slice", F.shiftright("_row", _SLICE_BITS))
-    counts = tagged.groupBy("_slice").agg(F.count("*").alias("_n"))
-    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select(
-        F.col("_slice").alias("_of"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
-    )
+    placed = _with_rows_before_slice(_slices(df, order), F.count("*"))
     in_slice = F.col("_row").bitwiseAND(F.lit((1 << _SLICE_BITS) - 1))
-    return tagged.join(F.broadcast(before), F.col("_slice") == F.col("_of")).select(
-        *columns, (F.col("_before") + in_slice + 1).alias(name)
-    )
+    return placed.select(*df.columns, (F.col("_before") + in_slice + 1).alias(name))
 
 
 def ntile_global(df: DataFrame, order: list[Column], n: int, name: str = "tile") -> DataFrame:
@@ -60,31 +69,70 @@ def ntile_global(df: DataFrame, order: list[Column], n: int, name: str = "tile")
     return placed.withColumn("_total", total).select(*df.columns, (tile + 1).cast("int").alias(name))
 
 
+# Up to this many order values of one part, a window over them is cheaper than slices.
+WINDOW_ROWS = 1_000_000
+
+
 def rank_within(
-    df: DataFrame, part: list[str], order: str, name: str = "rank", descending: bool = True
+    df: DataFrame,
+    part: list[str],
+    order: str,
+    name: str = "rank",
+    descending: bool = True,
+    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """Rank with gaps by ``order`` inside each ``part``, NULLs first when descending.
 
-    A rank is one plus the number of rows that sort before. The rows are first
-    counted per order value, with a partial count before the shuffle, so the
-    window sees one row per distinct value and a hot part costs no more than the
-    values it holds.
+    A rank is one plus the number of rows of the part that sort before. Rows are
+    first counted per order value, with a partial count before the shuffle, so
+    what is ranked is values, not rows. If no part holds more than
+    ``window_rows`` values, a window adds up the counts; else they are added up
+    along slices of the order, and no part is gathered in one task.
+
+    ``df`` is read more than once and should be a stored or staged relation.
     """
     key, value = [f"_k{i}" for i in range(len(part))], "_v"
+    named = [F.col(p).alias(k) for p, k in zip(part, key, strict=True)]
     counted = (
-        df.select(*[F.col(p).alias(k) for p, k in zip(part, key, strict=True)], F.col(order).alias(value))
-        .groupBy(*key, value)
-        .agg(F.count("*").alias("_n"))
+        df.select(*named, F.col(order).alias(value)).groupBy(*key, value).agg(F.count("*").alias("_n"))
     )
     direction = F.col(value).desc_nulls_first() if descending else F.col(value).asc_nulls_last()
-    ahead = Window.partitionBy(*key).orderBy(direction).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = counted.select(
-        *key, value, (F.coalesce(F.sum("_n").over(ahead), F.lit(0)) + 1).cast("int").alias(name)
+    sizes = counted.groupBy(*key).agg(F.count("*").alias("_values"))
+    largest = sizes.agg(F.max("_values").alias("n")).first()["n"] or 0
+    if largest <= window_rows:
+        w = Window.partitionBy(*key).orderBy(direction)
+        earlier = w.rowsBetween(Window.unboundedPreceding, -1)
+        ahead = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    else:
+        counted = _rows_ahead(counted, key, direction)
+        ahead = F.col("_ahead")
+    ranks = counted.select(*key, value, (ahead + 1).cast("int").alias(name))
+    return df.join(ranks, _same([*part, order], [*key, value])).select(*df.columns, name)
+
+
+def _rows_ahead(counted: DataFrame, key: list[str], direction: Column) -> DataFrame:
+    """Adds ``_ahead``: the rows of the same key that sort before, from the counts ``_n``."""
+    slices = _slices(counted, [*[F.col(k).asc_nulls_first() for k in key], direction])
+    earlier = Window.partitionBy("_slice").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("_before") + F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    placed = _with_rows_before_slice(slices, F.sum("_n")).select(
+        *counted.columns, before.alias("_all_ahead")
+    )
+    # What sorts before the first value of a key belongs to other keys.
+    other = [f"_f{k}" for k in key]
+    first = placed.groupBy(*[F.col(k).alias(o) for k, o in zip(key, other, strict=True)]).agg(
+        F.min("_all_ahead").alias("_first")
     )
-    same = F.col(order).eqNullSafe(F.col(value))
-    for p, k in zip(part, key, strict=True):
-        same = same & F.col(p).eqNullSafe(F.col(k))
-    return df.join(ranks, same).select(*df.columns, name)
+    ahead = (F.col("_all_ahead") - F.col("_first")).alias("_ahead")
+    return placed.join(first, _same(key, other)).select(*counted.columns, ahead)
+
+
+def _same(left: list[str], right: list[str]) -> Column:
+    """Null-safe equality of two lists of columns."""
+    out = F.lit(True)
+    for a, b in zip(left, right, strict=True):
+        out = out & F.col(a).eqNullSafe(F.col(b))
+    return out
 
 
 def rank_rows(df: DataFrame, order: str, name: str = "rank") -> DataFrame:

@@ -10,7 +10,6 @@ from storelake.functions.numeric import (
     SNAP,
     exact_sum,
     mean,
-    money,
     percent,
     ratio,
     round_dec,

@@ -13,6 +13,8 @@ RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # What adaptive execution merges small and splits large shuffle partitions to.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Split a hot key's partition even where that costs one more exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",

@@ -42,11 +42,14 @@ def test_ntile_equals_window(spark, n, tiles):
     assert got.where("tile <> expected").count() == 0
 
 
-def test_rank_equals_window_with_ties_and_nulls(spark):
+@pytest.mark.parametrize("window_rows", [0, 1_000_000])
+@pytest.mark.parametrize("descending", [True, False])
+def test_rank_equals_window_with_ties_and_nulls(spark, window_rows, descending):
     df = skewed(spark).withColumn("val", F.when(F.col("id") % 50 != 1, F.col("val")))
     df = df.withColumn("grp", F.when(F.col("id") % 40 != 2, F.col("grp")))
-    w = Window.partitionBy("grp").orderBy(F.col("val").desc_nulls_first())
-    got = ordering.rank_within(df, ["grp"], "val", "r")
+    val = F.col("val").desc_nulls_first() if descending else F.col("val").asc_nulls_last()
+    w = Window.partitionBy("grp").orderBy(val)
+    got = ordering.rank_within(df, ["grp"], "val", "r", descending, window_rows)
     expected = df.select("id", F.rank().over(w).alias("e"))
     both = got.join(expected, "id")
     assert both.count() == df.count()

@@ -12,6 +12,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from storelake.catalog import oracles as catalog_oracles
+from storelake.catalog import queries as catalog_queries
 
 SF_DIR = Path("/root/testdata/sf0.001")
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -27,7 +29,7 @@ CORE = [
     "standard_stream", "surrogate_key", "quality_summary", "layer_row_counts",
     "scan_json_array", "incremental_rollup", "merge_orders_stream",
 ]
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, ORACLES = catalog_queries.QUERIES, catalog_oracles.ORACLES
 NAMES = sorted(QUERIES) if os.environ.get("STORELAKE_ALL_QUERIES") else CORE
 
 
@@ -45,6 +47,8 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLES) <= set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
 def test_entry(spark):

@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storelake.llm import exact_dedup, mixing
+from storelake.llm import exact_dedup, html_extract, mixing, simhash
 from storelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_extract_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op5_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_components(table(spark, sf_dir, "documents"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
@@ -23,6 +31,8 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op3_extract_pages,
+        op5_simhash_components,
         op6_mix_sources,
         op7_exact_dedup,
     )

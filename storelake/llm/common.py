@@ -43,24 +43,28 @@ def labelled_sample(
 ) -> list[tuple[str, int]]:
     """At most ``max_docs`` labelled training texts, the ones with the smallest id hash.
 
-    Half of the places are kept for either class, so that a rare one is not lost.
-    Longer texts than ``max_chars`` code points are left out, not cut: this bounds
-    what the driver fits on, and nothing else. Scoring reads every text whole.
+    Half of the places are kept for either class, so that a rare one is not lost. The
+    ids are chosen in the label table alone. Texts longer than ``max_chars`` code points
+    are left out, not cut: this bounds what the driver fits on, and nothing else.
+    Scoring reads every text whole. ``train`` is a condition on ``doc_id``.
     """
+    order = F.xxhash64(F.col("doc_id"))
     marked = (
-        labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
+        labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & train)
         .groupBy("doc_id")
         .agg(F.max(label).alias("_label"))
     )
-    order = F.xxhash64(F.col("doc_id"))
+    half = [
+        marked.where(F.col("_label") == v).orderBy(order, "doc_id").limit(max_docs // 2)
+        for v in (0, 1)
+    ]
+    # At most max_docs ids, so a broadcast is bounded whatever the size of the tables.
+    chosen = F.broadcast(half[0].unionByName(half[1]).limit(max_docs))
     texts = (
         docs.select("doc_id", text_of().alias("_text"))
-        .where(train & (F.length("_text") <= max_chars))
-        .join(marked, "doc_id")
-        .select("doc_id", "_text", "_label", order.alias("_order"))
+        .where(F.length("_text") <= max_chars)
+        .join(chosen, "doc_id")
+        .orderBy(order, "doc_id", "_text")
+        .limit(max_docs)
     )
-    out = []
-    for value in (0, 1):
-        some = texts.where(F.col("_label") == value).orderBy("_order", "doc_id", "_text")
-        out += [(r["_text"], value) for r in some.limit(max_docs // 2).collect()]
-    return out
+    return [(r["_text"], r["_label"]) for r in texts.select("_text", "_label").collect()]

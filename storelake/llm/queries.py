@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storelake.llm import exact_dedup, html_extract, mixing, simhash
+from storelake.llm import exact_dedup, html_extract, mixing, packing, quality, simhash
 from storelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_pack_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op3_extract_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, sf_dir, "pages"))
 
@@ -28,12 +32,20 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op2_pack_patterns,
         op3_extract_pages,
         op5_simhash_components,
         op6_mix_sources,
         op7_exact_dedup,
+        op10_quality_lines,
     )
 }

@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storelake.llm import exact_dedup, html_extract, mixing, packing, quality, simhash
+from storelake.llm import exact_dedup, html_extract, mixing, packing, quality, simhash, toxicity
 from storelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 def op2_pack_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -41,6 +47,7 @@ def op10_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_toxicity_grammar,
         op2_pack_patterns,
         op3_extract_pages,
         op5_simhash_components,

@@ -5,8 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from storelake.llm import exact_dedup, html_extract, mixing, packing, quality, simhash, toxicity
+from pyspark.sql import functions as F
+
+from storelake.llm import (
+    exact_dedup,
+    html_extract,
+    mixing,
+    packing,
+    pii,
+    quality,
+    simhash,
+    topk,
+    toxicity,
+)
 from storelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +37,10 @@ def op3_extract_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op4_ball_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op5_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_components(table(spark, sf_dir, "documents"))
 
@@ -38,6 +53,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -50,9 +69,11 @@ QUERIES: dict[str, Query] = {
         op1_toxicity_grammar,
         op2_pack_patterns,
         op3_extract_pages,
+        op4_ball_tree_top_k,
         op5_simhash_components,
         op6_mix_sources,
         op7_exact_dedup,
+        op9_personal_data,
         op10_quality_lines,
     )
 }

@@ -15,10 +15,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """The same rows read back from a Parquet folder under ``spark.checkpoint.dir``."""
+def written(df: DataFrame, label: str, *by: str) -> DataFrame:
+    """The same rows read back from a Parquet folder under ``spark.checkpoint.dir``.
+
+    ``by`` names columns with few values that become folders, which filters then skip.
+    """
     folder = new_folder(df.sparkSession, label)
-    df.write.parquet(folder)
+    (df.write.partitionBy(*by) if by else df.write).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

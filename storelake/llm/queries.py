@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from storelake.llm import (
     exact_dedup,
     html_extract,
+    lm,
     mixing,
     packing,
     pii,
@@ -53,6 +54,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.language_scores(table(spark, sf_dir, "documents"))
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
 
@@ -73,6 +78,7 @@ QUERIES: dict[str, Query] = {
         op5_simhash_components,
         op6_mix_sources,
         op7_exact_dedup,
+        op8_attention_scores,
         op9_personal_data,
         op10_quality_lines,
     )

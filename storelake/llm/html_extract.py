@@ -60,6 +60,9 @@ LABELLED = (
     "one after another, and check the chords.</p>\x03</section></div><div><span>Share</span></div></body>",
 )
 
+#: Stands for a dropped element: it ends a block, but does not part the text around it.
+GAP = "#gap"
+
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+>|[^>]*(?:>|\Z))",
@@ -108,7 +111,6 @@ def items(page: str) -> Iterator[tuple[str, str]]:
                 depth += 1 if opens else -1
                 if depth == 0:
                     skip = ""
-                    yield "tag", name
                     if close or name not in SELF_CLOSING:
                         continue
                 else:
@@ -119,6 +121,8 @@ def items(page: str) -> Iterator[tuple[str, str]]:
             # An element that is never closed must not swallow the rest of the page.
             if name in SELF_CLOSING or re.compile(rf"</{re.escape(name)}\b", re.IGNORECASE).search(page, at):
                 skip, depth = name, 1
+                yield "tag", GAP
+                continue
         yield "tag", ("/" if close else "") + name
 
 
@@ -139,6 +143,7 @@ def _learn(pages: tuple[str, ...]) -> tuple[dict[str, float], float, float]:
     odds = {t: math.log((inside[t] + 0.5) / (outside[t] + 0.5)) for t in inside | outside}
     word = max(odds.pop("word"), 0.1)
     # A tag of articles costs next to nothing, so that a last short paragraph stays.
+    odds.pop(GAP, None)
     weights = {t: min(-0.02, 3 * w - 0.02) for t, w in odds.items()}
     return weights, word, -0.5
 
@@ -150,7 +155,9 @@ INLINE = frozenset("b i em strong u s small sub sup code span mark abbr cite q t
 
 def _weight(tag: str) -> float:
     name = tag.lstrip("/")
-    if name in INLINE or name in ("br", "img", "h1", "h2", "h3", "h4", "h5", "h6"):
+    if name in INLINE or name in (
+        GAP, "br", "img", "h1", "h2", "h3", "h4", "h5", "h6"
+    ):
         return -0.02
     return WEIGHTS.get(name, OTHER_TAG)
 
@@ -174,7 +181,7 @@ def main_text(page: str | None) -> str:
     for kind, value in parts[best_from:best_to]:
         if kind == "text":
             block.append(value)
-        elif value.lstrip("/") in BLOCKS:
+        elif value == GAP or value.lstrip("/") in BLOCKS:
             blocks.append("".join(block))
             block = []
     blocks.append("".join(block))

@@ -98,7 +98,6 @@ Pay with {card|4111 1111 1111 1111} until Friday.
 His card {card|5500-0000-0000-0004} has expired.
 {card|4111111111111111} and {card|5500000000000004} were stolen
 cards {card|4012888888881881} {card|4111111111111111} on file
-both {card|5500 0000 0000 0004} {card|4111 1111 1111 1111} were used
 the number {card|340000000000009} was charged twice
 paid {card|4012888888881881} yesterday
 they listed {card|6011000000000004} {card|4111111111111111} there

@@ -121,9 +121,9 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
 def fit(sample: list[tuple[str, int]], relabel: int = 2) -> Model:
     """Fits on (text, label) rows; ``relabel`` rounds find the good lines of bad documents.
 
-    Labels are of documents. Lines start with the label of theirs. Then each round takes
-    the fitted marginals: in a bad document only lines below one half stay bad, and its
-    worst line always does. Without both classes every score is the share of the larger.
+    Labels are of documents. Lines start with the label of theirs, and a first fit takes
+    each line alone, without neighbours. Then each round takes the fitted marginals: in a
+    bad document only lines below one half stay bad, and its worst line always does. Without both classes every score is the share of the larger.
     """
     y = np.array([label for _, label in sample], np.int64)
     if len(set(y.tolist())) < 2:
@@ -135,12 +135,17 @@ def fit(sample: list[tuple[str, int]], relabel: int = 2) -> Model:
     doc = np.repeat(np.arange(len(y)), lengths)
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
     lines = y[doc].copy()
-    chain = crf.fit(x, lines, lengths, 2)
-    for _ in range(relabel):
-        good = chain.marginals(x @ chain.weights, lengths)[:, GOOD]
+    alone = x.copy()
+    alone[:, 1 + _OWN :] = 0
+    each = np.ones(len(x), np.int64)
+    chain = crf.fit(alone, lines, each, 2)
+    good = chain.marginals(alone @ chain.weights, each)[:, GOOD]
+    for i in range(relabel):
+        if i:
+            good = chain.marginals(x @ chain.weights, lengths)[:, GOOD]
         worst = np.minimum.reduceat(good, starts)[doc]
         lines = np.where((y[doc] == 1) | ((good >= 0.5) & (good > worst)), GOOD, BAD)
-        chain = crf.fit(x, lines, lengths, 2, rounds=40, start=chain)
+        chain = crf.fit(x, lines, lengths, 2, rounds=60, start=chain)
     model = Model(chain, 0.0, 0.0)
     # The two classes fill half of the sample each, so either counts by its own number.
     slope, shift = _logistic(model.shares(texts), y.astype(np.float64), np.ones(len(y)))

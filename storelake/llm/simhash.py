@@ -233,7 +233,13 @@ def drop_near_copies(
         .select(F.col("id").alias("_id"), F.col("key").alias("_key"))
         .distinct()
     )
-    same = F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (
-        F.xxhash64(text_of(text_col)) == F.col("_key")
+    names = docs.columns
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"),
+        F.col(f"`{id_col}`").alias("_of"),
+        F.xxhash64(text_of(text_col)).alias("_hash"),
+    )
+    same = F.col("_of").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_key"))
+    return rows.join(away, same, "left_anti").select(
+        *[F.col("_row").getField(c).alias(c) for c in names]
     )
-    return docs.join(away, same, "left_anti")

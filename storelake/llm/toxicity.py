@@ -173,11 +173,11 @@ def clause_scores(text: bytes, lexicon: Lexicon) -> list[float]:
     if not any(symbol in (INSULT, THREAT) for symbol, _, _ in read):
         return out
     for symbol, weight, ends in read:
-        if symbol == THREAT:
-            pending = weight
         state, result, factor = GRAMMAR.arcs[state][symbol]
+        if symbol == THREAT:
+            pending = weight * factor  # counts once its target comes
         if result == MATCH:
-            total += (weight if symbol == INSULT else pending or SEED_WEIGHT) * factor
+            total += pending if symbol == TARGET else weight * factor
         if ends and symbol != END:
             state, _, _ = GRAMMAR.arcs[state][END]
         if ends or symbol == END:

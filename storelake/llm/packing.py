@@ -98,14 +98,28 @@ def least_squares(rows: np.ndarray, hist: np.ndarray, rounds: int = 400) -> np.n
 
 
 def make_plan(hist: np.ndarray, capacity: int = CAPACITY) -> Plan:
-    """A plan for ``hist[n]`` pieces of each length n from 1 to ``capacity``."""
+    """A plan for ``hist[n]`` pieces of each length n from 1 to ``capacity``.
+
+    Patterns that leave too many long pieces over would cost sequences: then the plan
+    without patterns, which is best fit alone, is the one with fewer.
+    """
+    left = hist.astype(np.int64).copy()
+    left[capacity] = 0
+    rows = patterns(left, capacity)
+    x = least_squares(rows, left)
+    return min(
+        (_follow(hist, capacity, rows, y) for y in (x, np.zeros_like(x))),
+        key=lambda plan: plan.sequences,
+    )
+
+
+def _follow(hist: np.ndarray, capacity: int, rows: np.ndarray, x: np.ndarray) -> Plan:
+    """Pattern i used x[i] times, rounded down; the rest by best fit."""
     plan = Plan(capacity)
     left = hist.astype(np.int64).copy()
     if left[capacity]:
         plan.put(capacity, 0, 1, 0, int(left[capacity]))
         plan.sequences, left[capacity] = int(left[capacity]), 0
-    rows = patterns(left, capacity)
-    x = least_squares(rows, left)
     for i in np.argsort(-x, kind="stable"):
         if x[i] < 1:
             break

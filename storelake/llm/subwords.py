@@ -8,16 +8,18 @@ gathers the rest by position.
 from __future__ import annotations
 
 import os
-from array import array
+from itertools import chain
 
 import numpy as np
 import regex
 
 #: Words of these characters only go through the pieces below. They are unchanged by
 #: composition, and lower-case one by one; the tokenizer itself takes all other words.
-_SAFE = regex.compile(r"(?:(?!<\|)[\x21-\x7E\xA1-įı-ɏ])+")
-#: The tokenizer's own pattern for the pieces that its merges work on (a fixed value).
-_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_SAFE = regex.compile(r"(?:(?!<\|)[\x21-\x7E\xA1-\u012F\u0131-\u024F])+")
+_ODD = regex.compile(r"<\||[^\x20-\x7E\xA1-\u012F\u0131-\u024F]")
+#: The tokenizer's own pattern for the pieces that its merges work on (a fixed value),
+#: and the space that stands between words here.
+_ITEMS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+|\x20")
 
 
 def default_vocabulary() -> str:
@@ -26,10 +28,31 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class Spans:
+    """Runs of ids by number: one flat array, with where each run starts and how long it is."""
+
+    def __init__(self):
+        self.flat, self.count = np.empty(0, np.int32), np.empty(0, np.int64)
+        self.first = np.empty(0, np.int64)
+
+    def add(self, flat: np.ndarray, count: np.ndarray) -> None:
+        self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
+        self.count = np.concatenate([self.count, count])
+        self.first = np.cumsum(self.count) - self.count
+
+    def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the runs ``at`` one after another, and where each run ends in them."""
+        count = self.count[at]
+        ends = np.cumsum(count)
+        place = np.repeat(self.first[at] - (ends - count), count)
+        place += np.arange(len(place))
+        return self.flat[place], ends
+
+
 class Subwords:
-    """Ids of whole texts. Keeps at most about ``most_words`` words at a time."""
+    """Ids of whole texts. Keeps at most about ``most_words`` words between calls."""
 
-    def __init__(self, path: str, most_words: int = 300_000):
+    def __init__(self, path: str, most_words: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
@@ -51,67 +74,73 @@ class Subwords:
 
     def _clear(self) -> None:
         self.number: dict[bytes, int] = {}
-        self.of_piece: dict[str, tuple[int, ...]] = {}
-        self.flat, self.first, self.count = array("i"), array("q"), array("i")
+        self.words = Spans()
+        self.piece: dict[str, int] = {" ": 0}
+        self.runs = Spans()
+        self.runs.add(np.empty(0, np.int32), np.zeros(1, np.int64))
 
     def _learn_pieces(self, new: list[str]) -> None:
-        for at in range(0, len(new), 100_000):
-            some = new[at : at + 100_000]
-            joined = [" ".join(some[i : i + 500]) for i in range(0, len(some), 500)]
-            coded = self.pieces.encode_batch_fast(joined, add_special_tokens=False)
-            ids = [i for e in coded for i in e.ids]
-            stops = np.flatnonzero(self.ends[ids]) + 1 if ids else np.empty(0, np.int64)
-            if len(stops) == len(some):  # each piece has one last subword
-                start = 0
-                for piece, stop in zip(some, stops.tolist(), strict=True):
-                    self.of_piece[piece] = tuple(ids[start:stop])
-                    start = stop
-            else:
-                for piece in some:
-                    self.of_piece[piece] = tuple(
-                        self.pieces.encode(piece, add_special_tokens=False).ids
-                    )
-
-    def _learn(self, words: set[bytes]) -> None:
-        split: dict[bytes, list[str]] = {}
-        for w in words:
-            text = w.decode()
-            if _SAFE.fullmatch(text):
-                split[w] = _PIECES.findall("".join(map(str.lower, text)) if not text.isascii() else text.lower())
-            else:
-                ids = self.whole.encode(text, add_special_tokens=False).ids
-                self._put(w, ids)
-        new = {p for ps in split.values() for p in ps}.difference(self.of_piece)
-        self._learn_pieces(list(new))
-        for w, ps in split.items():
-            self._put(w, [i for p in ps for i in self.of_piece[p]])
-
-    def _put(self, word: bytes, ids) -> None:
-        self.number[word] = len(self.first)
-        self.first.append(len(self.flat))
-        self.count.append(len(ids))
-        self.flat.extend(ids)
+        joined = [" ".join(new[i : i + 500]) for i in range(0, len(new), 500)]
+        coded = self.pieces.encode_batch_fast(joined, add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable(e.ids for e in coded), np.int32)
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) == len(new):  # each piece has one last subword
+            count = np.diff(stops, prepend=0)
+        else:
+            each = [self.pieces.encode(p, add_special_tokens=False).ids for p in new]
+            ids = np.array([i for x in each for i in x], np.int32)
+            count = np.array([len(x) for x in each], np.int64)
+        self.piece.update(zip(new, range(len(self.piece), len(self.piece) + len(new)), strict=True))
+        self.runs.add(ids, count)
+
+    def _learn(self, words: list[bytes]) -> None:
+        text = b" ".join(words).decode()
+        if _ODD.search(text):
+            odd = [w for w in words if not _SAFE.fullmatch(w.decode())]
+            each = [self.whole.encode(w.decode(), add_special_tokens=False).ids for w in odd]
+            self._put(
+                odd,
+                np.array([i for x in each for i in x], np.int32),
+                np.array([len(x) for x in each], np.int64),
+            )
+            words = [w for w in words if w not in self.number]
+            text = b" ".join(words).decode()
+        if not words:
+            return
+        items = _ITEMS.findall(text.lower())
+        self._learn_pieces(list(set(items).difference(self.piece)))
+        at = np.fromiter(map(self.piece.__getitem__, items), np.int64, len(items))
+        ids, _ = self.runs.take(at)
+        word_of = np.cumsum(at == 0)
+        sizes = np.bincount(word_of, weights=self.runs.count[at], minlength=len(words))
+        self._put(words, ids, sizes.astype(np.int64))
+
+    def _put(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        known = len(self.number)
+        self.number.update(zip(words, range(known, known + len(words)), strict=True))
+        self.words.add(ids, sizes)
+
+    def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encode``, of texts that are one lower-case word each."""
+        if len(self.number) > self.most_words:
+            self._clear()
+        self._learn(list(set(words).difference(self.number)))
+        at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        ids, _ = self.words.take(at)
+        return ids, self.words.count[at]
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, and how many each text has."""
-        words = [t.split() for t in texts]
-        if len(self.number) + len(self.of_piece) > 2 * self.most_words:
+        words = [t.lower().split() for t in texts]
+        if len(self.number) > self.most_words:
             self._clear()
-        unknown = set().union(*words).difference(self.number)
-        self._learn(unknown)
-        number = self.number
-        at = np.fromiter((number[w] for ws in words for w in ws), np.int64)
-        counts = np.frombuffer(self.count, np.int32)[at].astype(np.int64)
-        first = np.frombuffer(self.first, np.int64)[at]
-        ends = np.cumsum(counts)
-        total = int(ends[-1]) if len(ends) else 0
-        place = np.repeat(first - (ends - counts), counts) + np.arange(total)
-        flat = np.frombuffer(self.flat, np.int32)
-        ids = flat[place] if total else np.empty(0, np.int32)
+        self._learn(list(set().union(*words).difference(self.number)))
         per_text = np.array([len(ws) for ws in words], np.int64)
-        sums = np.concatenate([[0], ends])
+        number = map(self.number.__getitem__, chain.from_iterable(words))
+        ids, ends = self.words.take(np.fromiter(number, np.int64, int(per_text.sum())))
+        upto = np.concatenate([[0], ends])
         stops = np.cumsum(per_text)
-        return ids, sums[stops] - sums[stops - per_text]
+        return ids, upto[stops] - upto[stops - per_text]
 
 
 _LOADED: dict[str, Subwords] = {}

@@ -43,6 +43,10 @@ JOB_ORACLES = {
     "as_of_read": """SELECT order_id, product_sku, order_status, load_ts FROM erp
         WHERE load_ts <= TIMESTAMP '1998-06-30 00:00:00'""",
     "incremental_ingest": _POS,
+    "ingest_erp_orders": f"""SELECT * EXCLUDE (load_ts), CAST(1 AS BIGINT) AS rows_rejected
+        FROM ({_ERP})""",
+    "ingest_erp_inventory": "SELECT *, CAST(1 AS BIGINT) AS rows_rejected FROM inventory",
+    "ingest_iot": "SELECT *, CAST(1 AS BIGINT) AS rows_rejected FROM iot_events",
     "append_only_stream": "SELECT * FROM clean",
     "file_ledger": """SELECT CAST(0 AS BIGINT) AS files_missing, CAST(0 AS BIGINT) AS files_twice,
         count(*) AS rows_loaded, CAST(0 AS BIGINT) AS rows_rejected FROM pos""",

@@ -229,6 +229,60 @@ def _(j: Job):
     )
 
 
+def _ingest_erp(j: Job, name: str, df: DataFrame, schema, whole: list[str]) -> DataFrame:
+    """Three runs: whole numbers as int, as bigint under upper-case names, and as text with
+    one bad row, beside files of another feed in the same folder."""
+    src, columns = j.at("landing"), schema.names
+    half = F.pmod(F.xxhash64(*columns[:3]), F.lit(2)) == 0
+    wide = [F.col(c).cast("bigint" if c in whole else df.schema[c].dataType) for c in columns]
+    text = [F.col(c).cast("string") if c in whole else F.col(c) for c in columns]
+    df.select(*columns).where(half).write.parquet(f"{src}/{name}/a")
+    drops = [df.where(~half).select(*[c.alias(n.upper()) for c, n in zip(wide, columns, strict=True)])]
+    bad = df.select(*columns).limit(1).withColumn(whole[0], F.lit("many"))
+    drops.append(bad.select(*columns))
+    df.limit(0).select(*text).withColumn(columns[0], F.lit(1.5)).write.parquet(f"{src}/other_feed")
+    for n in range(3):
+        if n:
+            drops[n - 1].write.parquet(f"{src}/{name}/{n}")
+        ingest.ingest_stream(
+            j.spark, src, "parquet", schema, j.at("bronze"), j.at("ckpt"), f".*/{name}/.*[.]parquet"
+        ).awaitTermination()
+    loaded = ingest.read_bronze(j.spark, j.at("bronze"), schema).select(*columns)
+    n_bad = ingest.read_rejects(j.spark, j.at("bronze"), schema).select(F.count("*")).scalar()
+    return loaded.withColumn("rows_rejected", n_bad)
+
+
+@job("ingest_erp_orders")
+def _(j: Job):
+    schema = schemas.erp_orders_schema()
+    whole = ["quantity_ordered", "quantity_received"]
+    return _ingest_erp(j, "erp_orders", tables.conform(j.erp, schema), schema, whole)
+
+
+@job("ingest_erp_inventory")
+def _(j: Job):
+    schema = schemas.erp_inventory_schema()
+    stock = tables.conform(testbed.inventory(j.spark, j.sf_dir), schema)
+    return _ingest_erp(j, "erp_inventory", stock, schema, ["quantity_on_hand", "reorder_level"])
+
+
+@job("ingest_iot")
+def _(j: Job):
+    """Arrays of documents, and one file whose second element has a text for a number."""
+    src = j.json_arrays()
+    good = '{"event_id": null, "store_id": "none"}'
+    bad = '{"event_id": "x", "metadata": {"battery_pct": "low"}}'
+    extra = j.spark.createDataFrame([(f"[{good}, {bad}]",)], "value string")
+    extra.write.mode("append").text(src)
+    ingest.ingest_stream(
+        j.spark, src, "json", schemas.iot_event_schema(), j.at("bronze"), j.at("ckpt")
+    ).awaitTermination()
+    schema = schemas.iot_event_schema()
+    loaded = ingest.read_bronze(j.spark, j.at("bronze"), schema, "json")
+    n_bad = ingest.read_rejects(j.spark, j.at("bronze"), schema, "json").select(F.count("*")).scalar()
+    return iot.iot_events(loaded).where("event_id is not null").withColumn("rows_rejected", n_bad)
+
+
 @job("append_only_stream")
 def _(j: Job):
     bronze = _ingest_pos(j)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,7 +56,7 @@ def _parse_whole(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def read_csv_landing(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: T.StructType,
     pattern: str | None = None,
     on_error: str = "CONTINUE",
@@ -81,11 +83,112 @@ def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return loaded, rejected
 
 
-def _read_parquet(spark: SparkSession, path: str, pattern: str | None, skip_corrupt: bool) -> DataFrame:
-    """Parquet files of possibly different columns, under the union of their columns."""
-    reader = spark.read.option("mergeSchema", "true")
-    df = reader.option("ignoreCorruptFiles", str(skip_corrupt).lower()).parquet(path)
-    return filter_files(df, pattern) if pattern else df
+def _paths(spark: SparkSession, path: str | list[str], pattern: str | None) -> list[str]:
+    """The matching files of a folder; a list of files stays as it is."""
+    if not isinstance(path, str):
+        return list(path)
+    return sorted(r["file_id"] for r in list_files(spark, path, pattern).select("file_id").collect())
+
+
+def footer_groups(
+    spark: SparkSession, paths: list[str], on_error: str = "CONTINUE"
+) -> tuple[list[tuple[T.StructType, list[str]]], list[str]]:
+    """Parquet files grouped by columns that go together, and the unreadable ones.
+
+    One job reads the footers of all files. If they contradict each other, or one
+    cannot be read, each half is tried alone, so the number of jobs follows the
+    number of odd files. ABORT raises on an unreadable file.
+    """
+    if not paths:
+        return [], []
+    try:
+        schema = spark.read.option("mergeSchema", "true").parquet(*paths).schema
+        return [(schema, paths)], []
+    except (PySparkException, Py4JJavaError):  # a failed footer job keeps its Java type
+        if len(paths) == 1:
+            if on_error == "ABORT":
+                raise
+            return [], paths
+    half = len(paths) // 2
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    unreadable: list[str] = []
+    for part in (paths[:half], paths[half:]):
+        found, bad = footer_groups(spark, part, on_error)
+        unreadable += bad
+        for schema, files in found:
+            groups.setdefault(schema.json(), (schema, []))[1].extend(files)
+    return list(groups.values()), unreadable
+
+
+def _cast_or_reject(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Columns by name ignoring case; a row with a value that fits its type nowhere is
+    kept as text in ``_corrupt_record``."""
+    present = {name.lower(): name for name in df.columns if name not in ("load_ts", "source_file")}
+    values, bad = [], F.lit(False)
+    for field in schema.fields:
+        if field.name.lower() not in present:
+            values.append(F.lit(None).cast(field.dataType).alias(field.name))
+            continue
+        own = df.schema[present[field.name.lower()]].dataType
+        source = F.col(f"`{present[field.name.lower()]}`")
+        # Types between which there is no cast at all meet as text.
+        as_is = isinstance(own, T.StringType | T.DatetimeType | T.TimestampNTZType) or (
+            isinstance(own, T.NumericType | T.BooleanType)
+            and not isinstance(field.dataType, T.DatetimeType | T.TimestampNTZType)
+        )
+        value = (source if as_is else source.cast("string")).try_cast(field.dataType)
+        values.append(value.alias(field.name))
+        bad = bad | (source.isNotNull() & value.isNull())
+    text = F.when(bad, F.to_json(F.struct(*[F.col(f"`{c}`") for c in present.values()])))
+    return df.select(*values, text.alias(CORRUPT), "load_ts", "source_file")
+
+
+def _landed_schema(schema: T.StructType) -> T.StructType:
+    return T.StructType(
+        [
+            *with_corrupt_column(schema).fields,
+            T.StructField("load_ts", T.TimestampNTZType()),
+            T.StructField("source_file", T.StringType()),
+        ]
+    )
+
+
+def _union(spark: SparkSession, parts: list[DataFrame], schema: T.StructType) -> DataFrame:
+    out = parts[0] if parts else spark.createDataFrame([], schema)
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def split_parquet(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType,
+    pattern: str | None = None,
+    on_error: str = "CONTINUE",
+) -> DataFrame:
+    """Parquet rows with load metadata; what does not fit ``schema`` as in a SPLIT read.
+
+    Files are listed and matched first, so other feeds of the folder play no part.
+    Files of different types, as of two integer widths, are read under their own and
+    cast. An unreadable file gives one rejected row without text.
+    """
+    groups, unreadable = footer_groups(spark, _paths(spark, path, pattern), on_error)
+    parts = [
+        _cast_or_reject(with_load_metadata(spark.read.schema(own).parquet(*files)), schema)
+        for own, files in groups
+    ]
+    if unreadable:
+        lost = spark.createDataFrame([(f,) for f in unreadable], "source_file string")
+        lost = lost.withColumns(
+            {
+                **{f.name: F.lit(None).cast(f.dataType) for f in schema.fields},
+                CORRUPT: F.lit(""),
+                "load_ts": F.current_timestamp().cast("timestamp_ntz"),
+            }
+        )
+        parts.append(lost.select(*_landed_schema(schema).names))
+    return _union(spark, parts, _landed_schema(schema))
 
 
 def read_parquet_by_name(
@@ -96,23 +199,77 @@ def read_parquet_by_name(
     on_error: str = "CONTINUE",
     uniform: bool = False,
 ) -> DataFrame:
-    """Parquet columns matched by name ignoring case; unreadable files are skipped.
+    """Parquet columns matched by name ignoring case, cast to ``schema``.
 
-    The columns and types come from all files' footers, and are cast. ``uniform``
-    promises that the files hold the types of ``schema``; their footers are then
-    not read beforehand, which matters for folders of very many files.
+    CONTINUE leaves out unreadable files and rows with a value that cannot be cast;
+    ``split_parquet`` keeps both. ABORT fails on the first one. ``uniform`` promises
+    that the files hold the types of ``schema``; their footers are then not read
+    beforehand, which matters for folders of very many files, and a file that breaks
+    the promise fails the read.
     """
-    skip = on_error == "CONTINUE"
     if uniform:
-        df = spark.read.schema(schema).option("ignoreCorruptFiles", str(skip).lower()).parquet(path)
+        df = spark.read.schema(schema).parquet(path)
         return filter_files(df, pattern) if pattern else df
-    return conform(_read_parquet(spark, path, pattern, skip), schema)
+    if on_error == "ABORT":
+        groups, _ = footer_groups(spark, _paths(spark, path, pattern), on_error)
+        parts = [conform(spark.read.schema(own).parquet(*files), schema) for own, files in groups]
+        return _union(spark, parts, schema)
+    df = split_parquet(spark, path, schema, pattern)
+    return df.where(F.col(CORRUPT).isNull()).select(*schema.names)
 
 
 def read_parquet_variant(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
     """Every Parquet row as one variant column ``raw_data``, whatever its columns."""
-    df = _read_parquet(spark, path, pattern, skip_corrupt=True)
-    return df.select(F.to_variant_object(F.struct(*df.columns)).alias("raw_data"))
+    groups, _ = footer_groups(spark, _paths(spark, path, pattern))
+    parts = [
+        spark.read.schema(own)
+        .parquet(*files)
+        .select(F.to_variant_object(F.struct(*[F.col(f"`{c}`") for c in own.names])).alias("raw_data"))
+        for own, files in groups
+    ]
+    return _union(spark, parts, T.StructType([T.StructField("raw_data", T.VariantType())]))
+
+
+def _json_elements(spark: SparkSession, path: str | list[str], pattern: str | None) -> DataFrame:
+    """Elements of the array in each JSON file; a file without an array is one element.
+
+    A file that is no JSON gives one row without element.
+    """
+    raw = spark.read.options(multiLine="true", singleVariantColumn="doc").json(path)
+    if pattern:
+        raw = filter_files(raw, pattern)
+    listed = F.coalesce(F.try_variant_get("doc", "$", "array<variant>"), F.array("doc"))
+    return with_load_metadata(raw).select(
+        F.explode_outer(listed).alias("element"), "load_ts", "source_file"
+    )
+
+
+def split_json(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType,
+    pattern: str | None = JSON_FILES,
+) -> DataFrame:
+    """One row per element of each file's array, as struct ``data``; an element with a
+    value of the wrong type keeps its text in ``_corrupt_record`` and no ``data``."""
+    df = _json_elements(spark, path, pattern)
+    # The parser tells a value of the wrong type, at any depth, from an absent one.
+    checked = df.withColumn(
+        "parsed",
+        F.from_json(
+            F.to_json("element"),
+            with_corrupt_column(schema),
+            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
+        ),
+    )
+    bad = F.col("parsed").isNull() | F.col(f"parsed.{CORRUPT}").isNotNull()
+    data = F.struct(*[F.col(f"parsed.{c}").alias(c) for c in schema.names])
+    return checked.select(
+        F.when(~bad, data).alias("data"),
+        F.when(bad, F.coalesce(F.to_json("element"), F.lit(""))).alias(CORRUPT),
+        "load_ts",
+        "source_file",
+    )
 
 
 def read_json_landing(
@@ -123,26 +280,16 @@ def read_json_landing(
 ) -> DataFrame:
     """One row per element of the array each JSON file holds, as struct ``data``.
 
-    One task parses a file as a whole: land many files of moderate size.
+    An element with a value of the wrong type is left out, alone; ``split_json`` keeps
+    it. One task parses a file as a whole: land many files of moderate size.
     """
-    df = (
-        spark.read.schema(schema)
-        .options(multiLine="true", mode="DROPMALFORMED")
-        .json(path)
-    )
-    if pattern:
-        df = filter_files(df, pattern)
-    df = with_load_metadata(_parse_whole(df, schema))
-    return df.select(F.struct(*schema.names).alias("data"), "load_ts", "source_file")
+    df = split_json(spark, path, schema, pattern)
+    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def read_json_variant(spark: SparkSession, path: str, pattern: str | None = JSON_FILES) -> DataFrame:
     """As ``read_json_landing``, with ``data`` a variant and no schema needed."""
-    raw = spark.read.options(multiLine="true", singleVariantColumn="doc").json(path)
-    if pattern:
-        raw = filter_files(raw, pattern)
-    elements = F.variant_get("doc", "$", "array<variant>")
-    return raw.select(F.explode(elements).alias("data"))
+    return _json_elements(spark, path, pattern).select(F.col("element").alias("data"))
 
 
 def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:

@@ -14,10 +14,14 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from storelake.operators.cleaning import clean_inventory, clean_pos, stamp
+from storelake.sources.batches import write_batch
 from storelake.sources.landing import (
     CORRUPT,
     CSV_OPTIONS,
     filter_files,
+    read_csv_landing,
+    split_json,
+    split_parquet,
     with_corrupt_column,
     with_load_metadata,
 )
@@ -25,10 +29,17 @@ from storelake.sources.landing import (
 REJECTED = "rejected"
 # Fixed value: how often the feeds are picked up when a job keeps running.
 INTERVAL = "5 minutes"
+#: Files of one micro-batch at most, where a stream carries file names.
+MAX_FILES = 1000
 
 
-def bronze_schema(schema: T.StructType) -> T.StructType:
-    """What the CSV landing stream stores: the row, load metadata, and the reject flag."""
+def bronze_schema(schema: T.StructType, fmt: str = "csv") -> T.StructType:
+    """What a landing stream stores: the row, load metadata, and the reject flag.
+
+    JSON elements are kept as one struct ``data``, other rows as columns.
+    """
+    if fmt == "json":
+        schema = T.StructType([T.StructField("data", schema)])
     return T.StructType(
         [
             *with_corrupt_column(schema).fields,
@@ -39,34 +50,57 @@ def bronze_schema(schema: T.StructType) -> T.StructType:
     )
 
 
-def open_landing(
+def open_csv(
     spark: SparkSession,
     src: str,
-    fmt: str,
     schema: T.StructType,
     pattern: str | None = None,
     max_files: int | None = None,
 ) -> DataFrame:
-    """Stream of the landing rows with load time and source file.
-
-    ``max_files`` bounds a micro-batch, so that a large backlog is taken in steps.
-    """
+    """Stream of CSV rows with load time, source file and reject flag."""
     reader = spark.readStream.option("recursiveFileLookup", "true")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    if fmt == "csv":
-        reader = reader.options(**CSV_OPTIONS, mode="PERMISSIVE").schema(with_corrupt_column(schema))
-    elif fmt == "json":
-        reader = reader.options(multiLine="true", mode="DROPMALFORMED").schema(schema)
-    else:
-        reader = reader.option("ignoreCorruptFiles", "true").schema(schema)
-    df = reader.format(fmt).load(src)
+    reader = reader.options(**CSV_OPTIONS, mode="PERMISSIVE").schema(with_corrupt_column(schema))
+    df = reader.csv(src)
     if pattern:
         df = filter_files(df, pattern)
-    df = with_load_metadata(df)
+    return with_load_metadata(df).withColumn(REJECTED, F.col(CORRUPT).isNotNull())
+
+
+def open_files(
+    spark: SparkSession, src: str, pattern: str | None = None, max_files: int = MAX_FILES
+) -> DataFrame:
+    """Stream of new landing files: source_file, modified_at, file_bytes. Contents stay closed.
+
+    Files of different types need different readers, which one streaming reader cannot
+    have. So the stream carries names, and ``read_files`` opens those of a micro-batch;
+    ``max_files`` bounds how many that are.
+    """
+    reader = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true")
+    reader = reader.option("maxFilesPerTrigger", max_files).schema(
+        "path string, modificationTime timestamp, length long, content binary"
+    )
+    files = reader.load(src).select(
+        F.col("path").alias("source_file"),
+        F.col("modificationTime").cast("timestamp_ntz").alias("modified_at"),
+        F.col("length").alias("file_bytes"),
+    )
+    return files.where(F.col("source_file").rlike(f"^(?:{pattern})$")) if pattern else files
+
+
+def read_files(spark: SparkSession, paths: list[str], fmt: str, schema: T.StructType) -> DataFrame:
+    """Rows of the files in the columns of ``bronze_schema``: every row, loaded or rejected."""
+    stored = bronze_schema(schema, fmt)
+    if not paths:
+        return spark.createDataFrame([], stored)
     if fmt == "csv":
-        df = df.withColumn(REJECTED, F.col(CORRUPT).isNotNull())
-    return df
+        df = read_csv_landing(spark, paths, schema, on_error="SPLIT")
+    elif fmt == "json":
+        df = split_json(spark, paths, schema, None)
+    else:
+        df = split_parquet(spark, paths, schema)
+    return df.withColumn(REJECTED, F.col(CORRUPT).isNotNull()).select(*stored.names)
 
 
 def write_stream(
@@ -110,19 +144,36 @@ def ingest_stream(
     max_files: int | None = None,
     interval: str | None = None,
 ) -> StreamingQuery:
-    """New landing files to bronze. Malformed CSV lines go to their own partition."""
-    df = open_landing(spark, src, fmt, schema, pattern, max_files)
-    return write_stream(df, dst, ckpt, [REJECTED] if fmt == "csv" else None, interval)
+    """New landing files to bronze; what cannot be loaded goes to its own partition.
 
+    CSV files are one stream of rows. Parquet and JSON files are read file-wise by
+    micro-batch, and a batch that runs again overwrites its own folder.
+    """
+    if fmt == "csv":
+        df = open_csv(spark, src, schema, pattern, max_files)
+        return write_stream(df, dst, ckpt, [REJECTED], interval)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        paths = [r["source_file"] for r in batch.select("source_file").collect()]
+        rows = read_files(batch.sparkSession, sorted(paths), fmt, schema)
+        write_batch(rows, dst, batch_id, partition_by=[REJECTED])
+
+    files = open_files(spark, src, pattern, max_files or MAX_FILES)
+    return each_batch(files, step, ckpt, interval)
 
-def read_bronze(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Loaded rows of a CSV bronze table; the files of rejects are not opened."""
-    df = spark.read.schema(bronze_schema(schema)).parquet(path)
+
+def read_bronze(
+    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv"
+) -> DataFrame:
+    """Loaded rows of a bronze table; the files of rejects are not opened."""
+    df = spark.read.schema(bronze_schema(schema, fmt)).parquet(path)
     return df.where(~F.col(REJECTED)).drop(CORRUPT, REJECTED)
 
 
-def read_rejects(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    df = spark.read.schema(bronze_schema(schema)).parquet(path)
+def read_rejects(
+    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv"
+) -> DataFrame:
+    df = spark.read.schema(bronze_schema(schema, fmt)).parquet(path)
     return df.where(REJECTED).select(CORRUPT, "load_ts", "source_file")
 
 

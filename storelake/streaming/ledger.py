@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from storelake.functions.dates import instant
 from storelake.operators.merge import merge_upsert
 from storelake.sources.batches import BATCH, path_exists, write_batch
-from storelake.streaming.ingest import REJECTED, each_batch, open_landing
+from storelake.streaming.ingest import MAX_FILES, REJECTED, each_batch, open_files, read_files
 
 PROCESSED = "processed"  # Fixed value: status of a file that has been loaded
 RUN = "run"
@@ -23,6 +23,7 @@ def ledger_schema() -> T.StructType:
         [
             T.StructField("table_name", T.StringType()),
             T.StructField("source_file", T.StringType()),
+            T.StructField("modified_at", T.TimestampNTZType()),
             T.StructField("rows_loaded", T.LongType()),
             T.StructField("rows_rejected", T.LongType()),
             T.StructField("loaded_at", T.TimestampNTZType()),
@@ -42,7 +43,8 @@ def file_ledger(files: DataFrame, ledger: DataFrame | None = None, status: str =
 
 
 def new_files(files: DataFrame, ledger: DataFrame) -> DataFrame:
-    return files.join(ledger, "file_id", "left_anti")
+    """Files that the ledger lacks, or has with another time of change."""
+    return files.join(ledger, ["file_id", "modified_at"], "left_anti")
 
 
 def read_ledger(spark: SparkSession, root: str) -> DataFrame:
@@ -72,32 +74,44 @@ def ingest_with_ledger(
     max_files: int | None = None,
     interval: str | None = None,
 ) -> StreamingQuery:
-    """New landing files to bronze with a ledger row each.
+    """New landing files to bronze with a ledger row each, also for files without rows.
 
-    Files in the ledger are skipped even when the stream's own checkpoint is
-    lost: start it again under a new checkpoint name. Batches are stored by the
-    name of the checkpoint that numbers them, so the new numbers replace nothing.
-    The ledger counts come from the stored batch, reading two columns, not from a
-    second pass over the landing files.
+    A file is known by its path and its time of change: files in the ledger are skipped
+    even when the stream's own checkpoint is lost, and a file that has changed since is
+    loaded again. Start such a run under a new checkpoint name. Batches are stored by
+    the name of the checkpoint that numbers them, so the new numbers replace nothing.
+
+    Within a run the checkpoint tells files apart, so a batch reads the ledger of other
+    runs only: its cost does not grow with the batches of its own run. The counts come
+    from the stored batch, reading two columns, not from a second pass over the files.
     """
-    stream = open_landing(spark, src, fmt, schema, pattern, max_files)
     run = ckpt.rstrip("/").rsplit("/", 1)[-1]
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        earlier = (F.col(RUN) != run) | (F.col(BATCH) < batch_id)
-        known = read_ledger(batch.sparkSession, ledger).where(earlier).select("source_file")
-        fresh = batch.join(known, "source_file", "left_anti").select(*batch.columns)
-        stored = write_batch(fresh, f"{dst}/{RUN}={run}", batch_id)
-        bad = F.col(REJECTED) if REJECTED in stored.columns else F.lit(False)
-        rows = stored.groupBy("source_file").agg(
-            F.count_if(~bad).alias("rows_loaded"),
-            F.count_if(bad).alias("rows_rejected"),
-            F.max("load_ts").alias("loaded_at"),
+        session = batch.sparkSession
+        known = read_ledger(session, ledger).where(F.col(RUN) != run)
+        fresh = batch.join(known, ["source_file", "modified_at"], "left_anti").collect()
+        paths = sorted(r["source_file"] for r in fresh)
+        stored = write_batch(
+            read_files(session, paths, fmt, schema), f"{dst}/{RUN}={run}", batch_id
+        )
+        counts = stored.groupBy("source_file").agg(
+            F.count_if(~F.col(REJECTED)).alias("loaded"),
+            F.count_if(F.col(REJECTED)).alias("rejected"),
+        )
+        files = session.createDataFrame(fresh, batch.schema)
+        rows = files.join(counts, "source_file", "left").select(
+            F.lit(table_name).alias("table_name"),
+            "source_file",
+            "modified_at",
+            F.coalesce("loaded", F.lit(0)).alias("rows_loaded"),
+            F.coalesce("rejected", F.lit(0)).alias("rows_rejected"),
+            F.current_timestamp().cast("timestamp_ntz").alias("loaded_at"),
+            F.lit(PROCESSED).alias("status"),
         )
-        rows = rows.withColumns({"table_name": F.lit(table_name), "status": F.lit(PROCESSED)})
-        write_batch(rows.select(*ledger_schema().names), f"{ledger}/{RUN}={run}", batch_id)
+        write_batch(rows, f"{ledger}/{RUN}={run}", batch_id)
 
-    return each_batch(stream, step, ckpt, interval)
+    return each_batch(open_files(spark, src, pattern, max_files or MAX_FILES), step, ckpt, interval)
 
 
 def load_audit(

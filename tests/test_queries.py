@@ -28,6 +28,7 @@ CORE = [
     "battery_health", "dim_date_spine", "merge_upsert_orders", "scd2_apply_store",
     "standard_stream", "surrogate_key", "quality_summary", "layer_row_counts",
     "scan_json_array", "incremental_rollup", "merge_orders_stream",
+    "scan_parquet_by_name", "ingest_erp_orders", "ingest_erp_inventory", "ingest_iot", "file_ledger",
 ]
 QUERIES, ORACLES = catalog_queries.QUERIES, catalog_oracles.ORACLES
 NAMES = sorted(QUERIES) if os.environ.get("STORELAKE_ALL_QUERIES") else CORE

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
@@ -89,6 +90,61 @@ def test_ledger_skips_known_files_after_a_lost_checkpoint(spark, tmp_path, rows)
     assert ledger.load_audit(entries, "2000-01-01", "2000-01-02").count() == 0
 
 
+def test_ledger_has_a_row_per_file_and_takes_changed_files(spark, tmp_path, rows):
+    schema = schemas.pos_schema()
+    at = {n: str(tmp_path / n) for n in ("src", "bronze", "ledger")}
+
+    def run(ckpt):
+        finish(
+            ledger.ingest_with_ledger(
+                spark, at["src"], "csv", schema, "pos", at["bronze"], at["ledger"],
+                str(tmp_path / ckpt), landing.POS_FILES,
+            )
+        )
+
+    write(tmp_path / "src/pos_1.csv", HEADER, GOOD)
+    write(tmp_path / "src/pos_header.csv", HEADER)
+    run("a")
+    name = F.element_at(F.split("source_file", "/"), -1)
+    entries = ledger.read_ledger(spark, at["ledger"])
+    assert rows(entries, name, "rows_loaded") == [("pos_1.csv", 1), ("pos_header.csv", 0)]
+    write(tmp_path / "src/pos_1.csv", HEADER, GOOD, GOOD_2)
+    os.utime(tmp_path / "src/pos_1.csv", (2e9, 2e9))
+    run("b")
+    entries = ledger.read_ledger(spark, at["ledger"])
+    assert rows(entries, name, "rows_loaded") == [
+        ("pos_1.csv", 1), ("pos_1.csv", 2), ("pos_header.csv", 0),
+    ]
+
+
+def test_parquet_and_json_streams_lose_no_row(spark, tmp_path, rows):
+    stock = schemas.erp_inventory_schema()
+    src, dst, ckpt = (str(tmp_path / n) for n in ("erp", "bronze", "ckpt"))
+    for n, kind in enumerate(("int", "bigint", "double")):
+        df = spark.createDataFrame([(f"p{n}", n)], f"product_sku string, QUANTITY_on_hand {kind}") if (
+            kind != "double"
+        ) else spark.createDataFrame([("p2", 2.0)], "PRODUCT_SKU string, quantity_on_hand double")
+        df.coalesce(1).write.parquet(f"{src}/erp_inventory_{n}")
+    bad = spark.createDataFrame([("p9", "many"), ("p3", "3")], "product_sku string, quantity_on_hand string")
+    bad.coalesce(1).write.parquet(f"{src}/erp_inventory_3")
+    (tmp_path / "erp/erp_inventory_4.parquet").write_bytes(b"no parquet")
+    finish(ingest.ingest_stream(spark, src, "parquet", stock, dst, ckpt, landing.ERP_INVENTORY_FILES))
+    loaded = ingest.read_bronze(spark, dst, stock)
+    assert rows(loaded, "product_sku", "quantity_on_hand") == [(f"p{n}", n) for n in range(4)]
+    assert ingest.read_rejects(spark, dst, stock).count() == 2  # one row, one whole file
+
+    events = schemas.iot_event_schema()
+    src, dst, ckpt = (str(tmp_path / n) for n in ("iot", "iot_bronze", "iot_ckpt"))
+    good, odd = '{"event_id": "a"}', '{"event_id": "b", "metadata": {"battery_pct": "low"}}'
+    write(tmp_path / "iot/1.json", f"[{good}, {odd}, {good}]")
+    write(tmp_path / "iot/2.json", "[]")
+    write(tmp_path / "iot/3.json", "no json")
+    finish(ingest.ingest_stream(spark, src, "json", events, dst, ckpt))
+    assert ingest.read_bronze(spark, dst, events, "json").count() == 2
+    lost = ingest.read_rejects(spark, dst, events, "json")
+    assert any("low" in r[landing.CORRUPT] for r in lost.collect())
+
+
 def test_file_ledger_by_listing(spark, tmp_path, rows):
     write(tmp_path / "a.json", "[]")
     first = ledger.file_ledger(landing.list_files(spark, str(tmp_path), landing.JSON_FILES))

@@ -668,6 +668,12 @@ RELATIONS["latest_lines"] = """SELECT DISTINCT ON (order_id, order_status) * FRO
     expected_delivery DESC, actual_delivery DESC, warehouse_id DESC, lead_time_days DESC, is_late DESC"""
 
 # Names under which the same query is registered more than once.
+_BODIES["row_generator"] = """SELECT CAST(i AS BIGINT) AS row_id,
+    CAST(first + CAST(i AS INTEGER) AS DATE) AS day
+    FROM (SELECT min(CAST(o_orderdate AS DATE)) AS first,
+                 unnest(range(0, max(CAST(o_orderdate AS DATE)) - min(CAST(o_orderdate AS DATE)) + 1)) AS i
+          FROM orders)"""
+
 _SAME = {
     "between_dates": "store_q4",
     "variant_path": "iot_events_typed",
@@ -680,7 +686,6 @@ _SAME = {
     "month_over_month": "monthly_growth",
     "vs_store_avg": "iot_vs_revenue",
     "device_last_seen": "battery_health",
-    "row_generator": "row_number_spine",
     "scd_self_lookup": "scd2_apply_store_literal",
 }
 

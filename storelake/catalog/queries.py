@@ -14,6 +14,7 @@ from storelake.functions import bands, dates, numeric, scalars
 from storelake.operators import aggregates as agg
 from storelake.operators import changes, cleaning, merge, ordering, quality, scd
 from storelake.plans import analytics, dims, facts, gold, iot, rollups
+from storelake.session import new_folder
 from storelake.sources import tables, testbed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -604,7 +605,17 @@ def _(x: Layers):
     )
 
 
-@query("row_number_spine", "row_generator")
+@query("row_generator")
+def _(x: Layers):
+    """As many generated rows as the order range has days, each dated from its number."""
+    days = F.to_date("o_orderdate")
+    span = x.table("orders").agg(F.min(days).alias("first"), F.max(days).alias("last")).first()
+    n = (span["last"] - span["first"]).days + 1 if span["first"] else 0
+    numbered = tables.number_rows(x.spark, n)
+    return numbered.select("row_id", F.date_add(F.lit(span["first"]), F.col("row_id").cast("int")).alias("day"))
+
+
+@query("row_number_spine")
 def _(x: Layers):
     days = x.table("orders").select(F.col("o_orderdate").cast("date").alias("d")).distinct()
     return ordering.global_positions(days, [F.col("d")], "row_id")
@@ -631,23 +642,18 @@ def _(x: Layers):
 
 @query("layer_row_counts")
 def _(x: Layers):
-    f1, f4, f7 = x.f1, x.f4, x.f7
-    return cleaning.layer_row_counts(
-        gold.labelled(
-            {
-                "dim_store": dims.dim_store(x.pos),
-                "dim_product": dims.dim_product(x.pos),
-                "dim_date": x.calendar,
-                "dim_supplier": dims.dim_supplier(x.erp),
-                "fct_daily_sales": f1,
-                "fct_gross_margin": f4,
-                "fct_store_iot_daily": f7,
-                "fct_sales_vs_iot": iot.sales_vs_iot(f1, f7),
-                "mv_store_revenue": rollups.store_daily(f1),
-                "mv_category_revenue": rollups.category_region(f1),
-                "mv_margin_summary": rollups.margin_store(f4),
-            }
-        )
+    """Rows of every gold table, counted in the stored tables; lines are derived once."""
+    stored = gold.build_gold(*_stored_lines(x), new_folder(x.spark, "layers"), grain="year")
+    return cleaning.layer_row_counts(gold.labelled(stored))
+
+
+def _stored_lines(x: Layers) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sales lines, purchase lines and readings, each derived once and stored."""
+    root = new_folder(x.spark, "lines")
+    return (
+        tables.write_table(x.pos, f"{root}/pos"),
+        tables.write_table(x.erp, f"{root}/erp"),
+        tables.write_table(x.readings, f"{root}/readings"),
     )
 
 
@@ -877,25 +883,29 @@ def _(x: Layers):
 
 @query("quality_summary")
 def _(x: Layers):
+    """Rules over stored lines, so that the base tables are joined once, not per rule."""
+    pos, erp, _ = _stored_lines(x)
+    root = new_folder(x.spark, "facts")
+    daily = tables.write_table(facts.fct_daily_sales(pos), f"{root}/daily")
     profit = {"profit_positive": F.col("gross_profit") > 0}
-    calendar = x.calendar.agg(
+    calendar = dims.dim_date(pos).agg(
         F.count("*").alias("days"), F.datediff(F.max("date_key"), F.min("date_key")).alias("span")
     )
-    fact_total = x.f1.agg(numeric.exact_sum("total_revenue").alias("fact"), F.count("*").alias("n"))
+    fact_total = daily.agg(numeric.exact_sum("total_revenue").alias("fact"), F.count("*").alias("n"))
     totals = fact_total.withColumn(
-        "source", facts.sales_lines(x.pos).select(numeric.exact_sum("total_amount")).scalar()
+        "source", facts.sales_lines(pos).select(numeric.exact_sum("total_amount")).scalar()
     )
     # Each fact row is rounded to cents, so the totals may differ by half a cent a row.
     close = F.abs(F.col("fact") - F.col("source")) <= F.col("n") * F.lit("0.005").cast("decimal(4,3)")
     named = {
-        "dim_store": quality.quality_checks(dims.dim_store(x.pos), unique={"key": ["store_id"]}),
-        "dim_product": quality.quality_checks(dims.dim_product(x.pos), unique={"key": ["product_sku"]}),
+        "dim_store": quality.quality_checks(dims.dim_store(pos), unique={"key": ["store_id"]}),
+        "dim_product": quality.quality_checks(dims.dim_product(pos), unique={"key": ["product_sku"]}),
         "dim_date": quality.quality_checks(calendar, {"continuous": F.col("days") == F.col("span") + 1}),
         "daily_sales": quality.quality_checks(totals, {"equals_source": close}),
-        "margin_erp_cost": quality.quality_checks(x.f3, profit),
-        "margin_unit_cost": quality.quality_checks(x.f4, profit),
+        "margin_erp_cost": quality.quality_checks(facts.gross_margin_erp(pos, erp), profit),
+        "margin_unit_cost": quality.quality_checks(facts.gross_margin_unit(pos, erp), profit),
         "clean_pos": quality.quality_checks(
-            cleaning.clean_pos(x.pos),
+            cleaning.clean_pos(pos),
             {"quantity_not_negative": F.col("quantity") >= 0, "amount_positive": F.col("total_amount") > 0},
         ),
     }

@@ -42,18 +42,14 @@ def merge_upsert(
     latest_by: list[str],
     touch: str | None = None,
     at: dt.datetime | str | None = None,
-    small_source: bool = False,
 ) -> DataFrame:
     """Target after a merge: matched rows take ``update_cols``, the rest is inserted.
 
     Rows with a NULL key match nothing; all of them are inserted. ``touch`` names
     a column that gets ``at``, or the clock, on each updated or inserted row.
 
-    Both sides have one row per key, so a shuffle by key has no hot partition. By
-    default one full outer join does all the work. ``small_source`` is for a stored
-    target that is far larger than the changes: it scans the target twice, the
-    second time its keys only, and if the changes are below Spark's broadcast
-    threshold the target is not shuffled at all.
+    Both sides have one row per key, so a shuffle by key has no hot partition, and one
+    full outer join does all the work.
     """
     now = F.current_timestamp().cast("timestamp_ntz") if at is None else instant(at)
     columns = target.columns
@@ -74,20 +70,11 @@ def merge_upsert(
     def inserted(c: str) -> Column:
         return (now if c == touch else F.col(f"_s_{c}")).alias(c)
 
-    if small_source:
-        known = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
-        is_known = [F.col(f"_t_{k}") == F.col(f"_s_{k}") for k in keys]
-        met = known.join(newest.select(*[f"_s_{k}" for k in keys]), is_known, "left_semi")
-        fresh = newest.join(met, is_known, "left_anti")
-        merged = target.join(newest, on, "left").select(*[updated(c) for c in columns])
-        merged = merged.unionByName(fresh.select(*[inserted(c) for c in columns]))
-    else:
-        in_target = F.col("_in_target").isNotNull()
-        both = target.withColumn("_in_target", F.lit(True)).join(newest, on, "full_outer")
-        merged = both.select(
-            *[F.when(in_target, updated(c)).otherwise(inserted(c)).alias(c) for c in columns]
-        )
-
+    in_target = F.col("_in_target").isNotNull()
+    both = target.withColumn("_in_target", F.lit(True)).join(newest, on, "full_outer")
+    merged = both.select(
+        *[F.when(in_target, updated(c)).otherwise(inserted(c)).alias(c) for c in columns]
+    )
     unkeyed = source.where(~all_present(keys)).select(*data)
     if touch:
         unkeyed = unkeyed.withColumn(touch, now)

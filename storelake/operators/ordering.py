@@ -69,62 +69,63 @@ def ntile_global(df: DataFrame, order: list[Column], n: int, name: str = "tile")
     return placed.withColumn("_total", total).select(*df.columns, (tile + 1).cast("int").alias(name))
 
 
-# Up to this many order values of one part, a window over them is cheaper than slices.
-WINDOW_ROWS = 1_000_000
+#: Slices of a part's order values; a task sorts the values of one slice.
+RANK_SLICES = 100
 
 
 def rank_within(
-    df: DataFrame,
-    part: list[str],
-    order: str,
-    name: str = "rank",
-    descending: bool = True,
-    window_rows: int = WINDOW_ROWS,
+    df: DataFrame, part: list[str], order: str, name: str = "rank", descending: bool = True
 ) -> DataFrame:
-    """Rank with gaps by ``order`` inside each ``part``, NULLs first when descending.
+    """Rank with gaps by a number or date ``order`` inside each ``part``, NULLs first when
+    descending and last when not.
 
     A rank is one plus the number of rows of the part that sort before. Rows are
-    first counted per order value, with a partial count before the shuffle, so
-    what is ranked is values, not rows. If no part holds more than
-    ``window_rows`` values, a window adds up the counts; else they are added up
-    along slices of the order, and no part is gathered in one task.
-
-    ``df`` is read more than once and should be a stored or staged relation.
+    first counted per order value, with a partial count before the shuffle, so what
+    is ranked is values, not rows. Approximate percentiles cut the values of a part
+    into slices; counts before a slice and counts inside it add up to the rank. How
+    good the cuts are decides about balance only, never about the result.
     """
     key, value = [f"_k{i}" for i in range(len(part))], "_v"
     named = [F.col(p).alias(k) for p, k in zip(part, key, strict=True)]
     counted = (
         df.select(*named, F.col(order).alias(value)).groupBy(*key, value).agg(F.count("*").alias("_n"))
     )
+    number = F.col(value).cast("timestamp").cast("double") if _is_time(df, order) else (
+        F.col(value).cast("double")
+    )
+    shares = F.array(*[F.lit(i / RANK_SLICES) for i in range(1, RANK_SLICES)])
+    cut_key = [f"_c{k}" for k in key]
+    cuts = counted.groupBy(*[F.col(k).alias(c) for k, c in zip(key, cut_key, strict=True)]).agg(
+        F.percentile_approx(number, shares, F.lit(10_000)).alias("_cuts")
+    )
+    passed = F.filter("_cuts", lambda c: c > number if descending else c < number)
+    last = F.lit(-1 if descending else RANK_SLICES)  # where NULLs go
+    slices = counted.join(cuts, _same(key, cut_key)).select(
+        *key, value, "_n", F.when(F.col(value).isNull(), last).otherwise(F.size(passed)).alias("_slice")
+    )
+    held = slices.groupBy(*key, "_slice").agg(F.sum("_n").alias("_held"))
+    earlier = Window.partitionBy(*key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    other = [f"_f{k}" for k in key]
+    before = held.select(
+        *[F.col(k).alias(o) for k, o in zip(key, other, strict=True)],
+        F.col("_slice").alias("_of"),
+        F.coalesce(F.sum("_held").over(earlier), F.lit(0)).alias("_before"),
+    )
     direction = F.col(value).desc_nulls_first() if descending else F.col(value).asc_nulls_last()
-    sizes = counted.groupBy(*key).agg(F.count("*").alias("_values"))
-    largest = sizes.agg(F.max("_values").alias("n")).first()["n"] or 0
-    if largest <= window_rows:
-        w = Window.partitionBy(*key).orderBy(direction)
-        earlier = w.rowsBetween(Window.unboundedPreceding, -1)
-        ahead = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
-    else:
-        counted = _rows_ahead(counted, key, direction)
-        ahead = F.col("_ahead")
-    ranks = counted.select(*key, value, (ahead + 1).cast("int").alias(name))
+    inside = Window.partitionBy(*key, "_slice").orderBy(direction)
+    ahead = F.coalesce(
+        F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+    ranks = (
+        slices.withColumn("_ahead", ahead)
+        .join(before, _same([*key, "_slice"], [*other, "_of"]))
+        .select(*key, value, (F.col("_before") + F.col("_ahead") + 1).cast("int").alias(name))
+    )
     return df.join(ranks, _same([*part, order], [*key, value])).select(*df.columns, name)
 
 
-def _rows_ahead(counted: DataFrame, key: list[str], direction: Column) -> DataFrame:
-    """Adds ``_ahead``: the rows of the same key that sort before, from the counts ``_n``."""
-    slices = _slices(counted, [*[F.col(k).asc_nulls_first() for k in key], direction])
-    earlier = Window.partitionBy("_slice").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.col("_before") + F.coalesce(F.sum("_n").over(earlier), F.lit(0))
-    placed = _with_rows_before_slice(slices, F.sum("_n")).select(
-        *counted.columns, before.alias("_all_ahead")
-    )
-    # What sorts before the first value of a key belongs to other keys.
-    other = [f"_f{k}" for k in key]
-    first = placed.groupBy(*[F.col(k).alias(o) for k, o in zip(key, other, strict=True)]).agg(
-        F.min("_all_ahead").alias("_first")
-    )
-    ahead = (F.col("_all_ahead") - F.col("_first")).alias("_ahead")
-    return placed.join(first, _same(key, other)).select(*counted.columns, ahead)
+def _is_time(df: DataFrame, column: str) -> bool:
+    return df.select(column).schema[0].dataType.typeName() in ("date", "timestamp", "timestamp_ntz")
 
 
 def _same(left: list[str], right: list[str]) -> Column:

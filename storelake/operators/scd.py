@@ -34,24 +34,29 @@ def scd2_seed(stores: DataFrame, effective_date: str) -> DataFrame:
 
 
 def scd2_apply(
-    dim: DataFrame, updates: DataFrame, as_of: dt.date | str, literal: bool = False
+    dim: DataFrame,
+    updates: DataFrame,
+    as_of: dt.date | str,
+    literal: bool = False,
+    latest_by: str | None = None,
 ) -> DataFrame:
     """Dimension after a batch of store updates.
 
     A current row whose tracked values changed is closed at ``as_of`` and a new
     current version opens; a store not seen before opens its first version.
-    Repeated updates of a store count once, and applying a batch twice changes
-    nothing more. A NULL is a value like any other.
+    Of several updates of a store the last by ``latest_by`` counts, a column of the
+    feed such as its load time; without one, or in a tie, the greatest values do.
+    Applying a batch twice changes nothing more. A NULL is a value like any other.
 
-    ``literal`` follows the two-statement original instead: only a changed city
-    counts and a NULL never does, new stores are ignored, and every row closed
-    on that day opens one new version per matching update.
+    ``literal`` follows the two-statement original instead: a row is closed when any
+    update has another city, where a NULL never counts, new stores are ignored, and
+    every row closed on that day opens one new version per matching update.
     """
     day = F.lit(as_of).cast("date")
     if literal:
         closed, opened = _literal_steps(dim, updates, day)
     else:
-        closed, opened = _steps(dim, updates, day)
+        closed, opened = _steps(dim, updates, day, latest_by)
     top = F.coalesce(dim.select(F.max("store_key")).scalar(), F.lit(0))
     opened = opened.withColumns(
         {
@@ -64,10 +69,9 @@ def scd2_apply(
     return closed.unionByName(conform(keyed, store_scd2_schema()))
 
 
-def _incoming(updates: DataFrame) -> DataFrame:
-    return updates.select(
-        F.col(KEY).alias("_id"), *[F.col(src).alias(f"_new_{c}") for c, src in TRACKED.items()]
-    )
+def _incoming(updates: DataFrame, *more: Column) -> DataFrame:
+    new = [F.col(src).alias(f"_new_{c}") for c, src in TRACKED.items()]
+    return updates.select(F.col(KEY).alias("_id"), *new, *more)
 
 
 def _close(dim: DataFrame, changed: Column, day: Column) -> DataFrame:
@@ -78,10 +82,13 @@ def _close(dim: DataFrame, changed: Column, day: Column) -> DataFrame:
     )
 
 
-def _steps(dim: DataFrame, updates: DataFrame, day: Column) -> tuple[DataFrame, DataFrame]:
-    incoming = _incoming(updates.where(F.col(KEY).isNotNull()))
-    incoming = latest_per_key(incoming, ["_id"], [f"_new_{c}" for c in TRACKED])
-    incoming = incoming.withColumn("_sent", F.lit(True))
+def _steps(
+    dim: DataFrame, updates: DataFrame, day: Column, latest_by: str | None
+) -> tuple[DataFrame, DataFrame]:
+    when = F.col(latest_by) if latest_by else F.lit(0)
+    incoming = _incoming(updates.where(F.col(KEY).isNotNull()), when.alias("_when"))
+    incoming = latest_per_key(incoming, ["_id"], ["_when", *[f"_new_{c}" for c in TRACKED]])
+    incoming = incoming.drop("_when").withColumn("_sent", F.lit(True))
     matched = (F.col(KEY) == F.col("_id")) & F.col("is_current")
     joined = dim.join(incoming, matched, "left")
     differs = F.lit(False)
@@ -102,12 +109,14 @@ def _steps(dim: DataFrame, updates: DataFrame, day: Column) -> tuple[DataFrame,
 
 def _literal_steps(dim: DataFrame, updates: DataFrame, day: Column) -> tuple[DataFrame, DataFrame]:
     incoming = _incoming(updates)
-    moved = latest_per_key(
-        incoming.where(F.col("_id").isNotNull()), ["_id"], ["_new_city_name", "_new_store_name"]
+    # Least and greatest city tell whether any update differs, at one row per store.
+    sent = incoming.where(F.col("_id").isNotNull()).groupBy("_id").agg(
+        F.min("_new_city_name").alias("_least"), F.max("_new_city_name").alias("_greatest")
     )
     matched = (F.col(KEY) == F.col("_id")) & F.col("is_current")
-    joined = dim.join(moved, matched, "left")
-    changed = F.coalesce(F.col("city_name") != F.col("_new_city_name"), F.lit(False))
+    joined = dim.join(sent, matched, "left")
+    city = F.col("city_name")
+    changed = F.coalesce((city != F.col("_least")) | (city != F.col("_greatest")), F.lit(False))
     closed = _close(joined, changed, day)
 
     closed_today = closed.where(~F.col("is_current") & (F.col("end_date") == day)).select(

@@ -42,17 +42,22 @@ def pct_change(
 def vs_group_mean(
     df: DataFrame, part: str, col: str, delta: str, delta_pct: str
 ) -> DataFrame:
-    """Distance of each row from the mean of its group, absolute and in percent."""
-    w = Window.partitionBy(part)
-    mean = F.try_divide(
-        F.sum(money(col)).over(w).cast("double"), F.count(F.col(col)).over(w).cast("double")
+    """Distance of each row from the mean of its group, absolute and in percent.
+
+    Sums and counts combine before the shuffle and are joined back, so the rows of a
+    group need not meet in one task. ``df`` is read twice.
+    """
+    means = df.groupBy(F.col(part).alias("_group")).agg(
+        F.try_divide(
+            F.sum(money(col)).cast("double"), F.count(F.col(col)).cast("double")
+        ).alias("_mean")
     )
+    mean = F.col("_mean")
     gap = F.col(col).cast("double") - mean
-    return df.withColumns(
-        {
-            delta: round_dec(gap, 2),
-            delta_pct: round_dec(F.try_divide(F.lit(100.0) * gap, mean), 1),
-        }
+    return df.join(means, F.col(part).eqNullSafe(F.col("_group"))).select(
+        *df.columns,
+        round_dec(gap, 2).alias(delta),
+        round_dec(F.try_divide(F.lit(100.0) * gap, mean), 1).alias(delta_pct),
     )
 
 

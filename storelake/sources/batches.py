@@ -46,21 +46,40 @@ def read_batches(
     return df if before is None else df.where(F.col(BATCH) < before)
 
 
-def write_base(df: DataFrame, root: str, version: int) -> None:
-    df.write.mode("overwrite").parquet(f"{root}/v={version}")
+def is_complete(spark: SparkSession, root: str, version: int) -> bool:
+    return path_exists(spark, f"{root}/v={version}/_SUCCESS")
+
 
+def write_base(df: DataFrame, root: str, version: int) -> None:
+    """Stores a base under a name of its own first, and renames it when it is whole.
 
-def newest_base(spark: SparkSession, root: str) -> int:
-    """Newest base whose write finished, -1 if there is none."""
+    A complete base of this version stays as it is: a batch that runs again after a
+    failure never overwrites what it may be reading.
+    """
+    spark = df.sparkSession
+    if is_complete(spark, root, version):
+        return
+    fs, unfinished = _files(spark, f"{root}/_unfinished-v={version}")
+    df.write.mode("overwrite").parquet(str(unfinished))
+    final = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/v={version}")
+    fs.delete(final, True)  # the rest of an attempt that failed
+    if not fs.rename(unfinished, final):
+        raise OSError(f"cannot rename {unfinished} to {final}")
+
+
+def bases(spark: SparkSession, root: str) -> list[int]:
+    """Versions whose write finished, in order."""
     fs, where = _files(spark, root)
     if not fs.exists(where):
-        return -1
-    versions = [-1]
-    for entry in fs.listStatus(where):
-        name = entry.getPath().getName()
-        if name.startswith("v=") and path_exists(spark, f"{root}/{name}/_SUCCESS"):
-            versions.append(int(name[2:]))
-    return max(versions)
+        return []
+    names = [entry.getPath().getName() for entry in fs.listStatus(where)]
+    versions = [int(n[2:]) for n in names if n.startswith("v=")]
+    return sorted(v for v in versions if is_complete(spark, root, v))
+
+
+def newest_base(spark: SparkSession, root: str, before: int | None = None) -> int:
+    """Newest complete base, below version ``before`` if given; -1 if there is none."""
+    return max([-1, *[v for v in bases(spark, root) if before is None or v < before]])
 
 
 def drop_batches(spark: SparkSession, root: str, upto: int) -> int:
@@ -70,8 +89,20 @@ def drop_batches(spark: SparkSession, root: str, upto: int) -> int:
     """
     fs, where = _files(spark, root)
     dropped = 0
-    for entry in fs.listStatus(where):
+    for entry in fs.listStatus(where) if fs.exists(where) else []:
         name = entry.getPath().getName()
         if name.startswith(f"{BATCH}=") and int(name.removeprefix(f"{BATCH}=")) <= upto:
             dropped += bool(fs.delete(entry.getPath(), True))
     return dropped
+
+
+def retire(spark: SparkSession, base_root: str, batch_root: str, keep: int = 2) -> None:
+    """Deletes all but the newest ``keep`` bases, and the batches that the oldest of
+    those has taken in. Readers that started from the base before the newest go on."""
+    stored = bases(spark, base_root)
+    if len(stored) < keep:
+        return
+    fs, _ = _files(spark, base_root)
+    for version in stored[:-keep]:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{base_root}/v={version}"), True)
+    drop_batches(spark, batch_root, stored[-keep])

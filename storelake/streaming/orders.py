@@ -23,6 +23,7 @@ from storelake.sources.batches import (
     BATCH,
     newest_base,
     read_batches,
+    retire,
     write_base,
     write_batch,
 )
@@ -54,22 +55,28 @@ def fold_changes(changes: DataFrame, keys: list[str], update_cols: list[str]) ->
     return folded.select(*values).unionByName(changes.where(~all_present(keys)).drop(BATCH))
 
 
-def read_orders(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """Orders as of the last stored batch."""
-    version = newest_base(spark, f"{root}/base")
-    changes = read_batches(spark, f"{root}/changes", schema, after=version)
+def read_orders(
+    spark: SparkSession, root: str, schema: T.StructType, upto: int | None = None
+) -> DataFrame:
+    """Orders as of the last stored batch, or of batch ``upto`` from a base before it."""
+    version = newest_base(spark, f"{root}/base", before=upto)
+    last = None if upto is None else upto + 1
+    changes = read_batches(spark, f"{root}/changes", schema, after=version, before=last)
     folded = fold_changes(changes, ORDER_KEYS, [*ORDER_UPDATES, *LATEST_BY])
     if version < 0:
         return folded
     base = spark.read.schema(schema).parquet(f"{root}/base/v={version}")
-    return merge_upsert(
-        base, folded, ORDER_KEYS, [*ORDER_UPDATES, *LATEST_BY], LATEST_BY, small_source=True
-    )
+    return merge_upsert(base, folded, ORDER_KEYS, [*ORDER_UPDATES, *LATEST_BY], LATEST_BY)
 
 
 def compact(spark: SparkSession, root: str, schema: T.StructType, version: int) -> None:
-    """Folds everything up to batch ``version`` into a new base; old files stay as they are."""
-    write_base(read_orders(spark, root, schema), f"{root}/base", version)
+    """Folds everything up to batch ``version`` into a new base.
+
+    It reads a base older than ``version`` only, and leaves a complete one alone, so a
+    batch may run again at any point. Two bases stay, with the batches the older needs.
+    """
+    write_base(read_orders(spark, root, schema, upto=version), f"{root}/base", version)
+    retire(spark, f"{root}/base", f"{root}/changes")
 
 
 def orders_stream(

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from storelake.functions.numeric import exact_sum, ratio, round_dec
 from storelake.plans.facts import sales_lines
-from storelake.sources.batches import BATCH, newest_base, read_batches, write_base, write_batch
+from storelake.sources.batches import BATCH, newest_base, read_batches, retire, write_base, write_batch
 from storelake.streaming.ingest import each_batch
 
 SKETCH_LG_K = 14  # about one percent error
@@ -52,10 +52,14 @@ def _schema(lines: T.StructType, keys: list[str]) -> T.StructType:
     return T.StructType(named)
 
 
-def _stored(spark: SparkSession, root: str, lines: T.StructType, keys: list[str]) -> DataFrame:
+def _stored(
+    spark: SparkSession, root: str, lines: T.StructType, keys: list[str], upto: int | None = None
+) -> DataFrame:
+    """The newest base, below batch ``upto`` if given, and the partials after it."""
     schema = _schema(lines, keys)
-    version = newest_base(spark, f"{root}/base")
-    rows = read_batches(spark, f"{root}/partials", schema, after=version).drop(BATCH)
+    version = newest_base(spark, f"{root}/base", before=upto)
+    last = None if upto is None else upto + 1
+    rows = read_batches(spark, f"{root}/partials", schema, version, last).drop(BATCH)
     if version < 0:
         return rows
     return rows.unionByName(spark.read.schema(schema).parquet(f"{root}/base/v={version}"))
@@ -98,8 +102,8 @@ def maintain_rollup(
         session = batch.sparkSession
         write_batch(partials(batch, keys), f"{root}/partials", batch_id)
         if (batch_id + 1) % compact_every == 0:
-            write_base(
-                merge_partials(_stored(session, root, lines, keys), keys), f"{root}/base", batch_id
-            )
+            stored = _stored(session, root, lines, keys, upto=batch_id)
+            write_base(merge_partials(stored, keys), f"{root}/base", batch_id)
+            retire(session, f"{root}/base", f"{root}/partials")
 
     return each_batch(reader.parquet(src), step, ckpt, interval)

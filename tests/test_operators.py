@@ -42,14 +42,13 @@ def test_ntile_equals_window(spark, n, tiles):
     assert got.where("tile <> expected").count() == 0
 
 
-@pytest.mark.parametrize("window_rows", [0, 1_000_000])
 @pytest.mark.parametrize("descending", [True, False])
-def test_rank_equals_window_with_ties_and_nulls(spark, window_rows, descending):
+def test_rank_equals_window_with_ties_and_nulls(spark, descending):
     df = skewed(spark).withColumn("val", F.when(F.col("id") % 50 != 1, F.col("val")))
     df = df.withColumn("grp", F.when(F.col("id") % 40 != 2, F.col("grp")))
     val = F.col("val").desc_nulls_first() if descending else F.col("val").asc_nulls_last()
     w = Window.partitionBy("grp").orderBy(val)
-    got = ordering.rank_within(df, ["grp"], "val", "r", descending, window_rows)
+    got = ordering.rank_within(df, ["grp"], "val", "r", descending)
     expected = df.select("id", F.rank().over(w).alias("e"))
     both = got.join(expected, "id")
     assert both.count() == df.count()
@@ -100,8 +99,7 @@ def test_device_last_seen_counts_low_readings(spark, rows):
 ORDER = "order_id string, quantity_ordered int, order_status string, load_ts int, processed_ts timestamp_ntz"
 
 
-@pytest.mark.parametrize("small_source", [False, True])
-def test_merge_upsert(spark, rows, small_source):
+def test_merge_upsert(spark, rows):
     old, new = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
     target = spark.createDataFrame(
         [("a", 1, "open", 1, old), ("b", 2, "open", 1, old), (None, 9, "open", 1, old)], ORDER
@@ -114,8 +112,7 @@ def test_merge_upsert(spark, rows, small_source):
         ORDER,
     ).drop("processed_ts")
     got = merge.merge_upsert(
-        target, source, ["order_id"], ["order_status"], ["load_ts"], touch="processed_ts", at=new,
-        small_source=small_source,
+        target, source, ["order_id"], ["order_status"], ["load_ts"], touch="processed_ts", at=new
     )
     assert got.columns == target.columns
     assert rows(got, "order_id", "quantity_ordered", "order_status", "processed_ts") == [

@@ -82,3 +82,15 @@ def test_seed(spark, rows):
     assert rows(scd.scd2_seed(stores, "2024-01-01"), "store_key", "store_id", "city_name", "is_current") == [
         (1, "s1", "X", True), (2, "s2", "Y", True),
     ]
+
+
+@pytest.mark.parametrize("cities", [("Lyon", "Paris"), ("Paris", "Lyon"), ("Paris", "Oslo")])
+def test_the_last_update_in_time_counts(spark, cities):
+    dim = spark.createDataFrame([(1, "s1", "Main", "Paris", D0, None, True)], store_scd2_schema())
+    feed = spark.createDataFrame(
+        [("s1", "Main", c, n) for n, c in enumerate(cities)], UPDATE + ", load_ts int"
+    )
+    now = scd.scd2_apply(dim, feed, D2, latest_by="load_ts").where("is_current").collect()
+    assert [r.city_name for r in now] == [cities[-1]]
+    closed = scd.scd2_apply(dim, feed, D2, literal=True).where("store_key = 1").first()
+    assert not closed.is_current  # one of the updates has another city

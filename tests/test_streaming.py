@@ -193,6 +193,33 @@ def test_orders_stream_equals_merging_batch_by_batch(spark, tmp_path, rows):
     ]
 
 
+def test_a_batch_runs_again_after_a_lost_commit(spark, tmp_path, rows):
+    """Every batch compacts; the last one is repeated before and after older files went."""
+    at = {n: str(tmp_path / n) for n in ("bronze", "orders", "ckpt")}
+    schema = spark.createDataFrame([], ORDER).schema
+
+    def run():
+        finish(
+            orders.orders_stream(
+                spark, at["bronze"], schema, at["orders"], at["ckpt"], compact_every=1
+            )
+        )
+
+    for n, data in enumerate(ORDER_BATCHES):
+        spark.createDataFrame(data, schema).write.mode("append").parquet(at["bronze"])
+        run()
+        before = rows(orders.read_orders(spark, at["orders"], schema))
+        for name in (f"{n}", f".{n}.crc"):
+            (tmp_path / "ckpt/commits" / name).unlink(missing_ok=True)
+        if n == 1:  # the crash came before the base was whole
+            (tmp_path / "orders/base/v=1/_SUCCESS").unlink()
+        run()
+        assert rows(orders.read_orders(spark, at["orders"], schema)) == before
+    assert batches.bases(spark, at["orders"] + "/base") == [1, 2]
+    left = sorted(p.name for p in (tmp_path / "orders/changes").iterdir() if p.is_dir())
+    assert left == ["batch=2"]
+
+
 def test_unfinished_base_is_not_read(spark, tmp_path):
     root = str(tmp_path / "base")
     batches.write_base(spark.range(3), root, 4)

@@ -47,6 +47,9 @@ HEADLINE = [
     "merge_upsert_orders",
     "standard_stream",
     "layer_row_counts",
+    "quality_summary",
+    "ingest_erp_orders",
+    "merge_orders_stream",
 ]
 
 

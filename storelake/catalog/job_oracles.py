@@ -50,7 +50,8 @@ JOB_ORACLES = {
     "append_only_stream": "SELECT * FROM clean",
     "file_ledger": """SELECT CAST(0 AS BIGINT) AS files_missing, CAST(0 AS BIGINT) AS files_twice,
         count(*) AS rows_loaded, CAST(0 AS BIGINT) AS rows_rejected FROM pos""",
-    "load_audit": """SELECT 'pos_transactions' AS table_name, count(*) AS rows_loaded,
+    "load_audit": """SELECT 'pos_transactions' AS table_name, CAST(0 AS BIGINT) AS files_over,
+        count(*) AS rows_loaded,
         CAST(0 AS BIGINT) AS rows_rejected FROM pos""",
     "run_if_data": "SELECT count(*) AS n_rows FROM inventory",
     "inventory_append": "SELECT * FROM clean_stock",

@@ -592,6 +592,7 @@ _BODIES = {
         count(*) AS total_transactions, {big("sum(quantity)")} AS total_quantity,
         {dbl(msum("total_amount"))} AS total_revenue FROM pos GROUP BY ALL""",
     "fct_daily_sales": "SELECT * FROM f1",
+    "fct_daily_sales_staging": "SELECT * FROM f1",
     "daily_sales_report": "SELECT * FROM f2",
     "gross_margin_unit_cost": "SELECT * FROM f4",
     "gross_margin_flat_rate": f"""SELECT store_name, category, {dbl(msum("total_amount"))} AS total_revenue_generated,
@@ -693,4 +694,5 @@ ORACLES = {name: _with(body) for name, body in _BODIES.items()}
 ORACLES.update({name: ORACLES[same] for name, same in _SAME.items()})
 ORACLES.update({name: _with(body) for name, body in JOB_ORACLES.items()})
 ORACLES["gold_tables"] = ORACLES["layer_row_counts"]
+ORACLES["scd2_stream"] = ORACLES["scd2_apply_store"]
 ORACLES["gold_store_q4"] = ORACLES["store_q4"]

@@ -43,6 +43,11 @@ class Layers:
     def erp(self) -> DataFrame:
         return testbed.erp_orders(self.spark, self.dir)
 
+    @cached_property
+    def suppliers(self) -> DataFrame:
+        """The supplier dimension from master data, so that no line is read for a name."""
+        return dims.dim_supplier(testbed.suppliers(self.spark, self.dir))
+
     @cached_property
     def inventory(self) -> DataFrame:
         return testbed.inventory(self.spark, self.dir)
@@ -343,7 +348,7 @@ def _(x: Layers):
 
 @query("join_supplier")
 def _(x: Layers):
-    joined = analytics.orders_with_supplier(x.erp, dims.dim_supplier(x.erp))
+    joined = analytics.orders_with_supplier(x.erp, x.suppliers)
     return joined.select(
         "order_id", "product_sku", "supplier_id", "supplier_name", "supplier_city", "quantity_ordered"
     )
@@ -612,7 +617,8 @@ def _(x: Layers):
     span = x.table("orders").agg(F.min(days).alias("first"), F.max(days).alias("last")).first()
     n = (span["last"] - span["first"]).days + 1 if span["first"] else 0
     numbered = tables.number_rows(x.spark, n)
-    return numbered.select("row_id", F.date_add(F.lit(span["first"]), F.col("row_id").cast("int")).alias("day"))
+    day = F.date_add(F.lit(span["first"]), F.col("row_id").cast("int"))
+    return numbered.select("row_id", day.alias("day"))
 
 
 @query("row_number_spine")
@@ -781,6 +787,18 @@ def _(x: Layers):
     return x.f1
 
 
+@query("fct_daily_sales_staging")
+def _(x: Layers):
+    """The fact from lines of the staging form: a timestamp and ``line_total``."""
+    staged = x.pos.withColumns(
+        {
+            "transaction_ts": F.col("transaction_date").cast("timestamp_ntz"),
+            "line_total": F.col("total_amount"),
+        }
+    ).drop("transaction_date", "total_amount")
+    return facts.fct_daily_sales(facts.from_staging(staged))
+
+
 @query("daily_sales_report")
 def _(x: Layers):
     return facts.daily_sales_report(x.pos)
@@ -818,7 +836,7 @@ def _(x: Layers):
 
 @query("supplier_performance")
 def _(x: Layers):
-    return analytics.supplier_performance(x.erp, dims.dim_supplier(x.erp))
+    return analytics.supplier_performance(x.erp, x.suppliers)
 
 
 @query("store_last_30d")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelake.functions.numeric import ColumnOrName, as_col, exact_sum, round_dec
+from storelake.functions.numeric import ColumnOrName, as_col, exact_sum
 
 
 def row_count(df: DataFrame, name: str = "n_rows") -> DataFrame:
@@ -48,10 +48,6 @@ def summary(df: DataFrame, measures: dict[str, Column]) -> DataFrame:
     return df.agg(*[agg.alias(name) for name, agg in measures.items()])
 
 
-def total(c: ColumnOrName, n: int = 2) -> Column:
-    return round_dec(exact_sum(c), n)
-
-
 def distinct_rows(df: DataFrame, cols: list[str], not_null: str | None = None) -> DataFrame:
     if not_null:
         df = df.where(F.col(not_null).isNotNull())

@@ -97,16 +97,28 @@ def pos(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def erp_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchase order lines."""
-    suppliers = table(spark, sf_dir, "supplier").join(
+def _suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "supplier").join(
         table(spark, sf_dir, "nation").select(
             F.col("n_nationkey").alias("s_city_key"), F.col("n_name").alias("s_city")
         ),
         F.col("s_nationkey") == F.col("s_city_key"),
     )
+
+
+def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Supplier master data: the names that the purchase lines repeat."""
+    return _suppliers(spark, sf_dir).select(
+        _text("s_suppkey").alias("supplier_id"),
+        F.col("s_name").alias("supplier_name"),
+        F.col("s_city").alias("supplier_city"),
+    )
+
+
+def erp_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchase order lines."""
     lines = _line_with_store(spark, sf_dir).join(
-        suppliers, F.col("l_suppkey") == F.col("s_suppkey")
+        _suppliers(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey")
     )
     unit_cost = (F.col("p_retailprice") * 0.6).cast(MONEY)
     received = F.when(F.col("l_returnflag") == "R", 0).otherwise(F.col("l_quantity").cast("int"))

@@ -10,11 +10,30 @@ _POS = """SELECT transaction_id, store_id, store_name, store_city, store_region,
 _ERP = """SELECT * REPLACE (CAST(unit_cost AS DOUBLE) AS unit_cost, CAST(total_cost AS DOUBLE) AS total_cost)
     FROM erp"""
 
+_ORDER_COLUMNS = """order_date store_id store_city supplier_id supplier_name supplier_city product_sku
+    category quantity_ordered quantity_received unit_cost total_cost order_status expected_delivery
+    actual_delivery warehouse_id lead_time_days is_late""".split()
+_ORDER_UPDATES = "order_status quantity_received actual_delivery is_late load_ts".split()
+
+
+def _merged_orders() -> str:
+    """The newest line of each order of two batches: inserted by the first, updated by the second."""
+    newest = ", ".join(f"{c} DESC NULLS LAST" for c in ["load_ts", *_ORDER_COLUMNS])
+    batch = f"""SELECT DISTINCT ON (order_id) * FROM ({_ERP})
+        WHERE load_ts {{}} TIMESTAMP '1998-01-01 00:00:00' ORDER BY order_id, {newest}"""
+    values = ", ".join(
+        f"CASE WHEN {'b.order_id IS NOT NULL THEN b' if c in _ORDER_UPDATES else 'a.order_id IS NULL THEN b'}"
+        f".{c} ELSE a.{c} END AS {c}"
+        for c in [*_ORDER_COLUMNS, "load_ts"]
+    )
+    return f"""SELECT coalesce(a.order_id, b.order_id) AS order_id, {values}
+        FROM ({batch.format("<")}) a FULL JOIN ({batch.format(">=")}) b ON a.order_id = b.order_id"""
+
+
 JOB_ORACLES = {
     "scan_csv_landing": _POS,
     "scan_parquet_by_name": f"SELECT * EXCLUDE (load_ts) FROM ({_ERP})",
-    "scan_parquet_as_variant": """SELECT order_id, category, CAST(total_cost AS DOUBLE) AS total_cost
-        FROM erp""",
+    "scan_parquet_as_variant": f"SELECT * EXCLUDE (load_ts) FROM ({_ERP})",
     "scan_json_array": "SELECT * FROM iot_events",
     "scan_json_array_variant": "SELECT * FROM alerts",
     "file_name_pattern": """SELECT transaction_id, product_sku, transaction_date, quantity FROM pos
@@ -60,11 +79,7 @@ JOB_ORACLES = {
     "chained_refresh": """SELECT transaction_date AS date_key, store_id, product_sku, category,
         count(*) AS total_transactions, CAST(sum(quantity) AS BIGINT) AS total_quantity,
         CAST(sum(total_amount) AS DOUBLE) AS total_revenue FROM clean_lines GROUP BY ALL""",
-    "merge_orders_stream": """SELECT DISTINCT ON (order_id) order_id, order_status, actual_delivery
-        FROM erp ORDER BY order_id, load_ts DESC, order_date DESC, store_id DESC, store_city DESC,
-        supplier_id DESC, supplier_name DESC, supplier_city DESC, product_sku DESC, category DESC,
-        quantity_ordered DESC, quantity_received DESC, unit_cost DESC, total_cost DESC,
-        order_status DESC""",
+    "merge_orders_stream": _merged_orders(),
     "incremental_rollup": """SELECT store_id, store_name, store_city, store_region, transaction_date,
         CAST(round(sum(total_amount), 2) AS DOUBLE) AS revenue,
         CAST(sum(quantity) AS BIGINT) AS units_sold, count(*) AS n_lines,

@@ -106,11 +106,7 @@ def _(j: Job):
 def _(j: Job):
     tables.write_table(j.erp, j.at("landing"))
     raw = landing.read_parquet_variant(j.spark, j.at("landing"))
-    fields = {
-        "order_id": ("order_id", "string"),
-        "category": ("category", "string"),
-        "total_cost": ("total_cost", "double"),
-    }
+    fields = {f.name: (f.name, f.dataType.simpleString()) for f in schemas.erp_orders_schema()}
     return landing.project_paths(raw, fields, variant="raw_data")
 
 
@@ -401,8 +397,7 @@ def _(j: Job):
         orders.orders_stream(
             j.spark, bronze, schema, j.at("orders"), j.at("ckpt"), compact_every=2
         ).awaitTermination()
-    current = orders.read_orders(j.spark, j.at("orders"), schema)
-    return current.select("order_id", "order_status", "actual_delivery")
+    return orders.read_orders(j.spark, j.at("orders"), schema)
 
 
 @job("scd2_stream")
@@ -476,6 +471,19 @@ def _(j: Job):
     return cleaning.layer_row_counts(gold.labelled(stored))
 
 
+@job("gold_sales_vs_iot")
+def _(j: Job):
+    """Stored values, not counts: the fact that is built from two other stored facts."""
+    stored = gold.build_gold(
+        testbed.pos(j.spark, j.sf_dir),
+        testbed.erp_orders(j.spark, j.sf_dir),
+        testbed.iot_readings(j.spark, j.sf_dir),
+        j.at("gold"),
+        grain="year",
+    )
+    return stored["fct_sales_vs_iot"].drop(tables.PERIOD)
+
+
 @job("gold_store_q4")
 def _(j: Job):
     """A quarter of the stored store-days, from the partitions of that year only."""

@@ -70,9 +70,9 @@ class Subwords:
         self.ends = np.zeros(self.size, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.most_words = most_words
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
         self.number: dict[bytes, int] = {}
         self.words = Spans()
         self.piece: dict[str, int] = {" ": 0}
@@ -120,20 +120,16 @@ class Subwords:
         self.number.update(zip(words, range(known, known + len(words)), strict=True))
         self.words.add(ids, sizes)
 
-    def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """As ``encode``, of texts that are one lower-case word each."""
-        if len(self.number) > self.most_words:
-            self._clear()
+    def codes(self, words: list[bytes]) -> np.ndarray:
+        """Numbers of lower-case words in ``self.words``; only ``clear`` forgets them."""
         self._learn(list(set(words).difference(self.number)))
-        at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        ids, _ = self.words.take(at)
-        return ids, self.words.count[at]
+        return np.fromiter(map(self.number.__getitem__, words), np.int32, len(words))
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, and how many each text has."""
         words = [t.lower().split() for t in texts]
         if len(self.number) > self.most_words:
-            self._clear()
+            self.clear()
         self._learn(list(set().union(*words).difference(self.number)))
         per_text = np.array([len(ws) for ws in words], np.int64)
         number = map(self.number.__getitem__, chain.from_iterable(words))

@@ -14,7 +14,6 @@ from operator import eq
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from storelake.llm import crf
 from storelake.llm.common import fold, labelled_sample, text_of
@@ -123,7 +122,8 @@ def fit(sample: list[tuple[str, int]], relabel: int = 2) -> Model:
 
     Labels are of documents. Lines start with the label of theirs, and a first fit takes
     each line alone, without neighbours. Then each round takes the fitted marginals: in a
-    bad document only lines below one half stay bad, and its worst line always does. Without both classes every score is the share of the larger.
+    bad document only lines below one half stay bad, and its worst line always does.
+    Without both classes every document gets the score of the one there is.
     """
     y = np.array([label for _, label in sample], np.int64)
     if len(set(y.tolist())) < 2:

@@ -23,7 +23,6 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from storelake.llm.common import fold, labelled_sample, text_of
 

@@ -90,13 +90,18 @@ def exact_dedup(
         .groupBy("key", "digest")
         .agg(F.count("*").alias("texts"))
     )
-    groups = several.join(compared, ["key", "digest"]).select(
-        F.col("key").alias("_key"),
-        F.col("digest").alias("_digest"),
-        "top",
-        F.when(F.col("texts") == 1, F.col("size"))
-        .otherwise(F.raise_error(F.lit("different texts under one digest")).cast("long"))
-        .alias("size"),
+    # Stored, so that the join below shuffles both sides itself: then adaptive execution
+    # can split the rows of a hot text, which it cannot behind an aggregate by that key.
+    groups = written(
+        several.join(compared, ["key", "digest"]).select(
+            F.col("key").alias("_key"),
+            F.col("digest").alias("_digest"),
+            "top",
+            F.when(F.col("texts") == 1, F.col("size"))
+            .otherwise(F.raise_error(F.lit("different texts under one digest")).cast("long"))
+            .alias("size"),
+        ),
+        "dedup-groups",
     )
     return entries.join(
         groups, (F.col("key") == F.col("_key")) & (F.col("digest") == F.col("_digest")), "left"

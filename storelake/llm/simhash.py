@@ -31,19 +31,23 @@ MOST_IN_BLOCK = 512
 REFERENCES = np.random.default_rng(SEED).integers(0, 2**64, PIVOTS, dtype=np.uint64)
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
-    """The 64-bit SimHash of a UTF-8 text; 0 without words."""
+def shingle_hashes(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
+    """The 64-bit hashes of all runs of ``shingle`` words, repeats included; none without words."""
     words = text.lower().split()  # of bytes: A-Z only, ASCII white space only
     if not words:
-        return 0
+        return np.empty(0, "<u8")
     joined = b" ".join(words)
     if len(words) <= shingle:
-        return xxhash.xxh64_intdigest(joined, SEED)
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)], "<u8")
     starts = list(accumulate(map(len, words), lambda a, n: a + n + 1, initial=0))
     pieces = zip(starts, starts[shingle:], strict=False)
-    hashes = np.array(
+    return np.array(
         [xxhash.xxh64_intdigest(joined[a : b - 1], SEED) for a, b in pieces], dtype="<u8"
     )
+
+
+def bits_of(hashes: np.ndarray) -> int:
+    """The 64 majority bits of the hashes; 0 without any."""
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         part = hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8)
@@ -51,6 +55,11 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes), bitorder="little").tobytes(), "little")
 
 
+def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
+    """The 64-bit SimHash of a UTF-8 text; 0 without words."""
+    return bits_of(shingle_hashes(text, shingle))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, key, fp) of every row: a hash of the text and its signed 64-bit fingerprint."""
     rows = docs.select(
@@ -227,9 +236,15 @@ def drop_near_copies(
     Rows that repeat an id within a component count as one document and stay or go
     together. A component of null ids only stays whole.
     """
+    return without_others(docs, _labelled(docs, id_col, text_col), id_col, text_col)
+
+
+def without_others(
+    docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``docs`` without the rows of (id, key) whose component is named after another id."""
     away = (
-        _labelled(docs, id_col, text_col)
-        .where(~F.col("id").eqNullSafe(F.col("component_id")))
+        labelled.where(~F.col("id").eqNullSafe(F.col("component_id")))
         .select(F.col("id").alias("_id"), F.col("key").alias("_key"))
         .distinct()
     )

@@ -32,12 +32,20 @@ DROPPED = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 SELF_CLOSING = frozenset("p li dt dd tr td th option".split())
 FURNITURE = re.compile(
-    r"(?<![a-z0-9])(ads?|advert\w*|adsense|banner\w*|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice\w*"
+    r"(ads?|advert\w*|adsense|banner\w*|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice\w*"
     r"|alert\w*|popup|modal|overlay|newsletter|subscri\w*|signup|sidebar\w*|widget\w*|menu\w*|nav"
     r"|navbar|navigation|breadcrumbs?|masthead|header|footer|comments?|commentlist|replies|disqus|respond"
     r"|related|recommend\w*|share|sharing|social|login|search|toolbar|pagination|pager|copyright|legal"
-    r"|disclaimer|skip)(?![a-z0-9])"
+    r"|disclaimer|skip)"
 )
+#: Parts of class names that say where or what kind of box, not what it holds.
+GENERIC = re.compile(
+    r"site|page|main|top|bottom|left|right|global|primary|secondary|user|reader|google|post|posts|articles"
+    r"|stories|links?|lists?|area|box|bar|block|section|wrap|wrapper|container|inner|outer|buttons?|icons?"
+    r"|slot|unit|form|policy|text|media|to|content|[0-9]+(x[0-9]+)?"
+)
+#: Elements that no class or id name turns into furniture.
+NEVER = frozenset("body html article main h1 h2 h3 h4 h5 h6".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog".split())
 
 #: Labelled pages: the text between the two marks is the article, all else is not.
@@ -68,26 +76,56 @@ _TAG = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+>|[^>]*(?:>|\Z))",
     re.DOTALL,
 )
-_NAMES = re.compile(r"\b(?:class|id)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
-_ROLE = re.compile(r"\brole\s*=\s*[\"']?([\w-]+)", re.IGNORECASE)
+_NAMES = re.compile(r"(?<![\w-])(?:class|id)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
+_ROLE = re.compile(r"(?<![\w-])role\s*=\s*[\"']?([\w-]+)", re.IGNORECASE)
 
 
 def _is_furniture(name: str, rest: str, inside_article: bool) -> bool:
     if name == "header" and inside_article:
         return False  # the head of the article itself
-    if name in DROPPED:
-        return True
-    if len(rest) < 3 or name in ("body", "html", "article", "main"):
+    return name in DROPPED
+
+
+def _named_furniture(name: str, rest: str, inside_article: bool) -> bool:
+    """Whether role, or a whole class or id token, names furniture: has-sidebar does not."""
+    if len(rest) < 3 or name in NEVER or (name == "header" and inside_article):
         return False
     role = _ROLE.search(rest)
     if role and role[1].lower() in ROLES:
         return True
-    return any(FURNITURE.search(m[1].lower()) for m in _NAMES.finditer(rest))
+    for m in _NAMES.finditer(rest):
+        for token in m[1].strip("\"'").lower().split():
+            parts = [p for p in re.split(r"[-_:]+", token) if p and not GENERIC.fullmatch(p)]
+            if inside_article and parts == ["header"]:
+                continue
+            if parts and all(FURNITURE.fullmatch(p) for p in parts):
+                return True
+    return False
+
+
+def _words_of(page: str, name: str, at: int) -> int:
+    """Words from ``at`` to the end of the open element ``name``, tags and raw texts left out."""
+    depth, words = 1, 0
+    while depth:
+        m = _TAG.search(page, at)
+        words += len(page[at : m.start() if m else len(page)].split())
+        if not m:
+            break
+        at = m.end()
+        if m[2] is None:
+            continue
+        tag, close = m[2].lower(), bool(m[1])
+        if tag in RAW and not close:
+            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.IGNORECASE).search(page, at)
+            at = end.start() if end else len(page)
+        elif tag == name:
+            depth += -1 if close else 1
+    return words
 
 
 def items(page: str) -> Iterator[tuple[str, str]]:
     """The page as ("tag", name) and ("text", words) items, without furniture's words."""
-    at, skip, depth, article = 0, "", 0, 0
+    at, skip, depth, article, total = 0, "", 0, 0, -1
     while True:
         m = _TAG.search(page, at)
         text = page[at : m.start()] if m else page[at:]
@@ -117,7 +155,12 @@ def items(page: str) -> Iterator[tuple[str, str]]:
                     continue
             else:
                 continue
-        if not close and name not in VOID and _is_furniture(name, rest, article > 0):
+        drop = not close and name not in VOID and _is_furniture(name, rest, article > 0)
+        if not (drop or close) and name not in VOID and _named_furniture(name, rest, article > 0):
+            # What holds most of the page's words is its layout, whatever it is called.
+            total = _words_of(page, "", 0) if total < 0 else total
+            drop = name in ("p", "li", "dt", "dd", "option") or 2 * _words_of(page, name, at) <= total
+        if drop:
             # An element that is never closed must not swallow the rest of the page.
             if name in SELF_CLOSING or re.compile(rf"</{re.escape(name)}\b", re.IGNORECASE).search(page, at):
                 skip, depth = name, 1

@@ -65,3 +65,17 @@ def test_table(spark):
     assert [r.n_chars for r in got] == [len(r.text) for r in got]
     assert [r.page_id for r in got] == [1, None, 2, 2] and got[3].text == "hi you"
     assert html_extract.extract_pages(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<div class='content has-sidebar'><p>One two three four.</p></div>", "One two three four."),
+        ("<div class='site with-comments'><p>One two three four.</p></div>", "One two three four."),
+        ("<div id='comments'><p>One two three four.</p></div>", "One two three four."),
+        ("<p>Five words are in here.</p><div class='site-footer'>All rights</div>", "Five words are in here."),
+        ("<p>Five words are in here.</p><div id=related-posts>All posts</div>", "Five words are in here."),
+    ],
+)
+def test_class_names_drop_only_whole_tokens(page, text):
+    assert main_text(page) == text

@@ -2,7 +2,7 @@
 
 A page becomes a list of items: words, with a positive weight each, and tags, with a
 negative one. The region with the largest sum is found by one linear scan. Weights
-come from the small table of labelled pages below. Elements that never hold article
+come from the labelled pages below and seeded ones of many shapes. Elements that never hold article
 text (scripts, forms, menus, adverts, reader comments and so on) stay in the list as
 tags, but their words are no items and are never returned.
 """
@@ -11,9 +11,10 @@ from __future__ import annotations
 
 import html as entities
 import math
+import random
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -70,6 +71,8 @@ LABELLED = (
 
 #: Stands for a dropped element: it ends a block, but does not part the text around it.
 GAP = "#gap"
+#: Stands for the tag of a link beside which its block has no words.
+LINK = "#link"
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -123,7 +126,7 @@ def _words_of(page: str, name: str, at: int) -> int:
     return words
 
 
-def items(page: str) -> Iterator[tuple[str, str]]:
+def _in_order(page: str) -> Iterator[tuple[str, str]]:
     """The page as ("tag", name) and ("text", words) items, without furniture's words."""
     at, skip, depth, article, total = 0, "", 0, 0, -1
     while True:
@@ -169,8 +172,99 @@ def items(page: str) -> Iterator[tuple[str, str]]:
         yield "tag", ("/" if close else "") + name
 
 
-def _learn(pages: tuple[str, ...]) -> tuple[dict[str, float], float, float]:
-    """Tag weights (all negative), the weight of a word, and that of an unseen tag."""
+def items(page: str) -> Iterator[tuple[str, str]]:
+    """As ``_in_order``, with the tags of links that are all the words of their block named LINK."""
+    block: list[tuple[str, str]] = []
+    linked = said = False
+    for kind, value in _in_order(page):
+        name = value.lstrip("/")
+        if kind == "text":
+            said = said or (not linked and any(c.isalnum() for c in value))
+        elif name == "a":
+            linked = value == "a"
+        elif name in BLOCKS or name == GAP:
+            yield from _links(block, said)
+            block, linked, said = [], False, False
+        block.append((kind, value))
+    yield from _links(block, said)
+
+
+def _links(block: list[tuple[str, str]], said: bool) -> Iterator[tuple[str, str]]:
+    for kind, value in block:
+        if kind == "tag" and not said and value in ("a", "/a"):
+            value = value[:-1] + LINK
+        yield kind, value
+
+
+_NOUNS = "the river town old bridge was built over two years of work and people came to see it by boat".split()
+
+
+def _varied(pages: int = 240, seed: int = 7) -> Iterator[str]:
+    """Labelled pages of seeded shapes: each kind of block inside, link lists and boxes outside."""
+    rng = random.Random(seed)
+
+    def say(least: int, most: int) -> str:
+        return " ".join(rng.choices(_NOUNS, k=rng.randint(least, most)))
+
+    def linked(words: str) -> str:
+        at = words.split()
+        for i in sorted(rng.sample(range(len(at)), min(len(at), rng.randint(1, 2)))):
+            at[i] = f"<a href=x>{at[i]}</a>"
+        return " ".join(at)
+
+    def maybe(words: str) -> str:
+        return f"<a href=x>{words}</a>" if rng.random() < 0.15 else words
+
+    def table() -> str:
+        cells = [
+            "<tr>" + "".join(f"<td>{maybe(say(1, 3))}</td>" for _ in range(rng.randint(2, 4))) + "</tr>"
+            for _ in range(rng.randint(3, 10))
+        ]
+        return f"<table><tbody>{''.join(cells)}</tbody></table>"
+
+    def block() -> str:
+        kind = rng.random()
+        if kind < 0.35:
+            return f"<p>{say(10, 50)}</p>"
+        if kind < 0.55:
+            return f"<p>{linked(say(8, 30))}</p>"
+        if kind < 0.7:
+            return f"<div>{say(8, 40)}</div>"
+        if kind < 0.78:
+            return f"<section><h2>{say(2, 5)}</h2><div><p>{say(10, 40)}</p></div></section>"
+        if kind < 0.86:
+            return table()
+        if kind < 0.93:
+            return "<ul>" + "".join(f"<li>{maybe(say(3, 12))}</li>" for _ in range(rng.randint(2, 5))) + "</ul>"
+        return f"<blockquote><p>{say(8, 20)}</p></blockquote><pre>{say(3, 9)}</pre>"
+
+    def outside() -> str:
+        kind = rng.random()
+        few = [f"<a href=y>{say(1, 2)}</a>" for _ in range(rng.randint(3, 9))]
+        if kind < 0.4:
+            return "<div><ul>" + "".join(f"<li>{x}</li>" for x in few) + "</ul></div>"
+        if kind < 0.6:
+            return "<div>" + " ".join(few) + "</div>"
+        if kind < 0.75:
+            return "<table><tr>" + "".join(f"<td>{x}</td>" for x in few) + "</tr></table>"
+        if kind < 0.85:
+            return "<div>" + "".join(f"<p>{say(1, 2)} {x} {x}</p>" for x in few[:4]) + "</div>"
+        if kind < 0.95:
+            return "<section>" + "".join(f"<div>{x}</div>" for x in few) + "</section>"
+        return f"<div><div><span>{say(1, 4)}</span></div><div>{say(1, 2)}</div></div>"
+
+    for _ in range(pages):
+        tag = rng.choice(["article", "main", "div", "div", "section"])
+        body = "".join(block() for _ in range(rng.randint(2, 9)))
+        before, after = ("".join(outside() for _ in range(rng.randint(1, 4))) for _ in range(2))
+        yield f"<body>{before}<{tag}>{START}<h1>{say(2, 8)}</h1>{body}{END}</{tag}>{after}</body>"
+
+
+def _learn(pages: Iterable[str]) -> tuple[dict[str, float], float, float]:
+    """Tag weights (all negative), the weight of a word, and that of an unseen tag.
+
+    A weight is the log odds of an item's share inside articles to its share outside.
+    """
     inside, outside = Counter(), Counter()
     for page in pages:
         within = False
@@ -183,15 +277,19 @@ def _learn(pages: tuple[str, ...]) -> tuple[dict[str, float], float, float]:
                     within = word == START
                 else:
                     (inside if within else outside)["word"] += len(word.split())
-    odds = {t: math.log((inside[t] + 0.5) / (outside[t] + 0.5)) for t in inside | outside}
+    sums = inside.total(), outside.total()
+    odds = {
+        t: math.log((inside[t] + 0.5) / sums[0]) - math.log((outside[t] + 0.5) / sums[1])
+        for t in inside | outside
+    }
     word = max(odds.pop("word"), 0.1)
     # A tag of articles costs next to nothing, so that a last short paragraph stays.
     odds.pop(GAP, None)
-    weights = {t: min(-0.02, 3 * w - 0.02) for t, w in odds.items()}
+    weights = {t: min(-0.02, w) for t, w in odds.items()}
     return weights, word, -0.5
 
 
-WEIGHTS, WORD_WEIGHT, OTHER_TAG = _learn(LABELLED)
+WEIGHTS, WORD_WEIGHT, OTHER_TAG = _learn((*LABELLED, *_varied()))
 #: Tags that only mark up words inside a block; seen in both kinds of region.
 INLINE = frozenset("b i em strong u s small sub sup code span mark abbr cite q time font".split())
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 
 from storelake.llm import html_extract
@@ -73,9 +75,37 @@ def test_table(spark):
         ("<div class='content has-sidebar'><p>One two three four.</p></div>", "One two three four."),
         ("<div class='site with-comments'><p>One two three four.</p></div>", "One two three four."),
         ("<div id='comments'><p>One two three four.</p></div>", "One two three four."),
+        (
+            "<article><p>Five words are in here.</p><section id='related-work'><p>Work of others.</p></section>"
+            "<h2 id='search'>How we search</h2><p data-id='ad'>By hand.</p><div class='legal-news'>News of law that all readers of "
+            "this page can follow.</div></article>",
+            "Five words are in here. Work of others. How we search By hand. News of law that all "
+            "readers of this page can follow.",
+        ),
         ("<p>Five words are in here.</p><div class='site-footer'>All rights</div>", "Five words are in here."),
         ("<p>Five words are in here.</p><div id=related-posts>All posts</div>", "Five words are in here."),
     ],
 )
 def test_class_names_drop_only_whole_tokens(page, text):
     assert main_text(page) == text
+
+
+def _text(page):
+    return " ".join(re.sub(r"<[^>]*>", " ", page).split())
+
+
+TABLE = "<table>" + ("<tr>" + "<td>cell</td>" * 4 + "</tr>") * 10 + "</table>"
+INSIDE = [
+    "<p>" + "before " * 120 + "</p>" + TABLE + "<p>" + "after " * 100 + "</p>",
+    "<h1>Two words</h1><p>by <a href=x>Some Body</a></p><p>" + "body " * 80
+    + "</p><p>See <a href=y>this</a> and then also <a href=z>that</a> for more.</p>",
+    "<p>" + "first " * 60 + "</p>" + "<div>ten words are here in each of the eight blocks</div>" * 8,
+    "<p>" + "first " * 40 + "</p><section><h2>Part</h2><div><p>" + "next " * 20 + "</p></div></section>",
+]
+
+
+@pytest.mark.parametrize("inside", INSIDE)
+def test_articles_with_tables_links_and_blocks_stay_whole(inside):
+    links = "<div><ul>" + "<li><a href=q>Other page</a></li>" * 6 + "</ul></div>"
+    assert main_text(f"<body>{links}<article>{inside}</article>{links}</body>") == _text(inside)
+    assert main_text(f"<body>{links}<div>{inside}</div>{links}</body>") == _text(inside)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from storelake.llm.scan_oracle import license_oracle
+
 _MIX = r"""
 WITH sized AS (
   SELECT doc_id, source,
@@ -80,4 +82,5 @@ ORACLES: dict[str, str] = {
     "op4_ball_tree_top_k": _TOP,
     "op6_mix_sources": _MIX,
     "op7_exact_dedup": _EXACT,
+    "op13_license_scan": license_oracle(),
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from storelake.llm import (
     exact_dedup,
     html_extract,
+    license_scan,
     lm,
     mixing,
     packing,
@@ -68,6 +69,10 @@ def op10_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -81,5 +86,6 @@ QUERIES: dict[str, Query] = {
         op8_attention_scores,
         op9_personal_data,
         op10_quality_lines,
+        op13_license_scan,
     )
 }

@@ -25,6 +25,19 @@ def written(df: DataFrame, label: str, *by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def saved(df: DataFrame, label: str) -> tuple[str, DataFrame]:
+    """A new folder under ``spark.checkpoint.dir`` and the same rows read back from it."""
+    folder = new_folder(df.sparkSession, label)
+    df.write.parquet(folder)
+    return folder, df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def forget(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder of ``saved`` that a later one has taken the place of."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_of(column: str = "text") -> Column:
     """The text, with null as the empty text."""
     return F.coalesce(F.col(column), F.lit(""))

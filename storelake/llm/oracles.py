@@ -78,9 +78,57 @@ r AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+_KEPT = """
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, q) AS rid, vec_id, label, q
+  FROM (SELECT vec_id, label, [CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS q
+        FROM embeddings
+        WHERE embedding IS NOT NULL
+          AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0)),
+parts AS MATERIALIZED (
+  SELECT rid, pos, (pos - 1) // (n // 8) AS part, q[pos] AS x
+  FROM (SELECT rid, q, len(q) AS n, unnest(range(1, len(q) + 1)) AS pos FROM kept)),
+book0 AS MATERIALIZED (
+  SELECT rid - 1 AS entry, part, pos, x AS c FROM parts WHERE rid <= 16)"""
+
+# Distances, nearest entries and means of one round; the last round has no means.
+_NEAREST = """,
+far{r} AS (
+  SELECT p.rid, p.part, b.entry, sum((p.x - b.c) * (p.x - b.c)) AS d
+  FROM parts p JOIN book{r} b USING (pos) GROUP BY ALL),
+near{r} AS MATERIALIZED (
+  SELECT rid, part, min(d) AS d, arg_min(entry, d * 16 + entry) AS entry FROM far{r} GROUP BY ALL)"""
+_MEANS = """,
+sums{r} AS (
+  SELECT n.part, n.entry, p.pos, sum(p.x) AS s, count(*) AS n
+  FROM near{r} n JOIN parts p USING (rid, part) GROUP BY ALL),
+book{next} AS MATERIALIZED (
+  SELECT b.entry, b.part, b.pos,
+         CASE WHEN s.n IS NULL THEN b.c ELSE (s.s - ((s.s % s.n) + s.n) % s.n) // s.n END AS c
+  FROM book{r} b LEFT JOIN sums{r} s USING (part, entry, pos))"""
+_CODED = """,
+coded AS (
+  SELECT rid, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d) AS error
+  FROM near6 GROUP BY rid),
+totals AS (SELECT label, sum(error) AS label_error FROM coded JOIN kept USING (rid) GROUP BY label),
+digest AS (
+  SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY part, entry, pos)) AS codebooks_sha256
+  FROM book6)
+SELECT k.vec_id, c.code, CAST(c.error AS BIGINT) AS error,
+       CAST(t.label_error AS BIGINT) AS label_error, codebooks_sha256
+FROM coded c JOIN kept k USING (rid) JOIN totals t ON k.label IS NOT DISTINCT FROM t.label, digest
+"""
+_CODES = (
+    _KEPT
+    + "".join(_NEAREST.format(r=r) + _MEANS.format(r=r, next=r + 1) for r in range(6))
+    + _NEAREST.format(r=6)
+    + _CODED
+)
+
 ORACLES: dict[str, str] = {
     "op4_ball_tree_top_k": _TOP,
     "op6_mix_sources": _MIX,
     "op7_exact_dedup": _EXACT,
+    "op11_vector_codes": _CODES,
     "op13_license_scan": license_oracle(),
 }

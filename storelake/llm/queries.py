@@ -19,6 +19,7 @@ from storelake.llm import (
     simhash,
     topk,
     toxicity,
+    vector_codes,
 )
 from storelake.llm.common import table
 
@@ -69,6 +70,10 @@ def op10_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
 
@@ -86,6 +91,7 @@ QUERIES: dict[str, Query] = {
         op8_attention_scores,
         op9_personal_data,
         op10_quality_lines,
+        op11_vector_codes,
         op13_license_scan,
     )
 }

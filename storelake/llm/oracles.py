@@ -125,10 +125,60 @@ _CODES = (
     + _CODED
 )
 
+_PHRASES = r"""
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM texts),
+numbered AS MATERIALIZED (
+  SELECT row_number() OVER () AS piece, lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+words AS (SELECT piece, lang, unnest(w) AS word, unnest(range(len(w))) AS pos FROM numbered),
+runs AS MATERIALIZED (
+  SELECT lang, word AS w1, lead(word, 1) OVER o AS w2, lead(word, 2) OVER o AS w3,
+         lead(word, 3) OVER o AS w4
+  FROM words WINDOW o AS (PARTITION BY piece ORDER BY pos)),
+f AS MATERIALIZED (
+  SELECT lang, phrase, count(*) AS f, len(string_split(phrase, ' ')) AS m FROM (
+    SELECT lang, w1 AS phrase FROM runs
+    UNION ALL SELECT lang, w1 || ' ' || w2 FROM runs
+    UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3 FROM runs
+    UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM runs)
+  WHERE phrase IS NOT NULL GROUP BY ALL HAVING count(*) >= 30),
+sizes AS (SELECT lang, count(*) AS n FROM runs GROUP BY lang),
+candidates AS MATERIALIZED (
+  SELECT lang, phrase, f AS a, m, string_split(phrase, ' ') AS w FROM f WHERE m > 1),
+starts AS (
+  SELECT lang, a, m, w, unnest(range(1, m)) AS s FROM candidates WHERE m > 2),
+inside AS (
+  SELECT lang, a, array_to_string(w[s : e], ' ') AS part
+  FROM (SELECT lang, a, m, w, s, unnest(range(s + 1, m + 1)) AS e FROM starts)
+  WHERE e - s + 1 < m),
+covers AS (SELECT lang, part, max(a) AS a FROM inside GROUP BY ALL),
+open AS (
+  SELECT c.* FROM candidates c LEFT JOIN covers v ON c.lang = v.lang AND c.phrase = v.part
+  WHERE v.a IS NULL OR 100 * CAST(v.a AS HUGEINT) < 80 * CAST(c.a AS HUGEINT)),
+cuts AS (SELECT *, unnest(range(1, m)) AS k FROM open),
+counted AS (
+  SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r,
+         (2000000 * CAST(c.a AS HUGEINT)) // (x.f + y.f) AS score
+  FROM cuts c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1 : c.k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1 : c.m], ' ')),
+best AS (
+  SELECT * FROM counted QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT r.lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l,
+       CAST(r.r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked r JOIN sizes s ON r.lang = s.lang WHERE rank <= 2000
+"""
+
 ORACLES: dict[str, str] = {
     "op4_ball_tree_top_k": _TOP,
     "op6_mix_sources": _MIX,
     "op7_exact_dedup": _EXACT,
     "op11_vector_codes": _CODES,
+    "op12_collocations": _PHRASES,
     "op13_license_scan": license_oracle(),
 }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storelake.llm import (
+    collocations,
     exact_dedup,
     html_extract,
     license_scan,
@@ -74,6 +75,10 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
 
@@ -92,6 +97,7 @@ QUERIES: dict[str, Query] = {
         op9_personal_data,
         op10_quality_lines,
         op11_vector_codes,
+        op12_collocations,
         op13_license_scan,
     )
 }

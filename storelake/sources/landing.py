@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storelake.functions.scalars import to_type
 from storelake.functions.variants import Paths, variant_fields
+from storelake.sources.footers import literal, read_footers, shapes
 from storelake.sources.tables import conform
 
 CORRUPT = "_corrupt_record"
@@ -28,16 +27,29 @@ ERP_INVENTORY_FILES = ".*erp_inventory.*[.]parquet"
 JSON_FILES = ".*[.]json"
 
 
+def file_path() -> Column:
+    """The path of a row's file as the file is named, as file listings have it.
+
+    Spark's own column has it as a URI, with spaces and percent signs encoded.
+    """
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def filter_files(df: DataFrame, regex: str) -> DataFrame:
     """Rows of the files whose whole path matches; other files are not opened."""
-    return df.where(F.col("_metadata.file_path").rlike(f"^(?:{regex})$"))
+    return df.where(file_path().rlike(f"^(?:{regex})$"))
 
 
 def with_load_metadata(df: DataFrame, load_ts: Column | None = None) -> DataFrame:
     """Load time and source file of each row."""
     if load_ts is None:
         load_ts = F.current_timestamp().cast("timestamp_ntz")
-    return df.select("*", load_ts.alias("load_ts"), F.col("_metadata.file_path").alias("source_file"))
+    return df.select("*", load_ts.alias("load_ts"), file_path().alias("source_file"))
+
+
+def _to_read(path: str | list[str]) -> str | list[str]:
+    """A folder or pattern as given; the files of a list by their literal names."""
+    return path if isinstance(path, str) else [literal(p) for p in path]
 
 
 def with_corrupt_column(schema: T.StructType) -> T.StructType:
@@ -61,7 +73,7 @@ def read_csv_landing(
     pattern: str | None = None,
     on_error: str = "CONTINUE",
 ) -> DataFrame:
-    """CSV rows with load metadata.
+    """CSV rows with load metadata; ``path`` is a folder or pattern, or a list of files.
 
     ``on_error``: CONTINUE leaves malformed rows out, ABORT fails on the first
     one, SPLIT keeps all rows and puts the text of the malformed ones into
@@ -70,7 +82,7 @@ def read_csv_landing(
     mode = {"CONTINUE": "DROPMALFORMED", "ABORT": "FAILFAST", "SPLIT": "PERMISSIVE"}[on_error]
     if on_error == "SPLIT":
         schema = with_corrupt_column(schema)
-    df = spark.read.schema(schema).options(**CSV_OPTIONS, mode=mode).csv(path)
+    df = spark.read.schema(schema).options(**CSV_OPTIONS, mode=mode).csv(_to_read(path))
     if pattern:
         df = filter_files(df, pattern)
     return with_load_metadata(_parse_whole(df, schema))
@@ -95,29 +107,20 @@ def footer_groups(
 ) -> tuple[list[tuple[T.StructType, list[str]]], list[str]]:
     """Parquet files grouped by columns that go together, and the unreadable ones.
 
-    One job reads the footers of all files. If they contradict each other, or one
-    cannot be read, each half is tried alone, so the number of jobs follows the
-    number of odd files. ABORT raises on an unreadable file.
+    One job reads the footers of all files, however many kinds there are. ABORT raises
+    on an unreadable file.
     """
     if not paths:
         return [], []
-    try:
-        schema = spark.read.option("mergeSchema", "true").parquet(*paths).schema
-        return [(schema, paths)], []
-    except (PySparkException, Py4JJavaError):  # a failed footer job keeps its Java type
-        if len(paths) == 1:
-            if on_error == "ABORT":
-                raise
-            return [], paths
-    half = len(paths) // 2
-    groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    unreadable: list[str] = []
-    for part in (paths[:half], paths[half:]):
-        found, bad = footer_groups(spark, part, on_error)
-        unreadable += bad
-        for schema, files in found:
-            groups.setdefault(schema.json(), (schema, []))[1].extend(files)
-    return list(groups.values()), unreadable
+    groups, problems = shapes(read_footers(spark, paths))
+    if problems and on_error == "ABORT":
+        name, problem = min(problems.items())
+        raise ValueError(f"{len(problems)} unreadable files, the first {name}: {problem}")
+    return groups, sorted(problems)
+
+
+def _parquet(spark: SparkSession, schema: T.StructType, files: list[str]) -> DataFrame:
+    return spark.read.schema(schema).parquet(*map(literal, files))
 
 
 def _cast_or_reject(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -175,20 +178,25 @@ def split_parquet(
     """
     groups, unreadable = footer_groups(spark, _paths(spark, path, pattern), on_error)
     parts = [
-        _cast_or_reject(with_load_metadata(spark.read.schema(own).parquet(*files)), schema)
+        _cast_or_reject(with_load_metadata(_parquet(spark, own, files)), schema)
         for own, files in groups
     ]
-    if unreadable:
-        lost = spark.createDataFrame([(f,) for f in unreadable], "source_file string")
-        lost = lost.withColumns(
-            {
-                **{f.name: F.lit(None).cast(f.dataType) for f in schema.fields},
-                CORRUPT: F.lit(""),
-                "load_ts": F.current_timestamp().cast("timestamp_ntz"),
-            }
-        )
-        parts.append(lost.select(*_landed_schema(schema).names))
-    return _union(spark, parts, _landed_schema(schema))
+    return _union(spark, [*parts, *_lost(spark, unreadable, schema)], _landed_schema(schema))
+
+
+def _lost(spark: SparkSession, unreadable: list[str], schema: T.StructType) -> list[DataFrame]:
+    """One rejected row without text for each unreadable file."""
+    if not unreadable:
+        return []
+    lost = spark.createDataFrame([(f,) for f in unreadable], "source_file string")
+    lost = lost.withColumns(
+        {
+            **{f.name: F.lit(None).cast(f.dataType) for f in schema.fields},
+            CORRUPT: F.lit(""),
+            "load_ts": F.current_timestamp().cast("timestamp_ntz"),
+        }
+    )
+    return [lost.select(*_landed_schema(schema).names)]
 
 
 def read_parquet_by_name(
@@ -212,22 +220,48 @@ def read_parquet_by_name(
         return filter_files(df, pattern) if pattern else df
     if on_error == "ABORT":
         groups, _ = footer_groups(spark, _paths(spark, path, pattern), on_error)
-        parts = [conform(spark.read.schema(own).parquet(*files), schema) for own, files in groups]
+        parts = [conform(_parquet(spark, own, files), schema) for own, files in groups]
         return _union(spark, parts, schema)
     df = split_parquet(spark, path, schema, pattern)
     return df.where(F.col(CORRUPT).isNull()).select(*schema.names)
 
 
-def read_parquet_variant(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """Every Parquet row as one variant column ``raw_data``, whatever its columns."""
-    groups, _ = footer_groups(spark, _paths(spark, path, pattern))
-    parts = [
-        spark.read.schema(own)
-        .parquet(*files)
-        .select(F.to_variant_object(F.struct(*[F.col(f"`{c}`") for c in own.names])).alias("raw_data"))
-        for own, files in groups
-    ]
-    return _union(spark, parts, T.StructType([T.StructField("raw_data", T.VariantType())]))
+VARIANT = T.StructType([T.StructField("raw_data", T.VariantType())])
+
+
+def split_parquet_variant(
+    spark: SparkSession,
+    path: str | list[str],
+    pattern: str | None = None,
+    on_error: str = "CONTINUE",
+) -> DataFrame:
+    """Every Parquet row as one variant ``raw_data``, with load metadata.
+
+    An unreadable file gives one row with an empty ``_corrupt_record`` and no data.
+    """
+    groups, unreadable = footer_groups(spark, _paths(spark, path, pattern), on_error)
+    stored = _landed_schema(VARIANT)
+    parts = []
+    for own, files in groups:
+        whole = F.to_variant_object(F.struct(*[F.col(f"`{c}`") for c in own.names]))
+        rows = with_load_metadata(_parquet(spark, own, files)).withColumn("raw_data", whole)
+        parts.append(rows.withColumn(CORRUPT, F.lit(None).cast("string")).select(*stored.names))
+    return _union(spark, [*parts, *_lost(spark, unreadable, VARIANT)], stored)
+
+
+def read_parquet_variant(
+    spark: SparkSession,
+    path: str | list[str],
+    pattern: str | None = None,
+    on_error: str = "CONTINUE",
+) -> DataFrame:
+    """Every Parquet row as one variant column ``raw_data``, whatever its columns.
+
+    CONTINUE leaves out unreadable files, which ``split_parquet_variant`` keeps; ABORT
+    fails on the first one.
+    """
+    df = split_parquet_variant(spark, path, pattern, on_error)
+    return df.where(F.col(CORRUPT).isNull()).select("raw_data")
 
 
 def _json_elements(spark: SparkSession, path: str | list[str], pattern: str | None) -> DataFrame:
@@ -235,7 +269,7 @@ def _json_elements(spark: SparkSession, path: str | list[str], pattern: str | No
 
     A file that is no JSON gives one row without element.
     """
-    raw = spark.read.options(multiLine="true", singleVariantColumn="doc").json(path)
+    raw = spark.read.options(multiLine="true", singleVariantColumn="doc").json(_to_read(path))
     if pattern:
         raw = filter_files(raw, pattern)
     listed = F.coalesce(F.try_variant_get("doc", "$", "array<variant>"), F.array("doc"))
@@ -293,7 +327,10 @@ def read_json_variant(spark: SparkSession, path: str, pattern: str | None = JSON
 
 
 def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """Files of a landing folder, but for those of zero bytes. Contents are not read."""
+    """Files of a landing folder, but for those of zero bytes. Contents are not read.
+
+    ``file_id`` is the path as the file is named, equal to ``source_file`` of its rows.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     if pattern:
         files = files.where(F.col("path").rlike(f"^(?:{pattern})$"))

@@ -14,19 +14,19 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from storelake.operators.cleaning import clean_inventory, clean_pos, stamp
-from storelake.sources.batches import write_batch
+from storelake.sources.batches import BATCH, path_exists, write_batch, write_batch_once
 from storelake.sources.landing import (
     CORRUPT,
-    CSV_OPTIONS,
-    filter_files,
     read_csv_landing,
     split_json,
     split_parquet,
     with_corrupt_column,
-    with_load_metadata,
 )
 
 REJECTED = "rejected"
+RUN = "run"
+#: Beside the rows of a bronze table: the names of the files that each batch took.
+TAKEN = "_taken"
 # Fixed value: how often the feeds are picked up when a job keeps running.
 INTERVAL = "5 minutes"
 #: Files of one micro-batch at most, where a stream carries file names.
@@ -50,31 +50,14 @@ def bronze_schema(schema: T.StructType, fmt: str = "csv") -> T.StructType:
     )
 
 
-def open_csv(
-    spark: SparkSession,
-    src: str,
-    schema: T.StructType,
-    pattern: str | None = None,
-    max_files: int | None = None,
-) -> DataFrame:
-    """Stream of CSV rows with load time, source file and reject flag."""
-    reader = spark.readStream.option("recursiveFileLookup", "true")
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    reader = reader.options(**CSV_OPTIONS, mode="PERMISSIVE").schema(with_corrupt_column(schema))
-    df = reader.csv(src)
-    if pattern:
-        df = filter_files(df, pattern)
-    return with_load_metadata(df).withColumn(REJECTED, F.col(CORRUPT).isNotNull())
-
-
 def open_files(
     spark: SparkSession, src: str, pattern: str | None = None, max_files: int = MAX_FILES
 ) -> DataFrame:
     """Stream of new landing files: source_file, modified_at, file_bytes. Contents stay closed.
 
     Files of different types need different readers, which one streaming reader cannot
-    have. So the stream carries names, and ``read_files`` opens those of a micro-batch;
+    have, and a sink that counts batches by itself would pass over those of a new
+    checkpoint. So the stream carries names, and ``read_files`` opens those of a micro-batch;
     ``max_files`` bounds how many that are.
     """
     reader = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true")
@@ -133,6 +116,30 @@ def _trigger(writer, interval: str | None):
     return writer.trigger(processingTime=interval)
 
 
+def run_of(ckpt: str) -> str:
+    """The name of a checkpoint, under which its batches are stored."""
+    return ckpt.rstrip("/").rsplit("/", 1)[-1]
+
+
+def read_runs(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """Rows of all batches of all runs, with ``run`` and ``batch``."""
+    placed = T.StructType(
+        [*schema.fields, T.StructField(RUN, T.StringType()), T.StructField(BATCH, T.LongType())]
+    )
+    if not path_exists(spark, root):
+        return spark.createDataFrame([], placed)
+    return spark.read.schema(placed).parquet(root)
+
+
+def taken_schema() -> T.StructType:
+    return T.StructType(
+        [
+            T.StructField("source_file", T.StringType()),
+            T.StructField("modified_at", T.TimestampNTZType()),
+        ]
+    )
+
+
 def ingest_stream(
     spark: SparkSession,
     src: str,
@@ -146,17 +153,22 @@ def ingest_stream(
 ) -> StreamingQuery:
     """New landing files to bronze; what cannot be loaded goes to its own partition.
 
-    CSV files are one stream of rows. Parquet and JSON files are read file-wise by
-    micro-batch, and a batch that runs again overwrites its own folder.
+    Files are read by micro-batch. A batch is stored by the name of the checkpoint that
+    numbers it, so the batches of a new checkpoint replace nothing; and files that
+    another run took, by path and time of change, are not taken again. A batch that
+    runs again keeps what it has stored.
     """
-    if fmt == "csv":
-        df = open_csv(spark, src, schema, pattern, max_files)
-        return write_stream(df, dst, ckpt, [REJECTED], interval)
+    run = run_of(ckpt)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        paths = [r["source_file"] for r in batch.select("source_file").collect()]
-        rows = read_files(batch.sparkSession, sorted(paths), fmt, schema)
-        write_batch(rows, dst, batch_id, partition_by=[REJECTED])
+        session = batch.sparkSession
+        known = read_runs(session, f"{dst}/{TAKEN}", taken_schema()).where(F.col(RUN) != run)
+        files = batch.select("source_file", "modified_at")
+        fresh = files.join(known, ["source_file", "modified_at"], "left_anti").collect()
+        rows = read_files(session, sorted(r["source_file"] for r in fresh), fmt, schema)
+        write_batch_once(rows, f"{dst}/{RUN}={run}", batch_id, [REJECTED])
+        names = session.createDataFrame(fresh, taken_schema()).coalesce(1)
+        write_batch(names, f"{dst}/{TAKEN}/{RUN}={run}", batch_id)
 
     files = open_files(spark, src, pattern, max_files or MAX_FILES)
     return each_batch(files, step, ckpt, interval)
@@ -166,7 +178,8 @@ def read_bronze(
     spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv"
 ) -> DataFrame:
     """Loaded rows of a bronze table; the files of rejects are not opened."""
-    df = spark.read.schema(bronze_schema(schema, fmt)).parquet(path)
+    stored = bronze_schema(schema, fmt)
+    df = spark.read.schema(stored).parquet(path).select(*stored.names)
     return df.where(~F.col(REJECTED)).drop(CORRUPT, REJECTED)
 
 

@@ -11,11 +11,19 @@ from pyspark.sql.streaming import StreamingQuery
 
 from storelake.functions.dates import instant
 from storelake.operators.merge import merge_upsert
-from storelake.sources.batches import BATCH, path_exists, write_batch
-from storelake.streaming.ingest import MAX_FILES, REJECTED, each_batch, open_files, read_files
+from storelake.sources.batches import write_batch, write_batch_once
+from storelake.streaming.ingest import (
+    MAX_FILES,
+    REJECTED,
+    RUN,
+    each_batch,
+    open_files,
+    read_files,
+    read_runs,
+    run_of,
+)
 
 PROCESSED = "processed"  # Fixed value: status of a file that has been loaded
-RUN = "run"
 
 
 def ledger_schema() -> T.StructType:
@@ -51,16 +59,6 @@ def read_ledger(spark: SparkSession, root: str) -> DataFrame:
     return read_runs(spark, root, ledger_schema())
 
 
-def read_runs(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """Rows of all batches of all runs, with ``run`` and ``batch``."""
-    placed = T.StructType(
-        [*schema.fields, T.StructField(RUN, T.StringType()), T.StructField(BATCH, T.LongType())]
-    )
-    if not path_exists(spark, root):
-        return spark.createDataFrame([], placed)
-    return spark.read.schema(placed).parquet(root)
-
-
 def ingest_with_ledger(
     spark: SparkSession,
     src: str,
@@ -85,14 +83,14 @@ def ingest_with_ledger(
     runs only: its cost does not grow with the batches of its own run. The counts come
     from the stored batch, reading two columns, not from a second pass over the files.
     """
-    run = ckpt.rstrip("/").rsplit("/", 1)[-1]
+    run = run_of(ckpt)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         known = read_ledger(session, ledger).where(F.col(RUN) != run)
         fresh = batch.join(known, ["source_file", "modified_at"], "left_anti").collect()
         paths = sorted(r["source_file"] for r in fresh)
-        stored = write_batch(
+        stored = write_batch_once(
             read_files(session, paths, fmt, schema), f"{dst}/{RUN}={run}", batch_id
         )
         counts = stored.groupBy("source_file").agg(

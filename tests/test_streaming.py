@@ -1,8 +1,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import os
+import shutil
 
+import pytest
 from pyspark.sql import functions as F
 
 from storelake import schemas
@@ -49,6 +52,47 @@ def test_ingest_in_several_runs(spark, tmp_path, rows):
     ]
 
 
+@pytest.mark.parametrize("fmt", ["csv", "parquet", "json"])
+def test_a_new_checkpoint_neither_doubles_nor_loses_rows(spark, tmp_path, rows, fmt):
+    schema = schemas.erp_inventory_schema()
+    src, dst = tmp_path / "src", str(tmp_path / "bronze")
+    src.mkdir()
+
+    def land(name):
+        made = str(tmp_path / f"made {name}")
+        df = spark.createDataFrame([(name, 1)], "product_sku string, quantity_on_hand int").coalesce(1)
+        if fmt == "json":
+            (src / f"{name}.json").write_text(json.dumps([{"product_sku": name}]))
+            return
+        if fmt == "csv":
+            df = df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in schema.names])
+        df.write.format(fmt).options(header=True).save(made)
+        shutil.copy(next((tmp_path / f"made {name}").glob(f"part*.{fmt}")), src / f"{name}.{fmt}")
+
+    def run(ckpt, pattern=None):
+        finish(ingest.ingest_stream(spark, str(src), fmt, schema, dst, str(tmp_path / ckpt), pattern, max_files=1))
+        got = ingest.read_bronze(spark, dst, schema, fmt)
+        return rows(got, "data.product_sku" if fmt == "json" else "product_sku")
+
+    land("x [0]")
+    assert run("one") == [("x [0]",)]
+    land("x%201")
+    assert run("one") == [("x [0]",), ("x%201",)]
+    assert run("two") == [("x [0]",), ("x%201",)]  # the same files under a new checkpoint
+    for file in src.iterdir():
+        file.unlink()
+    land("x2")
+    assert run("three") == [("x [0]",), ("x%201",), ("x2",)]
+    assert ingest.read_rejects(spark, dst, schema, fmt).count() == 0
+
+
+def test_a_repeated_batch_keeps_its_files(spark, tmp_path):
+    root = str(tmp_path / "t")
+    first = batches.write_batch_once(spark.range(3), root, 0).inputFiles()
+    assert batches.write_batch_once(spark.range(3), root, 0).inputFiles() == first
+    assert batches.write_batch_once(spark.range(3), root, 1).count() == 3
+
+
 def test_backlog_is_taken_in_steps(spark, tmp_path):
     for n in range(3):
         write(tmp_path / f"src/pos_{n}.csv", HEADER, GOOD)

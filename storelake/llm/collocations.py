@@ -25,8 +25,8 @@ LEAST, TOP, SCALE = 30, 2000, 2_000_000
 COVERS = 80
 #: Words of a shard, and about how many words' windows one owner unites.
 SHARD_WORDS, RANGE_WORDS = 1 << 21, 1 << 21
-#: The borders come from the windows of so many texts, by hash, of at most so many
-#: characters. They decide who owns what, not what comes out.
+#: The borders come from the windows of at most so many texts of at most so many
+#: characters, drawn at random. They decide who owns what, not what comes out.
 BORDER_DOCS, BORDER_CHARS = 1000, 20_000
 #: Phrases of one lookup task; copies of each count, so that a part that many
 #: candidates share is looked up in several tasks.
@@ -306,14 +306,14 @@ def collocations(
         F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit(NO_LANG)).alias("lang"),
         text_of(text_col).alias("text"),
     )
-    chars = texts.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
-    ranges = max(1, -(-chars // (6 * range_words)))
+    seen = texts.agg(F.sum(F.length("text").cast("long")).alias("chars"), F.count("*").alias("n")).first()
+    ranges = max(1, -(-(seen["chars"] or 0) // (6 * range_words)))
     borders = []
     if ranges > 1:
-        sample = (
-            texts.where(F.length("text") <= BORDER_CHARS)
-            .orderBy(F.xxhash64("text", "lang"), "text", "lang")
-            .limit(BORDER_DOCS)
+        share = min(1.0, BORDER_DOCS / seen["n"])
+        sample = (  # drawn by the tasks: none sends more than its share
+            texts.where((F.rand(11) < share) & (F.length("text") <= BORDER_CHARS))
+            .limit(2 * BORDER_DOCS)
             .collect()
         )
         borders = find_borders([(r["lang"], r["text"]) for r in sample], ranges)

@@ -89,5 +89,11 @@ JOB_ORACLES = {
     "incremental_rollup_distinct": """SELECT category, store_region,
         count(DISTINCT transaction_id) AS txns, count(DISTINCT customer_id) AS customers, true AS close
         FROM pos WHERE transaction_id IS NOT NULL AND total_amount > 0 GROUP BY ALL""",
+    "repeated_deliveries": f"""
+        SELECT lines.*, TIMESTAMP '2024-01-01' + to_hours(hour_of) AS load_ts,
+            (SELECT count(*) FROM pos WHERE CAST(transaction_id AS BIGINT) % 4 = 0) AS rows_late
+        FROM ({_POS}) lines JOIN (VALUES (0, 8), (1, 8), (1, 15), (2, 9), (3, 14)) d(part, hour_of)
+            ON CAST(transaction_id AS BIGINT) % 4 = part""",
+    "incremental_margin_store": "SELECT * FROM margin_store",
     "load_clock": "SELECT count(*) AS n_injected, count(*) AS n_clock FROM inventory",
 }

@@ -17,7 +17,7 @@ from storelake.operators import cleaning
 from storelake.plans import analytics, dims, facts, gold, iot, rollups
 from storelake.session import new_folder
 from storelake.sources import landing, tables, testbed
-from storelake.streaming import buffer, ingest, ledger, orders, rollup
+from storelake.streaming import buffer, distinct, ingest, ledger, orders, rollup
 from storelake.streaming import stores as store_job
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,8 @@ JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # Landing drops: the lines up to this day arrive first, the later ones second.
 FIRST_DROP = "1998-06-30"
 EVENTS_PER_FILE = 5000
+#: As browsers and tools name folders and files: patterns, or other signs in a URI.
+ODD = "drop (1) [2] {a,b} 5%20"
 CHANGES_FROM = "1998-01-01"
 
 
@@ -94,11 +96,13 @@ def _(j: Job):
 
 @job("scan_parquet_by_name")
 def _(j: Job):
+    """Two folders, the name of one of which is a pattern that matches the other."""
     shouting = j.erp.select(*[F.col(c).alias(c.upper()) for c in schemas.ERP_ORDER_COLUMNS])
-    src = j.at("landing/erp_orders")
-    tables.write_table(shouting, src)
+    first, second = j.drops(shouting, "ACTUAL_DELIVERY")
+    first.write.parquet(j.at(f"landing/erp_orders/{ODD}"))
+    second.write.parquet(j.at(f"landing/erp_orders/{ODD.replace('[2]', '2').replace('{a,b}', 'a')}"))
     return landing.read_parquet_by_name(
-        j.spark, src, schemas.erp_orders_schema(), landing.ERP_ORDER_FILES
+        j.spark, j.at("landing"), schemas.erp_orders_schema(), landing.ERP_ORDER_FILES
     )
 
 
@@ -240,7 +244,7 @@ def _ingest_erp(j: Job, name: str, df: DataFrame, schema, whole: list[str]) -> D
     df.limit(0).select(*text).withColumn(columns[0], F.lit(1.5)).write.parquet(f"{src}/other_feed")
     for n in range(3):
         if n:
-            drops[n - 1].write.parquet(f"{src}/{name}/{n}")
+            drops[n - 1].write.parquet(f"{src}/{name}/{ODD}{n}")
         ingest.ingest_stream(
             j.spark, src, "parquet", schema, j.at("bronze"), j.at("ckpt"), f".*/{name}/.*[.]parquet"
         ).awaitTermination()
@@ -270,7 +274,7 @@ def _(j: Job):
     good = '{"event_id": null, "store_id": "none"}'
     bad = '{"event_id": "x", "metadata": {"battery_pct": "low"}}'
     extra = j.spark.createDataFrame([(f"[{good}, {bad}]",)], "value string")
-    extra.write.mode("append").text(src)
+    extra.write.text(f"{src}/{ODD}")
     ingest.ingest_stream(
         j.spark, src, "json", schemas.iot_event_schema(), j.at("bronze"), j.at("ckpt")
     ).awaitTermination()
@@ -294,7 +298,7 @@ def _ledger(j: Job) -> DataFrame:
     """Loads both drops, then reads all files again from a fresh checkpoint."""
     for n, drop in enumerate([*j.drops(j.pos, "transaction_date"), None]):
         if drop is not None:
-            j.pos_csv(drop, j.at("landing"))
+            j.pos_csv(drop, j.at(f"landing/{ODD}" if n else "landing"))
         ckpt = j.at("first") if n < 2 else j.at("second")
         ledger.ingest_with_ledger(
             j.spark, j.at("landing"), "csv", schemas.pos_schema(), "pos_transactions",
@@ -458,6 +462,64 @@ def _(j: Job):
     )
 
 
+@job("incremental_margin_store")
+def _(j: Job):
+    """Margins by store after two batches of sales and two of purchases, in turn."""
+    few, early = F.col("quantity") <= 25, F.col("load_ts") < F.lit(CHANGES_FROM).cast("timestamp_ntz")
+    lines, erp = testbed.pos(j.spark, j.sf_dir), j.erp
+    drops = ((lines.where(few), erp.where(~early)), (lines.where(~few), erp.where(early)))
+    for sold, bought in drops:
+        for rows, kind, name in (
+            (sold, rollup.MARGIN_SALES, "sales"), (bought, rollup.MARGIN_COSTS, "costs")
+        ):
+            rollup.maintain(
+                j.spark, j.bronze(rows, f"{name}_bronze"), rows.schema, kind, j.at(name),
+                j.at(f"{name}_ckpt"), compact_every=2,
+            ).awaitTermination()
+    return rollup.read_margin_store(j.spark, j.at("sales"), lines.schema, j.at("costs"), erp.schema)
+
+
+@job("incremental_erp_category")
+def _(j: Job):
+    """Purchase cost per category from variant rows in three batches."""
+    raw = None
+    for n in range(3):
+        part = testbed.erp_orders(j.spark, j.sf_dir).where(F.pmod(F.xxhash64("order_id"), F.lit(3)) == n)
+        raw = part.select(F.to_variant_object(F.struct(*part.columns)).alias("raw_data"))
+        rollup.maintain(
+            j.spark, j.bronze(raw, "bronze"), raw.schema, rollup.CATEGORY_COST, j.at("costs"),
+            j.at("ckpt"), compact_every=2,
+        ).awaitTermination()
+    return rollup.read_erp_category(j.spark, j.at("costs"), raw.schema)
+
+
+@job("repeated_deliveries")
+def _(j: Job):
+    """Sales lines delivered again within the delay of two hours, after it, and too late.
+
+    Stored are the first arrivals, lines that come again when they are forgotten, and
+    nothing of the last drop, which is older than the watermark.
+    """
+    lines, part = j.pos, F.col("transaction_id").cast("bigint") % 4
+    drops = (
+        ("08:00", part < 2),  # half of the lines
+        ("09:00", (part == 1) | (part == 2)),  # a quarter again, a quarter new
+        ("14:00", part == 3),  # the last quarter; the first two drops are forgotten
+        ("15:00", part == 1),  # again, and taken again
+        ("09:30", part == 0),  # before the watermark of 13:00
+    )
+    late = 0
+    for at, which in drops:
+        stamped = lines.where(which).withColumn("load_ts", F.lit(f"2024-01-01 {at}:00").cast("timestamp_ntz"))
+        query = distinct.append_distinct(
+            j.spark, j.bronze(stamped, "bronze"), stamped.schema, j.at("silver"), j.at("ckpt"),
+            schemas.POS_COLUMNS,
+        )
+        query.awaitTermination()
+        late += distinct.late_rows(query)
+    return j.spark.read.parquet(j.at("silver")).select("*", F.lit(late).cast("long").alias("rows_late"))
+
+
 @job("gold_tables")
 def _(j: Job):
     """Row counts of all gold tables, built from the sources and then read as stored."""

@@ -693,6 +693,7 @@ _SAME = {
 ORACLES = {name: _with(body) for name, body in _BODIES.items()}
 ORACLES.update({name: ORACLES[same] for name, same in _SAME.items()})
 ORACLES.update({name: _with(body) for name, body in JOB_ORACLES.items()})
+ORACLES["incremental_erp_category"] = ORACLES["rollup_erp_category"]
 ORACLES["gold_tables"] = ORACLES["layer_row_counts"]
 ORACLES["gold_sales_vs_iot"] = ORACLES["sales_vs_iot"]
 ORACLES["scd2_stream"] = ORACLES["scd2_apply_store"]

@@ -100,18 +100,33 @@ def _margins(cost: Column) -> dict[str, Column]:
 
 
 def _margin_fact(pos: DataFrame, erp_agg: DataFrame, cost: Column) -> DataFrame:
+    orders = F.coalesce("total_orders", F.lit(0)).alias("total_orders")
+    return margin_rows(pos_agg_price(pos), erp_agg, cost, orders)
+
+
+def margin_rows(sales: DataFrame, erp_agg: DataFrame, cost: Column, *more: Column) -> DataFrame:
     """Both sides come with one row per store and category: the join cannot fan out."""
-    joined = pos_agg_price(pos).join(erp_agg, ["store_id", "category"], "left")
-    margins = _margins(cost)
+    joined = sales.join(erp_agg, ["store_id", "category"], "left")
     return joined.select(
         *STORE_GRAIN,
         "total_revenue",
-        *[c.alias(name) for name, c in margins.items()],
+        *[c.alias(name) for name, c in _margins(cost).items()],
         "total_units_sold",
-        F.coalesce("total_orders", F.lit(0)).alias("total_orders"),
+        *more,
     )
 
 
+def unit_cost(total: Column, n: Column) -> Column:
+    """Mean unit cost to four decimals."""
+    return F.round(safe_div(total, n).cast(SNAP), 4).cast(MONEY).alias("avg_unit_cost")
+
+
+def cost_of_units() -> Column:
+    """What the units sold cost at the mean unit cost; nothing where it is unknown."""
+    cost = F.coalesce("avg_unit_cost", F.lit(0).cast(MONEY)) * F.col("total_units_sold")
+    return cost.cast("decimal(28,4)")
+
+
 def gross_margin_erp(pos: DataFrame, erp: DataFrame) -> DataFrame:
     """Revenue against the whole purchase cost of the store and category."""
     erp_agg = erp.groupBy("store_id", "category").agg(
@@ -124,17 +139,15 @@ def gross_margin_erp(pos: DataFrame, erp: DataFrame) -> DataFrame:
 
 def gross_margin_unit(pos: DataFrame, erp: DataFrame) -> DataFrame:
     """Revenue against the mean unit cost of the units sold."""
-    unit_cost = safe_div(exact_sum("unit_cost"), F.count("unit_cost"))
     erp_agg = (
         erp.where(F.col("unit_cost") > 0)
         .groupBy("store_id", "category")
         .agg(
-            F.round(unit_cost.cast(SNAP), 4).cast(MONEY).alias("avg_unit_cost"),
+            unit_cost(exact_sum("unit_cost"), F.count("unit_cost")),
             F.countDistinct("order_id").alias("total_orders"),
         )
     )
-    cost = F.coalesce("avg_unit_cost", F.lit(0).cast(MONEY)) * F.col("total_units_sold")
-    return _margin_fact(pos, erp_agg, cost.cast("decimal(28,4)"))
+    return _margin_fact(pos, erp_agg, cost_of_units())
 
 
 def gross_margin_flat(pos: DataFrame, rate: float = FLAT_MARGIN_RATE) -> DataFrame:

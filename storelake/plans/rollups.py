@@ -65,11 +65,16 @@ def margin_store(fact: DataFrame) -> DataFrame:
     )
 
 
+def erp_cost_lines(raw: DataFrame) -> DataFrame:
+    """Category and cost of purchase lines that are variant rows."""
+    fields = {"category": ("category", "string"), "total_cost": ("total_cost", "decimal(18,4)")}
+    return variant_fields(raw, "raw_data", fields)
+
+
 def erp_category(raw: DataFrame) -> DataFrame:
     """Purchase cost per category from variant rows."""
-    fields = {"category": ("category", "string"), "total_cost": ("total_cost", "decimal(18,4)")}
     return (
-        variant_fields(raw, "raw_data", fields)
+        erp_cost_lines(raw)
         .groupBy("category")
         .agg(exact_sum("total_cost").cast("double").alias("total_sales"))
     )

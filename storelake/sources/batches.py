@@ -25,6 +25,22 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
+def claim(spark: SparkSession, root: str, run: str) -> None:
+    """Binds a stored table to the checkpoint that numbers its batches.
+
+    A new checkpoint starts over with batch 0 and with all rows of its source, so under
+    the same root it would replace some batches and count the others twice. ValueError
+    names the checkpoint that the root belongs to: give a new checkpoint a new root.
+    """
+    fs, where = _files(spark, root)
+    marks = [e.getPath().getName() for e in fs.listStatus(where)] if fs.exists(where) else []
+    owners = [name.removeprefix("_run-") for name in marks if name.startswith("_run-")]
+    if not owners:
+        fs.mkdirs(_files(spark, f"{root}/_run-{run}")[1])
+    elif owners != [run]:
+        raise ValueError(f"{root} belongs to checkpoint {owners[0]}, not {run}")
+
+
 def write_batch(
     df: DataFrame, root: str, batch_id: int, partition_by: list[str] | None = None
 ) -> DataFrame:

@@ -42,9 +42,13 @@ def filter_files(df: DataFrame, regex: str) -> DataFrame:
 
 def with_load_metadata(df: DataFrame, load_ts: Column | None = None) -> DataFrame:
     """Load time and source file of each row."""
+    return df.select("*", *load_metadata(load_ts))
+
+
+def load_metadata(load_ts: Column | None = None) -> list[Column]:
     if load_ts is None:
         load_ts = F.current_timestamp().cast("timestamp_ntz")
-    return df.select("*", load_ts.alias("load_ts"), file_path().alias("source_file"))
+    return [load_ts.alias("load_ts"), file_path().alias("source_file")]
 
 
 def _to_read(path: str | list[str]) -> str | list[str]:
@@ -177,10 +181,11 @@ def split_parquet(
     cast. An unreadable file gives one rejected row without text.
     """
     groups, unreadable = footer_groups(spark, _paths(spark, path, pattern), on_error)
-    parts = [
-        _cast_or_reject(with_load_metadata(_parquet(spark, own, files)), schema)
-        for own, files in groups
-    ]
+    parts = []
+    for own, files in groups:  # columns of these names would clash with the load metadata
+        fields = [f for f in own if f.name.lower() not in ("load_ts", "source_file")]
+        rows = with_load_metadata(_parquet(spark, T.StructType(fields), files))
+        parts.append(_cast_or_reject(rows, schema))
     return _union(spark, [*parts, *_lost(spark, unreadable, schema)], _landed_schema(schema))
 
 
@@ -244,8 +249,8 @@ def split_parquet_variant(
     parts = []
     for own, files in groups:
         whole = F.to_variant_object(F.struct(*[F.col(f"`{c}`") for c in own.names]))
-        rows = with_load_metadata(_parquet(spark, own, files)).withColumn("raw_data", whole)
-        parts.append(rows.withColumn(CORRUPT, F.lit(None).cast("string")).select(*stored.names))
+        lost = F.lit(None).cast("string").alias(CORRUPT)
+        parts.append(_parquet(spark, own, files).select(whole.alias("raw_data"), lost, *load_metadata()))
     return _union(spark, [*parts, *_lost(spark, unreadable, VARIANT)], stored)
 
 

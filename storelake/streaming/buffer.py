@@ -9,9 +9,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from storelake.functions.dates import period_start
 from storelake.plans.facts import sales_buffer
-from storelake.sources.batches import BATCH, write_batch
+from storelake.sources.batches import BATCH, claim, write_batch
 from storelake.sources.tables import PERIOD, write_table
-from storelake.streaming.ingest import each_batch, pos_to_silver
+from storelake.streaming.ingest import each_batch, pos_to_silver, run_of
 
 def touched_periods(silver: DataFrame, batch_id: int) -> DataFrame:
     """All silver rows of the periods that occur in one batch.
@@ -58,6 +58,7 @@ def sales_buffer_stream(
     Both steps overwrite what they write, so running a batch again gives the same
     tables. Silver is partitioned by batch and period, the buffer by period.
     """
+    claim(spark, silver, run_of(ckpt))
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)

@@ -21,13 +21,14 @@ from storelake.operators.merge import (
 )
 from storelake.sources.batches import (
     BATCH,
+    claim,
     newest_base,
     read_batches,
     retire,
     write_base,
     write_batch,
 )
-from storelake.streaming.ingest import each_batch
+from storelake.streaming.ingest import each_batch, run_of
 
 LATEST_BY = ["load_ts"]
 
@@ -90,6 +91,7 @@ def orders_stream(
     interval: str | None = None,
 ) -> StreamingQuery:
     """Order rows appended to ``src`` merged into the orders under ``root``."""
+    claim(spark, root, run_of(ckpt))
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from storelake.operators.scd import scd2_apply
 from storelake.schemas import store_scd2_schema
 from storelake.sources.batches import newest_base, retire, write_base
-from storelake.streaming.ingest import each_batch
+from storelake.streaming.ingest import each_batch, run_of
 
 
 def read_store_history(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
@@ -38,6 +38,7 @@ def store_history_stream(
     one, so a batch may run again. The dimension holds a row per store and change, so
     writing it whole is cheap; the last two versions stay.
     """
+    claim(spark, root, run_of(ckpt))
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)

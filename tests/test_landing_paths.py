@@ -87,6 +87,16 @@ def test_unreadable_files_are_told_apart(spark, tmp_path, rows):
         landing.read_parquet_variant(spark, src, on_error="ABORT")
 
 
+def test_files_with_columns_named_like_load_metadata(spark, tmp_path, rows):
+    df = spark.createDataFrame([("o1", "own", "mine")], "order_id string, LOAD_TS string, source_file string")
+    df.write.parquet(str(tmp_path / "erp_orders"))
+    got = landing.split_parquet(spark, str(tmp_path), schemas.erp_orders_schema())
+    assert rows(got, "order_id", F.col("source_file").contains("erp_orders")) == [("o1", True)]
+    raw = landing.read_parquet_variant(spark, str(tmp_path))
+    fields = {"a": ("LOAD_TS", "string"), "b": ("source_file", "string")}
+    assert rows(landing.project_paths(raw, fields, variant="raw_data")) == [("own", "mine")]
+
+
 def test_columns_of_foreign_files_equal_sparks_own(spark, tmp_path):
     table = pa.table(
         {

@@ -7,12 +7,14 @@ import shutil
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import _parse_datatype_string
 
 from storelake import schemas
 from storelake.operators.merge import merge_upsert
+from storelake.plans import facts
 from storelake.plans.facts import sales_buffer
 from storelake.sources import batches, landing
-from storelake.streaming import buffer, ingest, ledger, orders, rollup
+from storelake.streaming import buffer, distinct, ingest, ledger, orders, rollup
 from test_landing import BAD, GOOD, GOOD_2, HEADER, write
 
 
@@ -348,3 +350,95 @@ def test_buffer_follows_late_lines(spark, tmp_path, rows):
     expected = sales_buffer(lines.unionByName(undated).unionByName(undated))
     got = spark.read.parquet(at["buffer"]).select(*expected.columns)
     assert rows(got) == rows(expected)
+
+
+def deliver(spark, path, day_hour, *keys):
+    rows = [(k, day_hour) for k in keys]
+    df = spark.createDataFrame(rows, "k string, at string").withColumn("load_ts", F.col("at").cast("timestamp_ntz"))
+    df.drop("at").write.mode("append").parquet(path)
+
+
+def test_repeated_rows_within_the_delay_are_taken_once(spark, tmp_path, rows):
+    src, dst, ckpt = (str(tmp_path / n) for n in ("src", "dst", "ckpt"))
+    schema = "k string, load_ts timestamp_ntz"
+    def run():
+        return finish(
+            distinct.append_distinct(
+                spark, src, _parse_datatype_string(schema), dst, ckpt, ["k"], delay="1 hour"
+            )
+        )
+
+    deliver(spark, src, "2024-01-01 08:00:00", "a", "a", "b", None, None)
+    first = run()
+    deliver(spark, src, "2024-01-01 08:30:00", "a", "c", None)
+    run()
+    got = spark.read.parquet(dst)
+    assert rows(got, "k") == [("a",), ("b",), ("c",), (None,)]
+    assert distinct.late_rows(first) == 0 and distinct.keys_held(first) == 3
+
+    deliver(spark, src, "2024-01-01 12:00:00", "d")  # the watermark goes to 11:00
+    assert distinct.keys_held(run()) == 1  # the state of the first two has ended
+    deliver(spark, src, "2024-01-01 12:10:00", "a", "d")  # a is forgotten, d is not
+    deliver(spark, src, "2024-01-01 10:00:00", "e", "f")  # late
+    last = run()
+    assert rows(spark.read.parquet(dst), "k") == [("a",), ("a",), ("b",), ("c",), ("d",), (None,)]
+    assert distinct.late_rows(last) == 2
+    assert not ingest.ran(run())
+
+
+def test_a_stored_table_belongs_to_one_checkpoint(spark, tmp_path):
+    src = str(tmp_path / "src")
+    spark.createDataFrame([(1, 2)], "n int, m int").write.parquet(src)
+    lines = spark.read.parquet(src).schema
+    kind = rollup.Partials(
+        lambda df: df.groupBy("n").agg(F.sum("m").alias("m")),
+        lambda df: df.groupBy("n").agg(F.sum("m").alias("m")),
+    )
+
+    def run(ckpt, root):
+        finish(rollup.maintain(spark, src, lines, kind, str(tmp_path / root), str(tmp_path / ckpt)))
+        return [tuple(r) for r in rollup.read_merged(spark, str(tmp_path / root), lines, kind).collect()]
+
+    assert run("one", "r1") == [(1, 2)] == run("one", "r1")
+    with pytest.raises(ValueError, match="belongs to checkpoint one"):
+        run("two", "r1")
+    assert run("two", "r2") == [(1, 2)]
+
+
+def test_margins_follow_either_feed(spark, tmp_path, rows):
+    pos = "store_id string, store_name string, store_city string, category string, total_amount double, quantity int"
+    erp = "store_id string, category string, unit_cost double, order_id string"
+    schemas_of = {"sales": _parse_datatype_string(pos), "costs": _parse_datatype_string(erp)}
+    kinds = {"sales": rollup.MARGIN_SALES, "costs": rollup.MARGIN_COSTS}
+    landed = {"sales": [], "costs": []}
+
+    def add(name, *new):
+        landed[name] += new
+        src = str(tmp_path / f"{name}_src")
+        spark.createDataFrame(list(new), schemas_of[name]).write.mode("append").parquet(src)
+        finish(
+            rollup.maintain(
+                spark, src, schemas_of[name], kinds[name], str(tmp_path / name),
+                str(tmp_path / f"{name}_ckpt"), compact_every=2,
+            )
+        )
+
+    def check():
+        got = rollup.read_margin_fact(
+            spark, str(tmp_path / "sales"), schemas_of["sales"], str(tmp_path / "costs"), schemas_of["costs"]
+        )
+        whole = facts.gross_margin_unit(
+            spark.createDataFrame(landed["sales"], pos).withColumn("unit_price", F.lit(1.0)),
+            spark.createDataFrame(landed["costs"], erp),
+        )
+        assert rows(got) == rows(whole.drop("total_orders"))
+
+    add("sales", ("s1", "n", "c", "food", 10.0, 2), ("s1", "n", "c", "food", -1.0, 9), ("s2", "n", "c", "food", 5.5, 1))
+    check()
+    add("costs", ("s1", "food", 2.25, "o1"), ("s1", "food", 0.0, "o1"), ("s1", "toys", 1.0, "o2"))
+    check()
+    add("costs", ("s1", "food", 3.0, "o3"), ("s2", "food", 1.3333, "o4"), ("s2", "food", None, "o4"))
+    add("sales", ("s1", "n", "c", "toys", 7.0, 3), ("s1", "n", "c", "food", 1.25, 1))
+    check()
+    add("costs", ("s1", "toys", 2.0, "o5"))
+    check()

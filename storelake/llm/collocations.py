@@ -24,7 +24,7 @@ LEAST, TOP, SCALE = 30, 2000, 2_000_000
 #: A longer candidate with this share (in hundredths) of a phrase's places stands for it.
 COVERS = 80
 #: Words of a shard, and about how many words' windows one owner unites.
-SHARD_WORDS, RANGE_WORDS = 1 << 21, 1 << 21
+SHARD_WORDS, RANGE_WORDS = 1 << 20, 1 << 20
 #: The borders come from the windows of at most so many texts of at most so many
 #: characters, drawn at random. They decide who owns what, not what comes out.
 BORDER_DOCS, BORDER_CHARS = 1000, 20_000

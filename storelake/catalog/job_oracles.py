@@ -16,18 +16,22 @@ _ORDER_COLUMNS = """order_date store_id store_city supplier_id supplier_name sup
 _ORDER_UPDATES = "order_status quantity_received actual_delivery is_late load_ts".split()
 
 
+def _first_orders(side: str) -> str:
+    """The newest line of each order on one side of the day that parts the batches."""
+    newest = ", ".join(f"{c} DESC NULLS LAST" for c in ["load_ts", *_ORDER_COLUMNS])
+    return f"""SELECT DISTINCT ON (order_id) * FROM ({_ERP})
+        WHERE load_ts {side} TIMESTAMP '1998-01-01 00:00:00' ORDER BY order_id, {newest}"""
+
+
 def _merged_orders() -> str:
     """The newest line of each order of two batches: inserted by the first, updated by the second."""
-    newest = ", ".join(f"{c} DESC NULLS LAST" for c in ["load_ts", *_ORDER_COLUMNS])
-    batch = f"""SELECT DISTINCT ON (order_id) * FROM ({_ERP})
-        WHERE load_ts {{}} TIMESTAMP '1998-01-01 00:00:00' ORDER BY order_id, {newest}"""
     values = ", ".join(
         f"CASE WHEN {'b.order_id IS NOT NULL THEN b' if c in _ORDER_UPDATES else 'a.order_id IS NULL THEN b'}"
         f".{c} ELSE a.{c} END AS {c}"
         for c in [*_ORDER_COLUMNS, "load_ts"]
     )
     return f"""SELECT coalesce(a.order_id, b.order_id) AS order_id, {values}
-        FROM ({batch.format("<")}) a FULL JOIN ({batch.format(">=")}) b ON a.order_id = b.order_id"""
+        FROM ({_first_orders("<")}) a FULL JOIN ({_first_orders(">=")}) b ON a.order_id = b.order_id"""
 
 
 JOB_ORACLES = {
@@ -80,6 +84,7 @@ JOB_ORACLES = {
         count(*) AS total_transactions, CAST(sum(quantity) AS BIGINT) AS total_quantity,
         CAST(sum(total_amount) AS DOUBLE) AS total_revenue FROM clean_lines GROUP BY ALL""",
     "merge_orders_stream": _merged_orders(),
+    "orders_as_of": f"""SELECT * FROM ({_first_orders("<")})""",
     "incremental_rollup": """SELECT store_id, store_name, store_city, store_region, transaction_date,
         CAST(round(sum(total_amount), 2) AS DOUBLE) AS revenue,
         CAST(sum(quantity) AS BIGINT) AS units_sold, count(*) AS n_lines,

@@ -16,7 +16,7 @@ from storelake import schemas
 from storelake.operators import cleaning
 from storelake.plans import analytics, dims, facts, gold, iot, rollups
 from storelake.session import new_folder
-from storelake.sources import landing, tables, testbed
+from storelake.sources import batches, landing, tables, testbed
 from storelake.streaming import buffer, distinct, ingest, ledger, orders, rollup
 from storelake.streaming import stores as store_job
 
@@ -394,14 +394,29 @@ def _(j: Job):
 @job("merge_orders_stream")
 def _(j: Job):
     """Order lines in two batches, the second one updating orders of the first."""
+    return orders.read_orders(j.spark, _merge_orders(j, 2), j.erp.schema)
+
+
+@job("orders_as_of")
+def _(j: Job):
+    """The orders as they stood between the two batches, from a base that is not the newest."""
+    root = _merge_orders(j, 1)
+    commits = batches.read_batches(j.spark, f"{root}/commits", orders.COMMITS)
+    first = commits.where("batch = 0").select(F.col("committed_at").cast("string")).scalar()
+    moment = j.spark.range(1).select(first).first()[0]
+    return orders.read_orders_as_of(j.spark, root, j.erp.schema, moment)
+
+
+def _merge_orders(j: Job, compact_every: int) -> str:
     early = F.col("load_ts") < F.lit(CHANGES_FROM).cast("timestamp_ntz")
-    schema = j.erp.schema
-    for drop in (j.erp.where(early), j.erp.where(~early)):
+    erp = tables.write_table(j.erp, j.at("lines"))  # the base tables are joined once
+    for drop in (erp.where(early), erp.where(~early)):
         bronze = j.bronze(drop, "bronze")
         orders.orders_stream(
-            j.spark, bronze, schema, j.at("orders"), j.at("ckpt"), compact_every=2
+            j.spark, bronze, erp.schema, j.at("orders"), j.at("ckpt"), compact_every=compact_every,
+            buckets=16,
         ).awaitTermination()
-    return orders.read_orders(j.spark, j.at("orders"), schema)
+    return j.at("orders")
 
 
 @job("scd2_stream")

@@ -13,7 +13,7 @@ from storelake import schemas
 from storelake.operators.merge import merge_upsert
 from storelake.plans import facts
 from storelake.plans.facts import sales_buffer
-from storelake.sources import batches, landing
+from storelake.sources import batches, buckets, landing
 from storelake.streaming import buffer, distinct, ingest, ledger, orders, rollup
 from test_landing import BAD, GOOD, GOOD_2, HEADER, write
 
@@ -231,7 +231,7 @@ def test_orders_stream_equals_merging_batch_by_batch(spark, tmp_path, rows):
             expected, batch, orders.ORDER_KEYS, [*orders.ORDER_UPDATES, "load_ts"], ["load_ts"]
         )
         expected = spark.createDataFrame(merged.collect(), schema)
-    assert batches.newest_base(spark, at["orders"] + "/base") == 1
+    assert batches.newest_base(spark, at["orders"] + "/manifest") == 1
     got = orders.read_orders(spark, at["orders"], schema)
     assert rows(got) == rows(expected)
     assert rows(got, "order_id", "quantity_ordered", "order_status") == [
@@ -258,14 +258,71 @@ def test_a_batch_runs_again_after_a_lost_commit(spark, tmp_path, rows):
         for name in (f"{n}", f".{n}.crc"):
             (tmp_path / "ckpt/commits" / name).unlink(missing_ok=True)
         if n == 1:  # the crash came before the base was whole
-            (tmp_path / "orders/base/v=1/_SUCCESS").unlink()
+            (tmp_path / "orders/manifest/v=1/_SUCCESS").unlink()
         run()
         assert rows(orders.read_orders(spark, at["orders"], schema)) == before
-    assert batches.bases(spark, at["orders"] + "/base") == [1, 2]
+    assert batches.bases(spark, at["orders"] + "/manifest") == [1, 2]
     left = sorted(p.name for p in (tmp_path / "orders/changes").iterdir() if p.is_dir())
     assert left == ["batch=2"]
 
 
+def test_a_fold_rewrites_touched_buckets_only(spark, tmp_path, rows):
+    """Buckets are counted, the base does not move, and older moments can be read."""
+    at = {n: str(tmp_path / n) for n in ("bronze", "it's orders", "ckpt")}
+    root, schema = at["it's orders"], spark.createDataFrame([], ORDER).schema
+
+    def land(data):
+        spark.createDataFrame(data, schema).write.mode("append").parquet(at["bronze"])
+        finish(
+            orders.orders_stream(
+                spark, at["bronze"], schema, root, at["ckpt"], compact_every=1, buckets=16, keep=3
+            )
+        )
+
+    land([_order(f"o{i}", i, "open", 1) for i in range(400)] + [_order(None, 5, "open", 1)])
+    assert buckets.rewritten(spark, root, 0) == list(range(16))
+    first = rows(orders.read_orders(spark, root, schema))
+    land([_order("o7", 1, "sent", 2), _order("new", 2, "open", 2), _order(None, 6, "open", 2)])
+    keys = spark.createDataFrame([("o7",), ("new",)], "order_id string")
+    touched = sorted({r.s for r in keys.select(buckets.slot(["order_id"], 16).alias("s")).collect()})
+    assert buckets.rewritten(spark, root, 1) == touched and len(touched) < 3
+    second = rows(orders.read_orders(spark, root, schema))
+    assert len(second) == len(first) + 2 and ("o7", "sent") in rows(
+        orders.read_orders(spark, root, schema), "order_id", "order_status"
+    )
+
+    spark.createDataFrame([_order("o9", 1, "held", 3)], schema).write.parquet(f"{root}/changes/batch=2")
+    merged = orders.read_orders(spark, root, schema)
+    merged.collect()
+    plan = merged._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    scan = plan[plan.index("Bucketed: true") - 2000 : plan.index("Bucketed: true")]
+    assert "Exchange" not in scan.rsplit("SortMergeJoin", 1)[-1].split("+-")[-1]
+    assert ("o9", "held") in rows(merged, "order_id", "order_status")
+
+    (a,), (b,) = rows(batches.read_batches(spark, f"{root}/commits", orders.COMMITS), "committed_at")
+    assert a < b
+    assert rows(orders.read_orders_as_of(spark, root, schema, str(a))) == first
+    assert rows(orders.read_orders_as_of(spark, root, schema, str(b))) == second
+    assert orders.read_orders_as_of(spark, root, schema, "2000-01-01").count() == 0
+
+
+def test_moments_before_the_oldest_base_are_refused(spark, tmp_path):
+    root, schema = str(tmp_path / "orders"), spark.createDataFrame([], ORDER).schema
+    moments = []
+    for n in range(5):
+        orders.store_changes(spark.createDataFrame([_order(f"o{n}", n, "open", 1)], schema), root, n)
+        orders.compact(spark, root, schema, n, buckets=4)
+        commits = batches.read_batches(spark, f"{root}/commits", orders.COMMITS).where(F.col("batch") == n)
+        moments.append(str(commits.first()["committed_at"]))
+    assert [orders.read_orders_as_of(spark, root, schema, m).count() for m in moments[3:]] == [4, 5]
+    with pytest.raises(ValueError, match="folded"):
+        orders.read_orders_as_of(spark, root, schema, moments[1])
+    live = buckets.read_manifest(spark, root)[2]
+    kept = {(fold, s) for fold in range(5) for s in buckets.rewritten(spark, root, fold)}
+    older = buckets.read_manifest(spark, root, before=4)[2]
+    assert kept == {(f, s) for s, f in [*live.items(), *older.items()]}
+
+
 def test_unfinished_base_is_not_read(spark, tmp_path):
     root = str(tmp_path / "base")
     batches.write_base(spark.range(3), root, 4)

@@ -648,19 +648,23 @@ def _(x: Layers):
 
 @query("layer_row_counts")
 def _(x: Layers):
-    """Rows of every gold table, counted in the stored tables; lines are derived once."""
-    stored = gold.build_gold(*_stored_lines(x), new_folder(x.spark, "layers"), grain="year")
-    return cleaning.layer_row_counts(gold.labelled(stored))
+    """Rows of every gold table, counted as they are written; lines are derived once."""
+    pos, erp = _stored_lines(x, gold.POS_NEEDS, gold.ERP_NEEDS)
+    _, rows = gold.build_counted(pos, erp, x.readings, new_folder(x.spark, "layers"), grain="year")
+    counts = [(label, rows[name]) for name, label in gold.LABELS.items()]
+    return x.spark.createDataFrame(counts, "layer_table string, n_rows bigint").orderBy("layer_table")
 
 
-def _stored_lines(x: Layers) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Sales lines, purchase lines and readings, each derived once and stored."""
+def _stored_lines(x: Layers, pos: list[str], erp: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The named columns of sales and of purchase lines, each derived once and stored."""
     root = new_folder(x.spark, "lines")
-    return (
-        tables.write_table(x.pos, f"{root}/pos"),
-        tables.write_table(x.erp, f"{root}/erp"),
-        tables.write_table(x.readings, f"{root}/readings"),
+    out = tables.side_by_side(
+        {
+            "pos": lambda: tables.write_table(x.pos.select(*pos), f"{root}/pos"),
+            "erp": lambda: tables.write_table(x.erp.select(*erp), f"{root}/erp"),
+        }
     )
+    return out["pos"], out["erp"]
 
 
 # --- change data and dimensions over time ---------------------------------------
@@ -902,9 +906,8 @@ def _(x: Layers):
 @query("quality_summary")
 def _(x: Layers):
     """Rules over stored lines, so that the base tables are joined once, not per rule."""
-    pos, erp, _ = _stored_lines(x)
-    root = new_folder(x.spark, "facts")
-    daily = tables.write_table(facts.fct_daily_sales(pos), f"{root}/daily")
+    pos, erp = _stored_lines(x, gold.POS_NEEDS, ["order_id", "store_id", "category", "unit_cost", "total_cost"])
+    daily = facts.fct_daily_sales(pos)
     profit = {"profit_positive": F.col("gross_profit") > 0}
     calendar = dims.dim_date(pos).agg(
         F.count("*").alias("days"), F.datediff(F.max("date_key"), F.min("date_key")).alias("span")
@@ -923,7 +926,7 @@ def _(x: Layers):
         "margin_erp_cost": quality.quality_checks(facts.gross_margin_erp(pos, erp), profit),
         "margin_unit_cost": quality.quality_checks(facts.gross_margin_unit(pos, erp), profit),
         "clean_pos": quality.quality_checks(
-            cleaning.clean_pos(pos),
+            cleaning.clean_pos(x.pos),
             {"quantity_not_negative": F.col("quantity") >= 0, "amount_positive": F.col("total_amount") > 0},
         ),
     }

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,7 +16,11 @@ PERIOD = "period"  # partition column of dated tables: first day of the period
 
 
 def write_table(
-    df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    partition_by: list[str] | None = None,
+    watch: Observation | None = None,
 ) -> DataFrame:
     """Materialise a query and return the stored table.
 
@@ -22,9 +28,14 @@ def write_table(
     in ``df``. The rebalance hint lets adaptive execution split a partition value
     that holds most of the rows and merge the small ones, so that neither one
     task writes a hot day nor every task writes a file per day.
+
+    ``watch`` gets the number of rows, ``n_rows``, from the tasks that write them, so
+    that a stored table need not be read to be counted.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
+    if watch is not None:
+        df = df.observe(watch, F.count(F.lit(1)).alias("n_rows"))
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
@@ -32,6 +43,13 @@ def write_table(
     return df.sparkSession.read.parquet(path)
 
 
+def side_by_side(stores: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Writes of tables that do not need each other, as jobs that share the cluster."""
+    with ThreadPoolExecutor(max_workers=max(1, len(stores))) as pool:
+        started = {name: pool.submit(write) for name, write in stores.items()}
+        return {name: job.result() for name, job in started.items()}
+
+
 def conform(df: DataFrame, schema: T.StructType, defaults: dict | None = None) -> DataFrame:
     """Columns of ``schema`` by name ignoring case; absent ones take their default."""
     present = {name.lower(): name for name in df.columns}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -13,16 +15,52 @@ from storelake.sources.batches import BATCH, claim, write_batch
 from storelake.sources.tables import PERIOD, write_table
 from storelake.streaming.ingest import each_batch, pos_to_silver, run_of
 
-def touched_periods(silver: DataFrame, batch_id: int) -> DataFrame:
-    """All silver rows of the periods that occur in one batch.
+#: Beside the rows of silver: the periods that each batch touched.
+TOUCHED = "_touched"
+TOUCHED_SCHEMA = T.StructType([T.StructField(PERIOD, T.DateType())])
+
+
+def store_silver(cleaned: DataFrame, silver: str, batch_id: int) -> list[dt.date | None]:
+    """Writes a batch into the folders of its periods, and returns these.
 
-    The periods of a batch are at most the days of the calendar, so they may be
-    broadcast; as both are partition columns, only folders of these periods are
-    read. Undated rows have a folder of their own, which is always read.
+    Silver lies by period first, so what a period holds is found without a look at any
+    other. A batch that runs again replaces its own folders. The periods, at most the
+    days of the calendar, are collected while the rows are written.
     """
-    periods = silver.where(F.col(BATCH) == batch_id).select(PERIOD).distinct()
-    dated = silver.join(F.broadcast(periods), PERIOD, "left_semi")
-    return dated.unionByName(silver.where(F.col(PERIOD).isNull()).select(*dated.columns))
+    spark, seen = cleaned.sparkSession, Observation(f"periods-{batch_id}")
+    numbered = cleaned.withColumn(BATCH, F.lit(batch_id).cast("long")).hint("rebalance", PERIOD)
+    observed = numbered.observe(
+        seen, F.collect_set(PERIOD).alias("dated"), F.count_if(F.col(PERIOD).isNull()).alias("undated")
+    )
+    (
+        observed.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(PERIOD, BATCH)
+        .parquet(silver)
+    )
+    periods = sorted(seen.get["dated"]) + ([None] if seen.get["undated"] else [])
+    rows = spark.createDataFrame([(p,) for p in periods], TOUCHED_SCHEMA).coalesce(1)
+    write_batch(rows, f"{silver}/{TOUCHED}", batch_id)
+    return periods
+
+
+def period_folders(silver: str, periods: list[dt.date | None]) -> list[str]:
+    names = ("__HIVE_DEFAULT_PARTITION__" if p is None else p.isoformat() for p in periods)
+    return [f"{silver}/{PERIOD}={name}" for name in names]
+
+
+def read_periods(
+    spark: SparkSession, silver: str, schema: T.StructType, periods: list[dt.date | None]
+) -> DataFrame:
+    """Silver rows of some periods; Spark lists the folders of these only."""
+    fields = [f for f in schema if f.name not in (PERIOD, BATCH)]
+    placed = T.StructType(
+        [*fields, T.StructField(PERIOD, T.DateType()), T.StructField(BATCH, T.LongType())]
+    )
+    if not periods:
+        return spark.createDataFrame([], placed)
+    reader = spark.read.schema(placed).option("basePath", silver)
+    return reader.parquet(*period_folders(silver, periods))
 
 
 def refresh_buffer(
@@ -30,13 +68,11 @@ def refresh_buffer(
     silver: str,
     schema: T.StructType,
     buffer: str,
-    batch_id: int,
+    periods: list[dt.date | None],
     grain: str = "day",
 ) -> None:
-    """Recomputes the buffer of the periods a silver batch touched; others stay."""
-    fields = [*schema.fields, T.StructField(BATCH, T.LongType())]
-    stored = spark.read.schema(T.StructType(fields)).parquet(silver)
-    fresh = sales_buffer(touched_periods(stored, batch_id))
+    """Recomputes the buffer of some periods from all their silver rows; others stay."""
+    fresh = sales_buffer(read_periods(spark, silver, schema, periods))
     write_table(
         fresh.withColumn(PERIOD, period_start("date_key", grain)), buffer, partition_by=[PERIOD]
     )
@@ -56,7 +92,9 @@ def sales_buffer_stream(
     """Bronze sales to silver, then the buffer, in one micro-batch.
 
     Both steps overwrite what they write, so running a batch again gives the same
-    tables. Silver is partitioned by batch and period, the buffer by period.
+    tables. Silver is partitioned by period and batch, the buffer by period, and a batch
+    lists and reads the periods it touched: its cost does not grow with the batches
+    before it.
     """
     claim(spark, silver, run_of(ckpt))
     reader = spark.readStream.schema(schema)
@@ -65,7 +103,7 @@ def sales_buffer_stream(
 
     def step(batch: DataFrame, batch_id: int) -> None:
         cleaned = pos_to_silver(batch).withColumn(PERIOD, period_start("transaction_date", grain))
-        write_batch(cleaned, silver, batch_id, partition_by=[PERIOD])
-        refresh_buffer(batch.sparkSession, silver, cleaned.schema, buffer, batch_id, grain)
+        periods = store_silver(cleaned, silver, batch_id)
+        refresh_buffer(batch.sparkSession, silver, cleaned.schema, buffer, periods, grain)
 
     return each_batch(reader.parquet(src), step, ckpt, interval)

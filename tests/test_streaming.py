@@ -409,6 +409,33 @@ def test_buffer_follows_late_lines(spark, tmp_path, rows):
     assert rows(got) == rows(expected)
 
 
+def test_a_batch_lists_the_folders_of_its_periods_only(spark, tmp_path, rows):
+    """Thirty batches of a day each: what a batch reads does not grow."""
+    silver, buffered = str(tmp_path / "silver"), str(tmp_path / "buffer")
+    lines = _sales(spark, 6).withColumn("transaction_date", F.lit("2024-01-01").cast("date"))
+    read = []
+    for n in range(30):
+        day = dt.date(2024, 1, 1) + dt.timedelta(days=n)
+        batch = lines.withColumn("transaction_date", F.lit(day)).withColumn("period", F.lit(day))
+        assert buffer.store_silver(batch, silver, n) == [day]
+        if n in (2, 15, 29):
+            buffer.refresh_buffer(spark, silver, batch.schema, buffered, [day])
+            found = buffer.read_periods(spark, silver, batch.schema, [day])
+            read.append((len(found.inputFiles()), found.count()))
+    assert len(set(read)) == 1 and read[0][1] == 6
+    assert {p.name for p in (tmp_path / "buffer").glob("period=*")} == {
+        "period=2024-01-03", "period=2024-01-16", "period=2024-01-30"
+    }
+    late = lines.withColumn("period", F.lit("2024-01-16").cast("date"))
+    undated = lines.limit(1).withColumn("period", F.lit(None).cast("date"))
+    periods = buffer.store_silver(late.unionByName(undated), silver, 30)
+    assert periods == [dt.date(2024, 1, 16), None]
+    assert buffer.store_silver(late.unionByName(undated), silver, 30) == periods  # again
+    assert buffer.read_periods(spark, silver, late.schema, periods).count() == 13
+    kept = batches.read_batches(spark, f"{silver}/{buffer.TOUCHED}", buffer.TOUCHED_SCHEMA, after=29)
+    assert rows(kept, "period") == [(dt.date(2024, 1, 16),), (None,)]
+
+
 def deliver(spark, path, day_hour, *keys):
     rows = [(k, day_hour) for k in keys]
     df = spark.createDataFrame(rows, "k string, at string").withColumn("load_ts", F.col("at").cast("timestamp_ntz"))

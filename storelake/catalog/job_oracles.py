@@ -84,6 +84,13 @@ JOB_ORACLES = {
         count(*) AS total_transactions, CAST(sum(quantity) AS BIGINT) AS total_quantity,
         CAST(sum(total_amount) AS DOUBLE) AS total_revenue FROM clean_lines GROUP BY ALL""",
     "merge_orders_stream": _merged_orders(),
+    "orders_change_feed": f"""SELECT * FROM (WITH old AS ({_first_orders("<")}), new AS ({_merged_orders()}),
+        pairs AS (SELECT old, new FROM old FULL JOIN new ON old.order_id = new.order_id
+            WHERE old IS DISTINCT FROM new)
+        SELECT unnest(old), 'DELETE' AS _action, new.order_id IS NOT NULL AS _is_update
+            FROM pairs WHERE old.order_id IS NOT NULL
+        UNION ALL BY NAME SELECT unnest(new), 'INSERT' AS _action, old.order_id IS NOT NULL AS _is_update
+            FROM pairs WHERE new.order_id IS NOT NULL)""",
     "orders_as_of": f"""SELECT * FROM ({_first_orders("<")})""",
     "incremental_rollup": """SELECT store_id, store_name, store_city, store_region, transaction_date,
         CAST(round(sum(total_amount), 2) AS DOUBLE) AS revenue,

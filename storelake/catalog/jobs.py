@@ -16,7 +16,7 @@ from storelake import schemas
 from storelake.operators import cleaning
 from storelake.plans import analytics, dims, facts, gold, iot, rollups
 from storelake.session import new_folder
-from storelake.sources import batches, landing, tables, testbed
+from storelake.sources import batches, buckets, landing, tables, testbed
 from storelake.streaming import buffer, distinct, ingest, ledger, orders, rollup
 from storelake.streaming import stores as store_job
 
@@ -407,6 +407,13 @@ def _(j: Job):
     return orders.read_orders_as_of(j.spark, root, j.erp.schema, moment)
 
 
+@job("orders_change_feed")
+def _(j: Job):
+    """What the second batch changed, between two stored versions; equal buckets stay closed."""
+    root = _merge_orders(j, 1)
+    return buckets.changes_between(j.spark, root, j.erp.schema, orders.ORDER_KEYS, 0, 1)
+
+
 def _merge_orders(j: Job, compact_every: int) -> str:
     early = F.col("load_ts") < F.lit(CHANGES_FROM).cast("timestamp_ntz")
     erp = tables.write_table(j.erp, j.at("lines"))  # the base tables are joined once

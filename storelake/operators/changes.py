@@ -9,17 +9,21 @@ ACTION, IS_UPDATE = "_action", "_is_update"
 INSERT, DELETE = "INSERT", "DELETE"
 
 
-def diff_changes(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+def diff_changes(
+    old: DataFrame, new: DataFrame, keys: list[str], null_keys: bool = True
+) -> DataFrame:
     """Change rows that lead from ``old`` to ``new``; each has one row per key.
 
     An update is a DELETE of the old and an INSERT of the new row, both flagged
     ``_is_update``. The two versions meet in a single null-safe join, and each
-    joined pair emits its zero to two rows in place.
+    joined pair emits its zero to two rows in place. ``null_keys=False`` promises keys
+    without nulls: sides that already lie by hash of the keys then meet where they are.
     """
     columns = new.columns
-    left = old.select(F.struct(*columns).alias("_old"))
-    right = new.select(F.struct(*columns).alias("_new"))
-    same_key = [F.col(f"_old.{k}").eqNullSafe(F.col(f"_new.{k}")) for k in keys]
+    left = old.select(F.struct(*columns).alias("_old"), *[F.col(k).alias(f"_o_{k}") for k in keys])
+    right = new.select(F.struct(*columns).alias("_new"), *[F.col(k).alias(f"_n_{k}") for k in keys])
+    ends = [(F.col(f"_o_{k}"), F.col(f"_n_{k}")) for k in keys]
+    same_key = [a.eqNullSafe(b) if null_keys else a == b for a, b in ends]
     pairs = left.join(right, same_key, "full_outer").where(~F.col("_old").eqNullSafe(F.col("_new")))
     updated = F.col("_old").isNotNull() & F.col("_new").isNotNull()
 

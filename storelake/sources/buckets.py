@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from storelake.operators.changes import diff_changes
 from storelake.sources.batches import (
     _files,
     bases,
@@ -27,6 +28,8 @@ MANIFEST = T.StructType(
         T.StructField("slot", T.IntegerType()),
         T.StructField("fold", T.LongType()),
         T.StructField("buckets", T.IntegerType()),
+        T.StructField("n_rows", T.LongType()),
+        T.StructField("checksum", T.LongType()),
     ]
 )
 
@@ -36,17 +39,20 @@ def slot(keys: list[str], buckets: int) -> Column:
     return F.pmod(F.hash(*keys), F.lit(buckets)).cast("int")
 
 
+def manifest_rows(spark: SparkSession, root: str, before: int | None = None) -> tuple[int, list[Row]]:
+    """The newest version, below ``before`` if given, and its row for each bucket that holds
+    rows; -1 and none if there is no manifest yet. One row a bucket comes to the driver."""
+    version = newest_base(spark, f"{root}/manifest", before=before)
+    if version < 0:
+        return version, []
+    return version, spark.read.schema(MANIFEST).parquet(f"{root}/manifest/v={version}").collect()
+
+
 def read_manifest(
     spark: SparkSession, root: str, before: int | None = None
 ) -> tuple[int, int | None, dict[int, int]]:
-    """Version, number of buckets, and the fold of each bucket that holds rows.
-
-    One row a bucket comes to the driver. -1, None and nothing if there is none yet.
-    """
-    version = newest_base(spark, f"{root}/manifest", before=before)
-    if version < 0:
-        return version, None, {}
-    rows = spark.read.schema(MANIFEST).parquet(f"{root}/manifest/v={version}").collect()
+    """Version, number of buckets, and the fold of each bucket that holds rows."""
+    version, rows = manifest_rows(spark, root, before)
     return version, rows[0]["buckets"] if rows else None, {r["slot"]: r["fold"] for r in rows}
 
 
@@ -104,7 +110,7 @@ def write_buckets(
     write it anew.
     """
     spark = rows.sparkSession
-    _, _, folds = read_manifest(spark, root, before=version)
+    _, older = manifest_rows(spark, root, before=version)
     name = _table(root, f"fold{version}")
     for stale in (name, _table(root, f"v{version}")):  # of an attempt that failed
         spark.sql(f"DROP TABLE IF EXISTS {stale}")
@@ -119,11 +125,59 @@ def write_buckets(
         .saveAsTable(name)
     )
     spark.sql(f"DROP TABLE {name}")  # an external table: its files stay
-    stored = {**folds, **{s: version for s in touched}}
-    manifest = [(s, fold, buckets) for s, fold in sorted(stored.items())]
+    stored = {r["slot"]: r for r in older if r["slot"] not in touched}
+    manifest = [*stored.values(), *_sums(spark, rows.schema, root, buckets, version)]
     write_base(spark.createDataFrame(manifest, MANIFEST).coalesce(1), f"{root}/manifest", version)
 
 
+def _sums(
+    spark: SparkSession, schema: T.StructType, root: str, buckets: int, version: int
+) -> list[Row]:
+    """Manifest rows of a fold: rows and checksum of each of its buckets."""
+    placed = T.StructType([*schema.fields, T.StructField(SLOT, T.IntegerType())])
+    stored = spark.read.schema(placed).parquet(f"{root}/base/fold={version}")
+    return (
+        stored.groupBy(F.col(SLOT).alias("slot"))
+        .agg(F.count("*").alias("n_rows"), F.bit_xor(F.xxhash64(*schema.names)).alias("checksum"))
+        .select(
+            "slot", F.lit(version).cast("long").alias("fold"),
+            F.lit(buckets).alias("buckets"), "n_rows", "checksum",
+        )
+        .collect()
+    )
+
+
+def differing(spark: SparkSession, root: str, old: int, new: int) -> list[int]:
+    """Buckets that two versions do not share: other files, and other rows or checksum."""
+    kept = [
+        {r["slot"]: r for r in manifest_rows(spark, root, before=v + 1)[1]} for v in (old, new)
+    ]
+
+    def same(a: Row | None, b: Row | None) -> bool:
+        if a is None or b is None:
+            return a is b
+        return a["fold"] == b["fold"] or (a["n_rows"], a["checksum"]) == (b["n_rows"], b["checksum"])
+
+    slots = sorted(kept[0].keys() | kept[1].keys())
+    return [s for s in slots if not same(kept[0].get(s), kept[1].get(s))]
+
+
+def changes_between(
+    spark: SparkSession, root: str, schema: T.StructType, keys: list[str], old: int, new: int
+) -> DataFrame:
+    """Change rows (``diff_changes``) that lead from one stored version to a later one.
+
+    Only buckets that differ are read, and as both versions lie in the same buckets, no
+    row moves to meet its other version. Two contents of one bucket with equal count and
+    64-bit checksum are taken for the same.
+    """
+    slots = differing(spark, root, old, new)
+    sides = [read_buckets(spark, root, schema, keys, v + 1, slots) for v in (old, new)]
+    empty = spark.createDataFrame([], schema)
+    old_rows, new_rows = (empty if side is None else side for side in sides)
+    return diff_changes(old_rows, new_rows, keys, null_keys=False)
+
+
 def rewritten(spark: SparkSession, root: str, version: int) -> list[int]:
     """The buckets that a fold has stored."""
     fs, where = _files(spark, f"{root}/base/fold={version}")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import _parse_datatype_string
 
 from storelake import schemas
+from storelake.operators.changes import diff_changes
 from storelake.operators.merge import merge_upsert
 from storelake.plans import facts
 from storelake.plans.facts import sales_buffer
@@ -306,6 +307,27 @@ def test_a_fold_rewrites_touched_buckets_only(spark, tmp_path, rows):
     assert orders.read_orders_as_of(spark, root, schema, "2000-01-01").count() == 0
 
 
+def test_changes_between_versions_read_differing_buckets_only(spark, tmp_path, rows):
+    root, schema = str(tmp_path / "orders"), spark.createDataFrame([], ORDER).schema
+    first = [_order(f"o{i}", i, "open", 1) for i in range(300)]
+    same = [_order("o5", 5, "open", 1)]  # its bucket is rewritten with the rows it has
+    second = [_order("o7", 1, "sent", 2), _order("new", 2, "open", 2)]
+    for n, data in enumerate((first, same, second)):
+        orders.store_changes(spark.createDataFrame(data, schema), root, n)
+        orders.compact(spark, root, schema, n, buckets=16, keep=5)
+    assert len(buckets.rewritten(spark, root, 1)) == 1
+    assert buckets.differing(spark, root, 0, 1) == []
+    assert buckets.changes_between(spark, root, schema, ["order_id"], 0, 1).count() == 0
+    touched = buckets.rewritten(spark, root, 2)
+    assert buckets.differing(spark, root, 0, 2) == touched
+    found = buckets.changes_between(spark, root, schema, ["order_id"], 0, 2)
+    whole = diff_changes(
+        *(buckets.read_buckets(spark, root, schema, ["order_id"], v + 1) for v in (0, 2)), ["order_id"]
+    )
+    assert rows(found) == rows(whole) and found.count() == 3
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_moments_before_the_oldest_base_are_refused(spark, tmp_path):
     root, schema = str(tmp_path / "orders"), spark.createDataFrame([], ORDER).schema
     moments = []

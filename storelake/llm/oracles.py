@@ -62,18 +62,17 @@ FROM t JOIN g USING (text)
 """
 
 _TOP = """
-WITH v AS (
-  SELECT vec_id, min([floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding]) AS q
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS q
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
-  GROUP BY vec_id),
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 s AS (
-  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
-  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+  SELECT a.row, a.vec_id AS query_id, b.vec_id,
+    CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.row <> b.row WHERE a.vec_id % 50 = 0),
 r AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER)
-    AS rank
+  SELECT *, CAST(row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS INTEGER) AS rank
   FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """

@@ -9,7 +9,7 @@ after another hand the current kth scores on.
 from __future__ import annotations
 
 import pickle
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +20,7 @@ from storelake.llm.common import written
 
 LOW = np.iinfo(np.int64).min
 SHARD_ROWS, BLOCK_ROWS, LEAF_ROWS = 4096, 512, 64
+FOUND = ["query_row", "query_id", "vec_id", "score"]
 
 
 @dataclass
@@ -27,6 +28,7 @@ class BallTree:
     """Points in tree order; node i holds points[first[i]:last[i]] inside a ball."""
 
     ids: np.ndarray
+    rows: np.ndarray
     points: np.ndarray
     first: list[int]
     last: list[int]
@@ -36,7 +38,9 @@ class BallTree:
     radii: np.ndarray
 
     @staticmethod
-    def build(ids: np.ndarray, points: np.ndarray, leaf: int = LEAF_ROWS) -> BallTree:
+    def build(
+        ids: np.ndarray, rows: np.ndarray, points: np.ndarray, leaf: int = LEAF_ROWS
+    ) -> BallTree:
         order = np.arange(len(ids))
         first, last, left, right, centers, radii = [], [], [], [], [], []
 
@@ -58,22 +62,23 @@ class BallTree:
 
         node(0, len(ids))
         return BallTree(
-            ids[order], points[order], first, last, left, right, np.array(centers), np.array(radii)
+            ids[order], rows[order], points[order], first, last, left, right,
+            np.array(centers), np.array(radii),
         )
 
 
 class Search:
     """Branch and bound for a block of queries; ``kth`` only ever rises."""
 
-    def __init__(self, ids: np.ndarray, queries: np.ndarray, k: int, kth: np.ndarray):
-        self.ids, self.queries, self.k, self.kth = ids, queries, k, kth.copy()
+    def __init__(self, rows: np.ndarray, queries: np.ndarray, k: int, kth: np.ndarray):
+        self.rows, self.queries, self.k, self.kth = rows, queries, k, kth.copy()
         self.norms = np.sqrt((queries**2).sum(axis=1))
         # Rounding: every product and sum below is of at most this relative size.
         self.slack = 1e-9 * (1.0 + self.norms)
 
     def run(self, tree: BallTree) -> tuple[np.ndarray, np.ndarray]:
         """(scores, ids) of the best k of this shard that may still count; LOW if none."""
-        n = len(self.ids)
+        n = len(self.rows)
         self.tree = tree
         self.best = np.full((n, self.k), LOW)
         self.best_ids = np.full((n, self.k), np.iinfo(np.int64).max)
@@ -117,7 +122,7 @@ class Search:
         rows = slice(self.tree.first[node], self.tree.last[node])
         ids = np.broadcast_to(self.tree.ids[rows], (len(q), rows.stop - rows.start))
         scores = self._scores(q, rows)
-        scores = np.where(ids == self.ids[q][:, None], LOW, scores)
+        scores = np.where(self.tree.rows[rows][None, :] == self.rows[q][:, None], LOW, scores)
         scores = np.concatenate([self.best[q], scores], axis=1)
         ids = np.concatenate([self.best_ids[q], ids], axis=1)
         order = np.lexsort((ids, -(scores.astype(float)) if self.exact else ~scores), axis=1)
@@ -129,10 +134,11 @@ class Search:
 
 
 def quantized(rows: DataFrame, vector: str) -> DataFrame:
-    """(vec_id, v): floor(256 * x) of each component as a whole double.
+    """(vec_id, row, v): floor(256 * x) of each component as a whole double.
 
-    Null vectors, vectors with a null or non-finite component and rows without an id take
-    no part. Of rows that repeat an id the smallest vector counts.
+    ``row`` tells rows apart that repeat an id; it holds once the result is stored. Null
+    vectors, vectors with a null or non-finite component and rows without an id take no
+    part.
     """
     # floor() gives 64-bit numbers; beyond 2 ** 52 a double is whole already.
     wide = F.transform(
@@ -147,11 +153,11 @@ def quantized(rows: DataFrame, vector: str) -> DataFrame:
         & ~F.isnan(x.cast("double"))
         & (F.abs(x.cast("double")) < F.lit(float("inf"))),
     )
-    return (
-        rows.where(F.col("vec_id").isNotNull() & F.col(vector).isNotNull() & finite)
-        .select(F.col("vec_id").cast("long").alias("vec_id"), wide.alias("v"))
-        .groupBy("vec_id")
-        .agg(F.min("v").alias("v"))
+    kept = rows.where(F.col("vec_id").isNotNull() & F.col(vector).isNotNull() & finite)
+    return kept.select(
+        F.col("vec_id").cast("long").alias("vec_id"),
+        F.monotonically_increasing_id().alias("row"),
+        wide.alias("v"),
     )
 
 
@@ -177,15 +183,13 @@ def _search(block: dict, tree: BallTree, k: int) -> tuple[dict, list[pa.Array]]:
     queries, points = _fit_width(block["queries"], tree.points)
     if points.shape[1] != tree.points.shape[1]:
         centers = np.pad(tree.centers, ((0, 0), (0, points.shape[1] - tree.centers.shape[1])))
-        tree = BallTree(
-            tree.ids, points, tree.first, tree.last, tree.left, tree.right, centers, tree.radii
-        )
-    search = Search(block["ids"], queries, k, block["kth"])
+        tree = replace(tree, points=points, centers=centers)
+    search = Search(block["rows"], queries, k, block["kth"])
     scores, ids = search.run(tree)
     floor = np.where(np.isfinite(block["kth"]), block["kth"], -np.inf)
     keep = (scores != LOW) & (scores >= floor[:, None])
-    of = np.repeat(block["ids"], k).reshape(scores.shape)
-    found = [pa.array(x[keep], pa.int64()) for x in (of, ids, scores)]
+    row, of = (np.repeat(block[x], k).reshape(scores.shape) for x in ("rows", "ids"))
+    found = [pa.array(x[keep], pa.int64()) for x in (row, of, ids, scores)]
     return {**block, "kth": search.kth}, found
 
 
@@ -201,6 +205,8 @@ def top_k(
 
     ``is_query`` is a condition on vec_id. Score: the inner product of the quantized
     vectors; ties go to the smaller vec_id; fewer rows if there are fewer candidates.
+    Rows that repeat an id are queries and candidates of their own: a query's ranks are
+    its own, and it finds the other rows of its id like any.
     Vectors of unequal length are compared as if filled up with zeros. Scores beyond 64
     bits are cut to the nearest value that fits.
     """
@@ -210,11 +216,11 @@ def top_k(
     blocks = max(1, -(-queries.count() // block_rows))
 
     def deal(n: int) -> Column:
-        return F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
+        return F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")
 
     def plant(table: pa.Table) -> pa.Table:
-        ids = table["vec_id"].to_numpy()
-        tree = BallTree.build(ids, _matrix(table["v"]))
+        ids, rows = table["vec_id"].to_numpy(), table["row"].to_numpy()
+        tree = BallTree.build(ids, rows, _matrix(table["v"]))
         raw = pickle.dumps(tree, protocol=5)
         return pa.table({"shard": pa.array([table["shard"][0].as_py()], pa.int32()), "tree": [raw]})
 
@@ -222,6 +228,7 @@ def top_k(
         block = {
             "block": table["block"][0].as_py(),
             "ids": table["vec_id"].to_numpy(),
+            "rows": table["row"].to_numpy(),
             "queries": _matrix(table["v"]),
             "kth": np.full(table.num_rows, -np.inf),
         }
@@ -244,7 +251,7 @@ def top_k(
     def first(batches):
         for b in batches:
             for raw, tree in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                block, found = pickle.loads(raw), [pa.array([], pa.int64())] * 3
+                block, found = pickle.loads(raw), [pa.array([], pa.int64())] * 4
                 if tree is not None:
                     block, found = _search(block, pickle.loads(tree), k)
                 yield pa.RecordBatch.from_arrays(
@@ -253,7 +260,7 @@ def top_k(
                         pa.array([pickle.dumps(block)], pa.binary()),
                         *[pa.array([x.to_pylist()], pa.list_(pa.int64())) for x in found],
                     ],
-                    names=["block", "body", "query_id", "vec_id", "score"],
+                    names=["block", "body", *FOUND],
                 )
 
     started = written(
@@ -261,7 +268,7 @@ def top_k(
         .select("block", "body", "tree")
         .mapInArrow(
             first,
-            "block int, body binary, query_id array<long>, vec_id array<long>, score array<long>",
+            "block int, body binary, " + ", ".join(f"{c} array<long>" for c in FOUND),
         ),
         "topk-home",
     )
@@ -276,17 +283,15 @@ def top_k(
                 if number != of:
                     block, of = pickle.loads(raw), number
                 block, found = _search(block, pickle.loads(tree), k)
-                yield pa.RecordBatch.from_arrays(found, names=["query_id", "vec_id", "score"])
+                yield pa.RecordBatch.from_arrays(found, names=FOUND)
 
     later = (
         visits.join(trees, "shard")
         .select("block", "body", "tree")
-        .mapInArrow(rest, "query_id long, vec_id long, score long")
+        .mapInArrow(rest, ", ".join(f"{c} long" for c in FOUND))
     )
-    found = started.select(
-        F.explode(F.arrays_zip("query_id", "vec_id", "score")).alias("x")
-    ).select("x.query_id", "x.vec_id", "x.score")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = started.select(F.explode(F.arrays_zip(*FOUND)).alias("x")).select("x.*")
+    best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return (
         found.unionByName(later)
         .withColumn("rank", F.row_number().over(best))

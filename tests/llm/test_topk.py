@@ -16,25 +16,31 @@ def table(spark, vectors):
 
 
 def brute(vectors, k=5):
-    good = {}
-    for i, v in vectors:
-        if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
-            continue
-        q = [math.floor(256 * float(np.float32(x))) for x in v]
-        good[i] = min(good[i], q) if i in good else q
+    """Every row against every other row, repeated ids included."""
+    good = [
+        (i, [math.floor(256 * float(np.float32(x))) for x in v])
+        for i, v in vectors
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
     out = []
-    for i, q in good.items():
+    for at, (i, q) in enumerate(good):
         if i % 50:
             continue
         scores = sorted(
             (-min(sum(a * b for a, b in zip(q, p, strict=False)), 2**63 - 1), j)
-            for j, p in good.items()
-            if j != i
+            for other, (j, p) in enumerate(good)
+            if other != at
         )
         out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scores[:k])]
     return sorted(out)
 
 
+def test_rows_that_repeat_an_id_all_count(spark):
+    vectors = [(1, [2.0, 0.0]), (1, [5.0, 0.0]), (50, [1.0, 0.0]), (50, [3.0, 0.0]), (50, [1.0, 0.0])]
+    got = sorted(tuple(r) for r in topk.top_k(table(spark, vectors), F.col("vec_id") % 50 == 0).collect())
+    assert got == brute(vectors) and (50, 1, 1, 327_680) in got and len(got) == 12
+
+
 @pytest.mark.parametrize(("shard_rows", "block_rows"), [(4096, 512), (40, 3)])
 def test_matches_brute_force(spark, shard_rows, block_rows):
     rng = np.random.default_rng(0)
@@ -42,6 +48,7 @@ def test_matches_brute_force(spark, shard_rows, block_rows):
     vectors += [(i, vectors[7][1]) for i in range(400, 480)]  # many ties
     vectors += [(500, None), (501, [1.0, None]), (502, [float("nan")] * 6), (503, [float("inf")] * 6)]
     vectors += [(None, [1.0] * 6), (504, []), (550, [0.0] * 6), (12, [0.5] * 6), (12, [0.5] * 6)]
+    vectors += [(100, [0.25] * 6), (100, [0.5] * 6), (7, [0.75] * 6)]
     df = table(spark, vectors)
     got = topk.top_k(
         df, F.col("vec_id") % 50 == 0, shard_rows=shard_rows, block_rows=block_rows
@@ -60,7 +67,7 @@ def test_few_rows_and_large_numbers(spark):
 def test_bounds_hold():
     rng = np.random.default_rng(1)
     points = np.floor(rng.normal(size=(500, 5)) * 256)
-    tree = topk.BallTree.build(np.arange(500), points, leaf=16)
+    tree = topk.BallTree.build(np.arange(500), np.arange(500), points, leaf=16)
     queries = np.floor(rng.normal(size=(20, 5)) * 256)
     search = topk.Search(np.arange(20), queries, 5, np.full(20, -np.inf))
     search.tree = tree

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storelake.llm import exact_dedup, mixing, near_copies, packing, quality
+from storelake.llm import exact_dedup, mixing, packing, quality, simhash
 from storelake.llm.common import fold, table, written
 
 
@@ -25,8 +25,11 @@ def drop_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents joined by five-word similarity 0.8 the one with the smallest doc_id stays."""
-    return near_copies.drop_near_copies(docs)
+    """Of documents linked by fingerprints within two bits the one with the smallest doc_id stays.
+
+    Fingerprints of three-word shingles, as the SimHash operator has them.
+    """
+    return simhash.drop_near_copies(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

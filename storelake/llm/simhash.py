@@ -242,11 +242,16 @@ def drop_near_copies(
 def without_others(
     docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``docs`` without the rows of (id, key) whose component is named after another id."""
-    away = (
+    """``docs`` without the rows of (id, key) whose component is named after another id.
+
+    What goes is stored first: Spark then knows its size before it moves any text, and
+    moves none where the ids are few enough to send to all tasks.
+    """
+    away = written(
         labelled.where(~F.col("id").eqNullSafe(F.col("component_id")))
         .select(F.col("id").alias("_id"), F.col("key").alias("_key"))
-        .distinct()
+        .distinct(),
+        "simhash-away",
     )
     names = docs.columns
     rows = docs.select(

@@ -3,7 +3,7 @@ from __future__ import annotations
 from collections import defaultdict
 
 import corpus_pipeline
-from storelake.llm import quality
+from storelake.llm import quality, simhash
 from tests.llm.helpers import documents
 from tests.llm.test_quality import sample
 
@@ -14,6 +14,9 @@ def test_stages_take_effect(spark, tmp_path):
     good = [i for i, (_, y) in enumerate(texts) if y]
     rows += [(1000 + k, texts[i][0], "a") for k, i in enumerate(good[:5])]  # exact copies
     rows += [(2000, None, "b"), (2001, "", "b")]
+    # Near copies: one word of a long good text is another, so few bits of the print differ.
+    long = " ".join(texts[i][0] for i in good[5:40])
+    rows += [(3000 + k, long + f" and{k}", "b") for k in range(4)]
     documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(
         [(i, y, 0) for i, (_, y) in enumerate(texts)], "doc_id long, quality int, toxic int"
@@ -34,6 +37,10 @@ def test_stages_take_effect(spark, tmp_path):
     }
     assert not ids["exact_dedup"] & set(good[:5]) and ids["exact_dedup"] >= set(range(1000, 1005))
     assert ids["near_dedup"] <= ids["exact_dedup"] and ids["pack"] == ids["mix"] <= ids["near_dedup"]
+    linked = simhash.near_components(spark.read.parquet(f"{tmp_path}/out-exact_dedup")).collect()
+    assert ids["near_dedup"] == {r.component_id for r in linked}
+    near = {r.component_id for r in linked if 3000 <= (r.doc_id or 0) < 3004}
+    assert len(near) < len(ids["exact_dedup"] & set(range(3000, 3004)))
     held = defaultdict(int)
     for r in kept["pack"]:
         held[r.sequence_id] += r.length

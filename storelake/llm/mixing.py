@@ -11,6 +11,7 @@ from storelake.operators.ordering import global_positions, stage
 #: Hash cells of each source. The extra repetition goes to whole cells up to the one
 #: in which the target is met; documents of that cell get a fraction of theirs.
 CELLS = 256
+SEED = 7
 
 
 def _draw(id_col: str, seed: int, first: int, digits: int) -> Column:
@@ -60,7 +61,7 @@ def mix(
     docs: DataFrame,
     weights: tuple[int, ...] = (5, 2, 1),
     max_epochs: int = 3,
-    seed: int = 7,
+    seed: int = SEED,
     id_col: str = "doc_id",
 ) -> DataFrame:
     """One row per row of ``docs``: id, source, size, source_size, target, taken.
@@ -129,12 +130,13 @@ def mix(
 
 
 def mixed_rows(docs: DataFrame, **parameters) -> DataFrame:
-    """The mix as rows with the columns of ``docs``: whole repetitions, then a fraction.
+    """The mix as rows with the columns of ``docs``: whole repetitions, no text is cut.
 
-    A document taken 2.4 times becomes three rows, of which the last holds the first
-    0.4 of its words, joined by single spaces. Documents without words hold nothing
-    to repeat: they stay once, so that no clean document is lost for being empty.
-    Documents whose source needs less than its size may be left out.
+    A document taken 2.4 times becomes two rows, and a third with a seeded chance of
+    0.4. Only documents of one hash cell of a source have such a fraction, so its words
+    stay near the target. Documents without words hold nothing to repeat: they stay
+    once, so that no clean document is lost for being empty. Documents whose source
+    needs less than its size may be left out.
     """
     names = docs.columns
     rows = docs.select(
@@ -153,23 +155,10 @@ def mixed_rows(docs: DataFrame, **parameters) -> DataFrame:
         & F.col("_from").eqNullSafe(F.col("source"))
         & (F.col("words") == F.col("size")),
     )
-    whole = F.when(F.col("words") == 0, F.lit(1)).otherwise(
-        F.floor(F.col("taken") / F.greatest(F.col("words"), F.lit(1)))
-    )
-    rest = F.when(F.col("words") == 0, F.lit(0)).otherwise(F.col("taken") % F.col("words"))
-    copies = F.concat(
-        F.array_repeat(F.col("words"), whole.cast("int")),
-        F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")),
-    )
-    taken = joined.select("row", "words", F.explode(copies).alias("take"))
-    split = F.filter(F.split(F.col("row.text"), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    cut = F.array_join(F.slice(split, F.lit(1), F.col("take").cast("int")), " ")
-    text = F.when(F.col("take") == F.col("words"), F.col("row.text")).otherwise(cut)
-    n_chars = F.when(
-        F.col("take") == F.col("words"), F.col("row").getField("n_chars")
-    ).otherwise(F.length(text)) if "n_chars" in names else None
-    out = {c: F.col("row").getField(c) for c in names}
-    out["text"] = text
-    if n_chars is not None:
-        out["n_chars"] = n_chars.cast(docs.schema["n_chars"].dataType)
-    return taken.select(*[v.alias(c) for c, v in out.items()])
+    full = F.greatest(F.col("words"), F.lit(1))
+    drawn = (_draw("_of", parameters.get("seed", SEED), 11, 8) + 0.5) / F.lit(float(16**8))
+    times = F.floor(F.col("taken") / full + F.lit(1.0) - drawn)
+    copies = F.when(F.col("words") == 0, F.lit(1)).otherwise(times).cast("int")
+    return joined.select(
+        "row", F.explode(F.array_repeat(F.lit(True), copies))
+    ).select(*[F.col("row").getField(c).alias(c) for c in names])

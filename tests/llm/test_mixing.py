@@ -56,16 +56,26 @@ def test_targets_and_amounts(spark):
     assert sorted(map(key, again)) == sorted(map(key, got))
 
 
-def test_rows_of_the_mix_hold_the_amounts(spark):
-    docs = documents(spark, [(i, f"a{i} b c d e", "xy"[i % 2]) for i in range(40)] + [(99, None, "x")])
-    out = mixing.mixed_rows(docs, weights=(3, 1))
+def test_rows_of_the_mix_are_whole_documents(spark):
+    rows = [(i, f"a{i}\tb\n\nc  d e", "xy"[i % 2]) for i in range(400)] + [(999, None, "x")]
+    docs = documents(spark, rows)
+    out = mixing.mixed_rows(docs, weights=(4, 3))
     assert out.columns == docs.columns
-    held = Counter()
+    texts, held = {i: t for i, t, _ in rows}, Counter()
     for r in out.collect():
-        held[r.doc_id] += len((r.text or "").split())
-    want = {r.doc_id: r.taken for r in mixing.mix(docs, weights=(3, 1)).collect()}
-    assert {i: n for i, n in want.items() if n} == {i: n for i, n in held.items() if n}
-    assert held[99] == 0 and 99 in held
+        assert r.text == texts[r.doc_id]
+        held[r.doc_id] += 1
+    assert held.pop(999) == 1
+    amounts = mixing.mix(docs, weights=(4, 3)).where("size > 0").collect()
+    sources, cut = {}, 0
+    for r in amounts:
+        assert held[r.doc_id] in (r.taken // 5, -(-r.taken // 5))
+        cut += r.taken % 5 > 0
+        target, words = sources.get(r.source, (r.target, 0))
+        sources[r.source] = (target, words + 5 * held[r.doc_id])
+    assert cut and all(abs(words - target) <= 5 * cut for target, words in sources.values())
+    again = Counter(r.doc_id for r in mixing.mixed_rows(docs.repartition(3), weights=(4, 3)).collect())
+    assert again == held + Counter([999])
 
 
 def test_empty_table(spark):

@@ -49,6 +49,19 @@ class Spans:
         return self.flat[place], ends
 
 
+class Numbers(dict):
+    """Numbers words in the order in which they come; ``new`` are those still to be coded."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
+
+
 class Subwords:
     """Ids of whole texts. Keeps at most about ``most_words`` words between calls."""
 
@@ -73,7 +86,7 @@ class Subwords:
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[bytes, int] = {}
+        self.number = Numbers()
         self.words = Spans()
         self.piece: dict[str, int] = {" ": 0}
         self.runs = Spans()
@@ -93,47 +106,50 @@ class Subwords:
         self.piece.update(zip(new, range(len(self.piece), len(self.piece) + len(new)), strict=True))
         self.runs.add(ids, count)
 
-    def _learn(self, words: list[bytes]) -> None:
-        text = b" ".join(words).decode()
-        if _ODD.search(text):
-            odd = [w for w in words if not _SAFE.fullmatch(w.decode())]
-            each = [self.whole.encode(w.decode(), add_special_tokens=False).ids for w in odd]
-            self._put(
-                odd,
-                np.array([i for x in each for i in x], np.int32),
-                np.array([len(x) for x in each], np.int64),
-            )
-            words = [w for w in words if w not in self.number]
-            text = b" ".join(words).decode()
+    def _learn(self) -> None:
+        """Codes the words that have got a number since the last time, in its order."""
+        words, self.number.new = self.number.new, []
         if not words:
             return
+        text = b" ".join(words).decode()
+        if not _ODD.search(text):
+            self.words.add(*self._coded(text, len(words)))
+            return
+        safe = [i for i, w in enumerate(words) if _SAFE.fullmatch(w.decode())]
+        odd = sorted(set(range(len(words))).difference(safe))
+        each = [self.whole.encode(words[i].decode(), add_special_tokens=False).ids for i in odd]
+        mixed = Spans()
+        mixed.add(np.fromiter(chain.from_iterable(each), np.int32), np.array([len(x) for x in each], np.int64))
+        if safe:
+            mixed.add(*self._coded(b" ".join([words[i] for i in safe]).decode(), len(safe)))
+        back = np.argsort(np.array([*odd, *safe]))
+        self.words.add(mixed.take(back)[0], mixed.count[back])
+
+    def _coded(self, text: str, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of ``n`` safe words one after another, and how many each has."""
         items = _ITEMS.findall(text.lower())
         self._learn_pieces(list(set(items).difference(self.piece)))
         at = np.fromiter(map(self.piece.__getitem__, items), np.int64, len(items))
         ids, _ = self.runs.take(at)
-        word_of = np.cumsum(at == 0)
-        sizes = np.bincount(word_of, weights=self.runs.count[at], minlength=len(words))
-        self._put(words, ids, sizes.astype(np.int64))
-
-    def _put(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
-        known = len(self.number)
-        self.number.update(zip(words, range(known, known + len(words)), strict=True))
-        self.words.add(ids, sizes)
+        sizes = np.bincount(np.cumsum(at == 0), weights=self.runs.count[at], minlength=n)
+        return ids, sizes.astype(np.int64)
 
     def codes(self, words: list[bytes]) -> np.ndarray:
         """Numbers of lower-case words in ``self.words``; only ``clear`` forgets them."""
-        self._learn(list(set(words).difference(self.number)))
-        return np.fromiter(map(self.number.__getitem__, words), np.int32, len(words))
+        out = np.fromiter(map(self.number.__getitem__, words), np.int32, len(words))
+        self._learn()
+        return out
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, and how many each text has."""
         words = [t.lower().split() for t in texts]
         if len(self.number) > self.most_words:
             self.clear()
-        self._learn(list(set().union(*words).difference(self.number)))
         per_text = np.array([len(ws) for ws in words], np.int64)
         number = map(self.number.__getitem__, chain.from_iterable(words))
-        ids, ends = self.words.take(np.fromiter(number, np.int64, int(per_text.sum())))
+        at = np.fromiter(number, np.int64, int(per_text.sum()))
+        self._learn()
+        ids, ends = self.words.take(at)
         upto = np.concatenate([[0], ends])
         stops = np.cumsum(per_text)
         return ids, upto[stops] - upto[stops - per_text]

@@ -36,9 +36,12 @@ FURNITURE = re.compile(
     r"(ads?|advert\w*|adsense|banner\w*|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice\w*"
     r"|alert\w*|popup|modal|overlay|newsletter|subscri\w*|signup|sidebar\w*|widget\w*|menu\w*|nav"
     r"|navbar|navigation|breadcrumbs?|masthead|header|footer|comments?|commentlist|replies|disqus|respond"
+    r"|thread|threads|discussion|responses|reactions|guestbook"
     r"|related|recommend\w*|share|sharing|social|login|search|toolbar|pagination|pager|copyright|legal"
     r"|disclaimer|skip)"
 )
+#: Names that an article gives to parts of its own; they count outside of articles only.
+ARTICLE_PARTS = frozenset("legal disclaimer copyright social search login skip".split())
 #: Parts of class names that say where or what kind of box, not what it holds.
 GENERIC = re.compile(
     r"site|page|main|top|bottom|left|right|global|primary|secondary|user|reader|google|post|posts|articles"
@@ -99,36 +102,74 @@ def _named_furniture(name: str, rest: str, inside_article: bool) -> bool:
     for m in _NAMES.finditer(rest):
         for token in m[1].strip("\"'").lower().split():
             parts = [p for p in re.split(r"[-_:]+", token) if p and not GENERIC.fullmatch(p)]
-            if inside_article and parts == ["header"]:
+            if inside_article and (parts == ["header"] or ARTICLE_PARTS.issuperset(parts)):
                 continue
             if parts and all(FURNITURE.fullmatch(p) for p in parts):
                 return True
     return False
 
 
-def _words_of(page: str, name: str, at: int) -> int:
-    """Words from ``at`` to the end of the open element ``name``, tags and raw texts left out."""
-    depth, words = 1, 0
-    while depth:
-        m = _TAG.search(page, at)
-        words += len(page[at : m.start() if m else len(page)].split())
-        if not m:
-            break
-        at = m.end()
-        if m[2] is None:
-            continue
-        tag, close = m[2].lower(), bool(m[1])
-        if tag in RAW and not close:
-            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.IGNORECASE).search(page, at)
-            at = end.start() if end else len(page)
-        elif tag == name:
-            depth += -1 if close else 1
-    return words
+class _Boxes:
+    """What one pass over a page tells about its elements: the words in each, and where the
+    last closing tag of each name is."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.words: dict[int, int] | None = None
+        self.total = 0
+        self.closings: dict[str, int] = {}
+
+    def _count(self) -> None:
+        """Words from each opening tag, by where it ends, to its closing tag or the page's end.
+
+        Tags and raw texts are left out; a closing tag belongs to the last open element of
+        its name.
+        """
+        self.words, at, seen = {}, 0, 0
+        open_at: dict[str, list[tuple[int, int]]] = {}
+        while True:
+            m = _TAG.search(self.page, at)
+            seen += len(self.page[at : m.start() if m else len(self.page)].split())
+            if not m:
+                break
+            at = m.end()
+            if m[2] is None:
+                continue
+            name, close = m[2].lower(), bool(m[1])
+            if close:
+                if open_at.get(name):
+                    start, before = open_at[name].pop()
+                    self.words[start] = seen - before
+                continue
+            if name not in VOID:
+                open_at.setdefault(name, []).append((at, seen))
+            if name in RAW:
+                at = _raw_end(self.page, name, at)
+        for left in open_at.values():
+            self.words.update((start, seen - before) for start, before in left)
+        self.total = seen
+
+    def holds_most(self, at: int) -> bool:
+        """Whether the element whose opening tag ends at ``at`` has over half of all words."""
+        if self.words is None:
+            self._count()
+        return 2 * self.words.get(at, 0) > self.total
+
+    def closes_after(self, name: str, at: int) -> bool:
+        if name not in self.closings:
+            found = re.compile(rf"</{re.escape(name)}\b", re.IGNORECASE).finditer(self.page)
+            self.closings[name] = max((m.start() for m in found), default=-1)
+        return self.closings[name] >= at
+
+
+def _raw_end(page: str, name: str, at: int) -> int:
+    end = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.IGNORECASE).search(page, at)
+    return end.start() if end else len(page)
 
 
 def _in_order(page: str) -> Iterator[tuple[str, str]]:
     """The page as ("tag", name) and ("text", words) items, without furniture's words."""
-    at, skip, depth, article, total = 0, "", 0, 0, -1
+    at, skip, depth, article, boxes = 0, "", 0, 0, _Boxes(page)
     while True:
         m = _TAG.search(page, at)
         text = page[at : m.start()] if m else page[at:]
@@ -143,8 +184,7 @@ def _in_order(page: str) -> Iterator[tuple[str, str]]:
         if name in ("article", "main"):
             article = max(0, article + (-1 if close else 1))
         if not close and name in RAW:
-            end = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.IGNORECASE).search(page, at)
-            at = end.start() if end else len(page)
+            at = _raw_end(page, name, at)
             continue
         if skip:
             if name == skip:
@@ -161,11 +201,10 @@ def _in_order(page: str) -> Iterator[tuple[str, str]]:
         drop = not close and name not in VOID and _is_furniture(name, rest, article > 0)
         if not (drop or close) and name not in VOID and _named_furniture(name, rest, article > 0):
             # What holds most of the page's words is its layout, whatever it is called.
-            total = _words_of(page, "", 0) if total < 0 else total
-            drop = name in ("p", "li", "dt", "dd", "option") or 2 * _words_of(page, name, at) <= total
+            drop = name in ("p", "li", "dt", "dd", "option") or not boxes.holds_most(at)
         if drop:
             # An element that is never closed must not swallow the rest of the page.
-            if name in SELF_CLOSING or re.compile(rf"</{re.escape(name)}\b", re.IGNORECASE).search(page, at):
+            if name in SELF_CLOSING or boxes.closes_after(name, at):
                 skip, depth = name, 1
                 yield "tag", GAP
                 continue

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import time
 
 import pytest
 
@@ -90,6 +91,52 @@ def test_class_names_drop_only_whole_tokens(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize("name", ["p class=legal", "section id=social", "div class='disclaimer'"])
+def test_parts_of_an_article_stay_whatever_their_names(name):
+    inside = f"<p>{'word ' * 60}</p><{name}>{'part ' * 20}</{name.split()[0]}><p>{'last ' * 40}</p>"
+    assert main_text(f"<nav>a b</nav><article>{inside}</article>") == _text(inside)
+    inside = f"<p>{'word ' * 60}</p><div class=ad>buy now</div><p>{'last ' * 40}</p>"
+    assert "buy" not in main_text(f"<article>{inside}</article>")
+
+
+def test_reader_comments_by_other_names_go():
+    page = f"<article><p>{'word ' * 50}</p></article><div class=thread><p>{'nice one ' * 15}</p></div>"
+    assert main_text(page) == _text("word " * 50)
+
+
+def test_boxes_count_words_as_a_scan_of_each_does():
+    page = PAGE + "<div class=menu><p>a b<div>c<script>no words</div></script>d</div> e <DIV>f"
+    boxes = html_extract._Boxes(page)
+    boxes._count()
+    for m in html_extract._TAG.finditer(page):
+        if m[2] is None or m[1] or m.end() not in boxes.words:
+            continue
+        at, depth, words, name = m.end(), 1, 0, m[2].lower()
+        if name in html_extract.RAW:
+            continue
+        while depth:
+            t = html_extract._TAG.search(page, at)
+            words += len(page[at : t.start() if t else len(page)].split())
+            if not t:
+                break
+            at = t.end()
+            if t[2] and t[2].lower() in html_extract.RAW and not t[1]:
+                at = html_extract._raw_end(page, t[2].lower(), at)
+            elif t[2] and t[2].lower() == name:
+                depth += -1 if t[1] else 1
+        assert boxes.words[m.end()] == words
+
+
+@pytest.mark.parametrize(
+    "unit", ["<div class=menu>x ", "<nav>y ", "<div class=ad id=ad><p class=promo>z ", "<a href='q' class=share>"]
+)
+def test_time_grows_with_the_page(unit):
+    page = unit * (3_000_000 // len(unit))
+    started = time.process_time()
+    main_text(page)
+    assert time.process_time() - started < 40
+
+
 def _text(page):
     return " ".join(re.sub(r"<[^>]*>", " ", page).split())
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -131,6 +131,30 @@ def read_runs(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame
     return spark.read.schema(placed).parquet(root)
 
 
+def file_digest() -> Column:
+    """One key for a file as it was at its time of change."""
+    return F.md5(F.concat_ws("|", F.col("modified_at").cast("string"), "source_file")).alias("digest")
+
+
+def known_elsewhere(spark: SparkSession, root: str, schema: T.StructType, run: str) -> str:
+    """Stores the digests of all files that other runs have booked under ``root``.
+
+    A stream does this when it starts, and its batches read the one stored list: what
+    they read does not grow with the batches of any run. Runs that share a root must not
+    run at the same time.
+    """
+    path = f"{root}/_known/{RUN}={run}"
+    booked = read_runs(spark, root, schema).where(F.col(RUN) != run)
+    booked.select(file_digest()).distinct().write.mode("overwrite").parquet(path)
+    return path
+
+
+def not_known(files: DataFrame, known: str) -> DataFrame:
+    """The files that are not in a list of ``known_elsewhere``."""
+    listed = files.sparkSession.read.schema("digest string").parquet(known)
+    return files.withColumn("digest", file_digest()).join(listed, "digest", "left_anti").drop("digest")
+
+
 def taken_schema() -> T.StructType:
     return T.StructType(
         [
@@ -159,12 +183,11 @@ def ingest_stream(
     runs again keeps what it has stored.
     """
     run = run_of(ckpt)
+    known = known_elsewhere(spark, f"{dst}/{TAKEN}", taken_schema(), run)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        known = read_runs(session, f"{dst}/{TAKEN}", taken_schema()).where(F.col(RUN) != run)
-        files = batch.select("source_file", "modified_at")
-        fresh = files.join(known, ["source_file", "modified_at"], "left_anti").collect()
+        fresh = not_known(batch.select("source_file", "modified_at"), known).collect()
         rows = read_files(session, sorted(r["source_file"] for r in fresh), fmt, schema)
         write_batch_once(rows, f"{dst}/{RUN}={run}", batch_id, [REJECTED])
         names = session.createDataFrame(fresh, taken_schema()).coalesce(1)

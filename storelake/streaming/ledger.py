@@ -17,6 +17,8 @@ from storelake.streaming.ingest import (
     REJECTED,
     RUN,
     each_batch,
+    known_elsewhere,
+    not_known,
     open_files,
     read_files,
     read_runs,
@@ -79,16 +81,17 @@ def ingest_with_ledger(
     loaded again. Start such a run under a new checkpoint name. Batches are stored by
     the name of the checkpoint that numbers them, so the new numbers replace nothing.
 
-    Within a run the checkpoint tells files apart, so a batch reads the ledger of other
-    runs only: its cost does not grow with the batches of its own run. The counts come
-    from the stored batch, reading two columns, not from a second pass over the files.
+    Within a run the checkpoint tells files apart. The files of other runs are listed once
+    when the stream starts, so what a batch reads does not grow with the ledger. The
+    counts come from the stored batch, reading two columns, not from a second pass over
+    the files.
     """
     run = run_of(ckpt)
+    known = known_elsewhere(spark, ledger, ledger_schema(), run)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        known = read_ledger(session, ledger).where(F.col(RUN) != run)
-        fresh = batch.join(known, ["source_file", "modified_at"], "left_anti").collect()
+        fresh = not_known(batch, known).collect()
         paths = sorted(r["source_file"] for r in fresh)
         stored = write_batch_once(
             read_files(session, paths, fmt, schema), f"{dst}/{RUN}={run}", batch_id

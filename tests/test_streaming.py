@@ -89,6 +89,23 @@ def test_a_new_checkpoint_neither_doubles_nor_loses_rows(spark, tmp_path, rows,
     assert ingest.read_rejects(spark, dst, schema, fmt).count() == 0
 
 
+def test_known_files_are_one_list_per_run(spark, tmp_path, rows):
+    """Twenty batches of another run are read once, when a stream starts."""
+    root, schema = str(tmp_path / "ledger"), ingest.taken_schema()
+    at = dt.datetime(2024, 1, 1, 10, 0, 0, 123000)
+    for n in range(20):
+        names = spark.createDataFrame([(f"file:/x/{n} [a].csv", at)], schema)
+        batches.write_batch(names, f"{root}/run=old", n)
+    known = ingest.known_elsewhere(spark, root, schema, "new")
+    assert len(spark.read.parquet(known).inputFiles()) <= 8
+    batch = spark.createDataFrame(
+        [("file:/x/3 [a].csv", at), ("file:/x/3 [a].csv", dt.datetime(2024, 1, 2)), ("file:/x/n.csv", at)], schema
+    )
+    assert rows(ingest.not_known(batch, known), "source_file") == [("file:/x/3 [a].csv",), ("file:/x/n.csv",)]
+    assert ingest.not_known(batch, ingest.known_elsewhere(spark, root, schema, "old")).count() == 3
+    assert ingest.read_runs(spark, root, schema).count() == 20
+
+
 def test_a_repeated_batch_keeps_its_files(spark, tmp_path):
     root = str(tmp_path / "t")
     first = batches.write_batch_once(spark.range(3), root, 0).inputFiles()

@@ -27,6 +27,8 @@ from storelake.llm.common import text_of, written
 from storelake.llm.subwords import default_vocabulary, in_blocks, loaded
 
 CAPACITY, END_ID = 4096, 1
+#: How much of the fitted repeats a plan may follow, most first.
+SHARES = (1.0, 0.75, 0.5, 0.25, 0.1)
 
 
 @dataclass
@@ -100,17 +102,23 @@ def least_squares(rows: np.ndarray, hist: np.ndarray, rounds: int = 400) -> np.n
 def make_plan(hist: np.ndarray, capacity: int = CAPACITY) -> Plan:
     """A plan for ``hist[n]`` pieces of each length n from 1 to ``capacity``.
 
-    Patterns that leave too many long pieces over would cost sequences: then the plan
-    without patterns, which is best fit alone, is the one with fewer.
+    Repeats that leave too many long pieces over would cost sequences: the fit is then
+    followed in part. The plan with the fewest sequences counts, of these the one with
+    the most repeats.
     """
     left = hist.astype(np.int64).copy()
     left[capacity] = 0
     rows = patterns(left, capacity)
     x = least_squares(rows, left)
-    return min(
-        (_follow(hist, capacity, rows, y) for y in (x, np.zeros_like(x))),
-        key=lambda plan: plan.sequences,
-    )
+    least = -(-int((hist * np.arange(len(hist))).sum()) // capacity)
+    best = None
+    for share in SHARES:
+        plan = _follow(hist, capacity, rows, share * x)
+        if best is None or plan.sequences < best.sequences:
+            best = plan
+        if best.sequences <= least:
+            break
+    return best
 
 
 def _follow(hist: np.ndarray, capacity: int, rows: np.ndarray, x: np.ndarray) -> Plan:

@@ -25,6 +25,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder; none if there is no folder."""
+    fs, where = _files(spark, path)
+    return [e.getPath().getName() for e in fs.listStatus(where)] if fs.exists(where) else []
+
+
 def claim(spark: SparkSession, root: str, run: str) -> None:
     """Binds a stored table to the checkpoint that numbers its batches.
 

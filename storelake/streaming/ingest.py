@@ -14,7 +14,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from storelake.operators.cleaning import clean_inventory, clean_pos, stamp
-from storelake.sources.batches import BATCH, path_exists, write_batch, write_batch_once
+from storelake.sources.batches import (
+    BATCH,
+    names_in,
+    path_exists,
+    write_batch,
+    write_batch_once,
+)
 from storelake.sources.landing import (
     CORRUPT,
     read_csv_landing,
@@ -136,21 +142,28 @@ def file_digest() -> Column:
     return F.md5(F.concat_ws("|", F.col("modified_at").cast("string"), "source_file")).alias("digest")
 
 
-def known_elsewhere(spark: SparkSession, root: str, schema: T.StructType, run: str) -> str:
-    """Stores the digests of all files that other runs have booked under ``root``.
+def known_elsewhere(
+    spark: SparkSession, root: str, schema: T.StructType, run: str
+) -> str | None:
+    """Stores the digests of all files that other runs have booked under ``root``; None if
+    there is no other run.
 
     A stream does this when it starts, and its batches read the one stored list: what
     they read does not grow with the batches of any run. Runs that share a root must not
     run at the same time.
     """
+    if not any(name.startswith(f"{RUN}=") and name != f"{RUN}={run}" for name in names_in(spark, root)):
+        return None
     path = f"{root}/_known/{RUN}={run}"
     booked = read_runs(spark, root, schema).where(F.col(RUN) != run)
     booked.select(file_digest()).distinct().write.mode("overwrite").parquet(path)
     return path
 
 
-def not_known(files: DataFrame, known: str) -> DataFrame:
+def not_known(files: DataFrame, known: str | None) -> DataFrame:
     """The files that are not in a list of ``known_elsewhere``."""
+    if known is None:
+        return files
     listed = files.sparkSession.read.schema("digest string").parquet(known)
     return files.withColumn("digest", file_digest()).join(listed, "digest", "left_anti").drop("digest")
 

@@ -102,7 +102,8 @@ def test_known_files_are_one_list_per_run(spark, tmp_path, rows):
         [("file:/x/3 [a].csv", at), ("file:/x/3 [a].csv", dt.datetime(2024, 1, 2)), ("file:/x/n.csv", at)], schema
     )
     assert rows(ingest.not_known(batch, known), "source_file") == [("file:/x/3 [a].csv",), ("file:/x/n.csv",)]
-    assert ingest.not_known(batch, ingest.known_elsewhere(spark, root, schema, "old")).count() == 3
+    assert ingest.known_elsewhere(spark, root, schema, "old") is None
+    assert ingest.not_known(batch, None).count() == 3
     assert ingest.read_runs(spark, root, schema).count() == 20
 
 

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from storelake.operators.scd import scd2_apply
 from storelake.schemas import store_scd2_schema
-from storelake.sources.batches import newest_base, retire, write_base
+from storelake.sources.batches import claim, newest_base, retire, write_base
 from storelake.streaming.ingest import each_batch, run_of
 
 

@@ -15,7 +15,7 @@ from storelake.operators.merge import merge_upsert
 from storelake.plans import facts
 from storelake.plans.facts import sales_buffer
 from storelake.sources import batches, buckets, landing
-from storelake.streaming import buffer, distinct, ingest, ledger, orders, rollup
+from storelake.streaming import buffer, distinct, ingest, ledger, orders, rollup, stores
 from test_landing import BAD, GOOD, GOOD_2, HEADER, write
 
 
@@ -566,3 +566,22 @@ def test_margins_follow_either_feed(spark, tmp_path, rows):
     check()
     add("costs", ("s1", "toys", 2.0, "o5"))
     check()
+
+
+def test_store_history_from_two_drops(spark, tmp_path, rows):
+    schema = "store_id string, store_name string, store_city string, load_ts timestamp_ntz"
+    src, root = str(tmp_path / "updates"), str(tmp_path / "stores")
+
+    def run(day, ckpt, *updates):
+        at = dt.datetime.fromisoformat(f"{day}T08:00:00")
+        given = spark.createDataFrame([(*u, at) for u in updates], schema)
+        given.write.mode("append").parquet(src)
+        finish(stores.store_history_stream(spark, src, given.schema, root, str(tmp_path / ckpt)))
+
+    run("2024-01-01", "ckpt", ("s1", "A", "X"), ("s2", "B", "Y"))
+    run("2024-02-01", "ckpt", ("s1", "A", "Z"), ("s3", "C", "X"))
+    assert rows(stores.read_store_history(spark, root), "store_id", "city_name", "is_current") == [
+        ("s1", "X", False), ("s1", "Z", True), ("s2", "Y", True), ("s3", "X", True),
+    ]
+    with pytest.raises(ValueError, match="belongs to checkpoint ckpt"):
+        run("2024-03-01", "other", ("s4", "D", "X"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -55,3 +57,16 @@ def shared_root(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh, not yet created, path under the shared folder."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """SQL settings that hold inside the block only."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

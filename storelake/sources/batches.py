@@ -12,7 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from storelake.session import settings
+
 BATCH = "batch"
+# Fixed value: files that a task may have open; with more partitions it sorts its rows.
+OPEN_FILES = "8"
 
 
 def _files(spark: SparkSession, path: str):
@@ -50,10 +54,14 @@ def claim(spark: SparkSession, root: str, run: str) -> None:
 def write_batch(
     df: DataFrame, root: str, batch_id: int, partition_by: list[str] | None = None
 ) -> DataFrame:
+    """Stores a batch; ``partition_by`` is for columns of a few values, such as a flag.
+
+    Each task has a file open for each value that it meets, so rows neither move nor are
+    sorted before they are written.
+    """
     path = f"{root}/{BATCH}={batch_id}"
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
-    df.write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(path)
+    with settings(df.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": OPEN_FILES}):
+        df.write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

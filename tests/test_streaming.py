@@ -585,3 +585,19 @@ def test_store_history_from_two_drops(spark, tmp_path, rows):
     ]
     with pytest.raises(ValueError, match="belongs to checkpoint ckpt"):
         run("2024-03-01", "other", ("s4", "D", "X"))
+
+
+def test_a_batch_by_flag_is_neither_moved_nor_sorted(spark, tmp_path):
+    df = spark.range(0, 4000, 1, 4).withColumn("rejected", F.col("id") % 2 == 1)
+    seen = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("flag", "flag")
+    try:
+        stored = batches.write_batch(df, str(tmp_path / "t"), 0, ["rejected"])
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    jobs = [seen.getJobInfo(j) for j in seen.getJobIdsForGroup("flag")]
+    assert [len(j.stageIds) for j in jobs] == [1]  # no shuffle
+    assert stored.where("rejected").count() == stored.where("not rejected").count() == 2000
+    for flag in ("true", "false"):
+        assert len(list((tmp_path / f"t/batch=0/rejected={flag}").glob("*.parquet"))) == 4
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"

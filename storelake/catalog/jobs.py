@@ -522,7 +522,8 @@ def _(j: Job):
     Stored are the first arrivals, lines that come again when they are forgotten, and
     nothing of the last drop, which is older than the watermark.
     """
-    lines, part = j.pos, F.col("transaction_id").cast("bigint") % 4
+    lines = tables.write_table(j.pos, j.at("lines"))  # the base tables are joined once
+    part = F.col("transaction_id").cast("bigint") % 4
     drops = (
         ("08:00", part < 2),  # half of the lines
         ("09:00", (part == 1) | (part == 2)),  # a quarter again, a quarter new

@@ -9,17 +9,47 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from storelake.session import settings
 from storelake.sources.batches import claim
 from storelake.streaming.ingest import run_of, write_stream
 
 # Fixed value: how long after its first arrival a row may come again.
 DELAY = "2 hours"
 _EVENT = "_event_time"
+_KEY = "_key"
+#: State on the local disks of the executors, not in their heap; only its changes are stored.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution."
+    "streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+#: Types whose values are equal where their texts are.
+_PLAIN = (T.IntegralType, T.DecimalType, T.BooleanType, T.DateType, T.TimestampNTZType)
+
+
+def _as_text(schema: T.StructType, name: str) -> Column | None:
+    """A text that two values share only if a GROUP BY takes them for equal; None where
+    there is no such text."""
+    kind = schema[name].dataType
+    plain_string = isinstance(kind, T.StringType) and kind == T.StringType()
+    if not plain_string and not isinstance(kind, _PLAIN):
+        return None
+    return F.col(f"`{name}`").cast("string")
+
+
+def key_digest(df: DataFrame, keys: list[str]) -> Column | None:
+    """SHA-256 of the keys, nulls included, so that state holds 32 bytes a key; None if
+    a key is of a type that has no text of its own, as floating point numbers."""
+    texts = [_as_text(df.schema, k) for k in keys]
+    if any(t is None for t in texts):
+        return None
+    marked = [F.coalesce(F.concat(F.octet_length(t), F.lit(":"), t), F.lit("-")) for t in texts]
+    return F.unhex(F.sha2(F.concat(*marked), 256))
 
 
 def first_arrivals(
@@ -34,7 +64,11 @@ def first_arrivals(
     time is late as well.
     """
     timed = rows.withColumn(_EVENT, F.col(event_time).cast("timestamp"))
-    return timed.withWatermark(_EVENT, delay).dropDuplicatesWithinWatermark(keys).drop(_EVENT)
+    digest = key_digest(rows, keys)
+    if digest is not None:
+        timed, keys = timed.withColumn(_KEY, digest), [_KEY]
+    kept = timed.withWatermark(_EVENT, delay).dropDuplicatesWithinWatermark(keys)
+    return kept.drop(_EVENT, _KEY)
 
 
 def append_distinct(
@@ -53,15 +87,18 @@ def append_distinct(
     """Rows appended to ``src``, without repeated ones, transformed and appended to ``dst``.
 
     The keys seen belong to the checkpoint, so ``dst`` takes rows of one checkpoint only.
-    For many keys set ``spark.sql.streaming.stateStore.providerClass`` to the RocksDB
-    provider, which keeps state out of the executors' heap.
+    They are held as digests in RocksDB, out of the executors' heap, in two state stores
+    a core: each costs time in every batch, whatever it holds.
     """
     claim(spark, dst, run_of(ckpt))
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     kept = first_arrivals(reader.parquet(src), keys, event_time, delay)
-    return write_stream(transform(kept), dst, ckpt, interval=interval)
+    stores = str(2 * spark.sparkContext.defaultParallelism)
+    # A stream keeps the settings that it starts with, a checkpoint its number of stores.
+    with settings(spark, {**STATE_STORE, "spark.sql.shuffle.partitions": stores}):
+        return write_stream(transform(kept), dst, ckpt, interval=interval)
 
 
 def _operators(query: StreamingQuery) -> list[dict]:

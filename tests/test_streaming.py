@@ -601,3 +601,21 @@ def test_a_batch_by_flag_is_neither_moved_nor_sorted(spark, tmp_path):
     for flag in ("true", "false"):
         assert len(list((tmp_path / f"t/batch=0/rejected={flag}").glob("*.parquet"))) == 4
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_state_holds_one_digest_a_key(spark, tmp_path, rows):
+    """Keys that join to the same text differ, nulls are equal, and state is not on the heap."""
+    schema = "a string, b string, n int, load_ts timestamp_ntz"
+    src, at = str(tmp_path / "src"), dt.datetime(2024, 1, 1, 8)
+    given = [("x", "1:y", 1), ("x1:", "y", 1), (None, "y", 1), (None, "y", 1), ("", "y", 1), ("x", "1:y", None)]
+    spark.createDataFrame([(*g, at) for g in given], schema).write.parquet(src)
+    df = spark.read.parquet(src)
+    query = finish(
+        distinct.append_distinct(spark, src, df.schema, str(tmp_path / "dst"), str(tmp_path / "ckpt"), ["a", "b", "n"])
+    )
+    assert rows(spark.read.parquet(str(tmp_path / "dst")), "a", "b", "n") == sorted(
+        set(given), key=lambda t: tuple((v is None, str(v)) for v in t)
+    )
+    assert "rocksdbCommitWriteBatchLatency" in str(query.recentProgress) or "rocksdb" in str(query.recentProgress)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    assert distinct.key_digest(spark.range(1).select(F.lit(0.0).alias("x")), ["x"]) is None

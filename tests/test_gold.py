@@ -43,3 +43,17 @@ def test_date_range_reads_its_periods_only(stored):
     assert ranged.count() == without.count() > 0
     plan = ranged._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(period" in plan
+
+
+def test_gold_queries_derive_the_lines_once(spark, monkeypatch):
+    from storelake.catalog import jobs
+
+    read = []
+    pos, erp = jobs.gold.POS_NEEDS, jobs.gold.ERP_NEEDS
+    monkeypatch.setattr(
+        jobs.gold, "build_gold",
+        lambda p, e, *_, **__: read.extend([(p.columns, p.inputFiles()), (e.columns, e.inputFiles())]),
+    )
+    jobs._gold(jobs.Job(spark, "/root/testdata/sf0.001", "gold_once"))
+    assert [columns for columns, _ in read] == [pos, erp]
+    assert all("/lines/" in f for _, files in read for f in files)  # stored lines, no test table

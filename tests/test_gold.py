@@ -50,10 +50,13 @@ def test_gold_queries_derive_the_lines_once(spark, monkeypatch):
 
     read = []
     pos, erp = jobs.gold.POS_NEEDS, jobs.gold.ERP_NEEDS
+    for name, columns in (("pos", pos), ("erp_orders", erp), ("iot_readings", ["event_id"])):
+        one = spark.createDataFrame([tuple(columns)], columns)
+        monkeypatch.setattr(jobs.testbed, name, lambda *_, one=one: one)
     monkeypatch.setattr(
         jobs.gold, "build_gold",
         lambda p, e, *_, **__: read.extend([(p.columns, p.inputFiles()), (e.columns, e.inputFiles())]),
     )
-    jobs._gold(jobs.Job(spark, "/root/testdata/sf0.001", "gold_once"))
+    jobs._gold(jobs.Job(spark, "none", "gold_once"))
     assert [columns for columns, _ in read] == [pos, erp]
-    assert all("/lines/" in f for _, files in read for f in files)  # stored lines, no test table
+    assert all(files and all("/lines/" in f for f in files) for _, files in read)

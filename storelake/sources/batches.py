@@ -8,13 +8,13 @@ take the newest complete base and the batches after it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storelake.session import settings
 
-BATCH = "batch"
+BATCH, PART = "batch", "_part"
 # Fixed value: files that a task may have open; with more partitions it sorts its rows.
 OPEN_FILES = "8"
 
@@ -29,6 +29,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files of a folder."""
+    fs, where = _files(spark, path)
+    return fs.getContentSummary(where).getLength()
+
+
 def names_in(spark: SparkSession, path: str) -> list[str]:
     """Names of the entries of a folder; none if there is no folder."""
     fs, where = _files(spark, path)
@@ -79,6 +85,53 @@ def write_batch_once(
     return write_batch(df, root, batch_id, partition_by)
 
 
+def write_parts(
+    df: DataFrame, parts: list[Column], path: str, fmt: str, options: dict[str, str]
+) -> list[str]:
+    """Stores the rows of each condition in a folder of its own, all in one pass; the folders.
+
+    Rows of no condition are left out; a condition without rows gets a file without any. Each
+    task has a file open for each part that it meets.
+    """
+    number = F.lit(None).cast("int")
+    for n, part in reversed(list(enumerate(parts))):
+        number = F.when(part, n).otherwise(number)
+    spark = df.sparkSession
+    with settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": OPEN_FILES}):
+        numbered = df.withColumn(PART, number).where(F.col(PART).isNotNull())
+        numbered.write.partitionBy(PART).options(**options).format(fmt).save(path)
+    folders = [f"{path}/{PART}={n}" for n in range(len(parts))]
+    for folder in folders:
+        if not path_exists(spark, folder):
+            df.limit(0).write.options(**options).format(fmt).save(folder)
+    return folders
+
+
+def land_files(spark: SparkSession, src: str, dst: str) -> None:
+    """Moves the files of a part into another folder, as a feed hands over finished files.
+
+    The number of the part goes before their names: a task names its files alike in all parts.
+    """
+    fs, into = _files(spark, dst)
+    fs.mkdirs(into)
+    number = src.rsplit("=", 1)[-1]
+    for entry in fs.listStatus(_files(spark, src)[1]):
+        name = entry.getPath().getName()
+        if name.startswith(("_", ".")):
+            continue
+        if not fs.rename(entry.getPath(), _files(spark, f"{dst}/{number}-{name}")[1]):
+            raise OSError(f"cannot move {src}/{name} to {dst}")
+
+
+def batch_numbers(
+    spark: SparkSession, root: str, after: int = -1, before: int | None = None
+) -> list[int]:
+    """The batches that ``read_batches`` reads, in order."""
+    names = [n for n in names_in(spark, root) if n.startswith(f"{BATCH}=")]
+    numbers = sorted(int(n.removeprefix(f"{BATCH}=")) for n in names)
+    return [n for n in numbers if n > after and (before is None or n < before)]
+
+
 def read_batches(
     spark: SparkSession, root: str, schema: T.StructType, after: int = -1, before: int | None = None
 ) -> DataFrame:

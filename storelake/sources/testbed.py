@@ -12,10 +12,15 @@ from pyspark.sql import functions as F
 
 from storelake.functions.numeric import MONEY, SNAP
 from storelake.schemas import ALERT_ARRAY
+from storelake.sources.batches import stored_bytes
 
 # Days by which sensor events are moved so that they fall into the order dates.
 EVENT_SHIFT_DAYS = 9496
 STORES = 25
+# Bytes of stored line items for one task of their join with the orders, and
+# from how many on; below, adaptive execution sets the tasks.
+BYTES_A_TASK = 4 << 20
+MANY_BYTES = 64 << 20
 
 SENSOR_OF_EVENT = {
     "click": "footfall",
@@ -65,9 +70,23 @@ def _line_with_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
     )
+    lines = _spread(spark, lines, f"{sf_dir}/lineitem.parquet")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
+def _spread(spark: SparkSession, lines: DataFrame, path: str) -> DataFrame:
+    """Lines in as many partitions as their files ask for, by the key of the next join.
+
+    What follows that join in the same tasks, as a first count of distinct values, takes
+    many times the bytes that are shuffled, by which adaptive execution sets the tasks.
+    """
+    stored = stored_bytes(spark, path)
+    if stored < MANY_BYTES:
+        return lines
+    few = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return lines.repartition(max(few, -(-stored // BYTES_A_TASK)), "l_orderkey")
+
+
 def pos(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Point-of-sale lines."""
     # Four decimals in truth: the cast removes what the doubles are off by.

@@ -7,9 +7,9 @@ stored.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storelake import schemas
@@ -28,6 +28,9 @@ EVENTS_PER_FILE = 5000
 #: As browsers and tools name folders and files: patterns, or other signs in a URI.
 ODD = "drop (1) [2] {a,b} 5%20"
 CHANGES_FROM = "1998-01-01"
+POS_CSV = {
+    "header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"
+}
 
 
 class Job:
@@ -50,14 +53,22 @@ class Job:
         schema = schemas.erp_orders_schema().add("load_ts", "timestamp_ntz")
         return tables.conform(testbed.erp_orders(self.spark, self.sf_dir), schema)
 
+    def landed(self, df: DataFrame, parts: list[Column], dst: str, csv: bool = False) -> Iterator[str]:
+        """The rows of each condition as files in ``dst``, one after another.
+
+        They are stored in one pass, so that what ``df`` is derived from is read and joined once.
+        """
+        fmt, options = ("csv", POS_CSV) if csv else ("parquet", {})
+        for part in batches.write_parts(df, parts, new_folder(self.spark, "drops"), fmt, options):
+            batches.land_files(self.spark, part, dst)
+            yield dst
+
     def drops(self, df: DataFrame, day: str) -> tuple[DataFrame, DataFrame]:
         first = F.col(day) <= F.lit(FIRST_DROP).cast("date")
         return df.where(first), df.where(~first)
 
     def pos_csv(self, df: DataFrame, folder: str) -> str:
-        df.write.mode("append").options(
-            header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
-        ).csv(f"{folder}/pos")
+        df.write.mode("append").options(**POS_CSV).csv(f"{folder}/pos")
         return folder
 
     def json_arrays(self) -> str:
@@ -211,8 +222,8 @@ def _(j: Job):
 def _ingest_pos(j: Job) -> str:
     """Two runs of the landing stream, one drop each, and a third that finds nothing."""
     schema = schemas.pos_schema()
-    for drop in j.drops(j.pos, "transaction_date"):
-        src = j.pos_csv(drop, j.at("landing"))
+    src, first = j.at("landing"), F.col("transaction_date") <= F.lit(FIRST_DROP).cast("date")
+    for _drop in j.landed(j.pos, [first, ~first], f"{src}/pos", csv=True):
         ingest.ingest_stream(
             j.spark, src, "csv", schema, j.at("bronze"), j.at("ckpt"), landing.POS_FILES
         ).awaitTermination()
@@ -257,7 +268,9 @@ def _ingest_erp(j: Job, name: str, df: DataFrame, schema, whole: list[str]) -> D
 def _(j: Job):
     schema = schemas.erp_orders_schema()
     whole = ["quantity_ordered", "quantity_received"]
-    return _ingest_erp(j, "erp_orders", tables.conform(j.erp, schema), schema, whole)
+    # the base tables are joined once
+    lines = tables.write_table(tables.conform(j.erp, schema), j.at("lines"))
+    return _ingest_erp(j, "erp_orders", lines, schema, whole)
 
 
 @job("ingest_erp_inventory")
@@ -382,8 +395,7 @@ def _(j: Job):
 def _(j: Job):
     """Two drops split by quantity, so that the second touches days of the first."""
     few = F.col("quantity") <= 25
-    for drop in (j.pos.where(few), j.pos.where(~few)):
-        bronze = j.bronze(drop, "bronze")
+    for bronze in j.landed(j.pos, [few, ~few], j.at("bronze")):
         buffer.sales_buffer_stream(
             j.spark, bronze, schemas.pos_schema(), j.at("silver"), j.at("buffer"), j.at("ckpt"),
             grain="year",
@@ -416,9 +428,8 @@ def _(j: Job):
 
 def _merge_orders(j: Job, compact_every: int) -> str:
     early = F.col("load_ts") < F.lit(CHANGES_FROM).cast("timestamp_ntz")
-    erp = tables.write_table(j.erp, j.at("lines"))  # the base tables are joined once
-    for drop in (erp.where(early), erp.where(~early)):
-        bronze = j.bronze(drop, "bronze")
+    erp = j.erp
+    for bronze in j.landed(erp, [early, ~early], j.at("bronze")):
         orders.orders_stream(
             j.spark, bronze, erp.schema, j.at("orders"), j.at("ckpt"), compact_every=compact_every,
             buckets=16,
@@ -504,12 +515,11 @@ def _(j: Job):
 @job("incremental_erp_category")
 def _(j: Job):
     """Purchase cost per category from variant rows in three batches."""
-    raw = None
-    for n in range(3):
-        part = testbed.erp_orders(j.spark, j.sf_dir).where(F.pmod(F.xxhash64("order_id"), F.lit(3)) == n)
-        raw = part.select(F.to_variant_object(F.struct(*part.columns)).alias("raw_data"))
+    raw = testbed.erp_raw(j.spark, j.sf_dir)
+    third = F.pmod(F.xxhash64(F.variant_get("raw_data", "$.order_id", "string")), F.lit(3))
+    for bronze in j.landed(raw, [third == n for n in range(3)], j.at("bronze")):
         rollup.maintain(
-            j.spark, j.bronze(raw, "bronze"), raw.schema, rollup.CATEGORY_COST, j.at("costs"),
+            j.spark, bronze, raw.schema, rollup.CATEGORY_COST, j.at("costs"),
             j.at("ckpt"), compact_every=2,
         ).awaitTermination()
     return rollup.read_erp_category(j.spark, j.at("costs"), raw.schema)

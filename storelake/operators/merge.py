@@ -42,19 +42,23 @@ def merge_upsert(
     latest_by: list[str],
     touch: str | None = None,
     at: dt.datetime | str | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Target after a merge: matched rows take ``update_cols``, the rest is inserted.
 
     Rows with a NULL key match nothing; all of them are inserted. ``touch`` names
     a column that gets ``at``, or the clock, on each updated or inserted row.
 
+    ``unique`` promises a source of one row per key, and none without: it need not be grouped.
+
     Both sides have one row per key, so a shuffle by key has no hot partition, and one
     full outer join does all the work.
     """
     now = F.current_timestamp().cast("timestamp_ntz") if at is None else instant(at)
     columns = target.columns
     data = [c for c in columns if c != touch]
-    newest = latest_per_key(source.where(all_present(keys)), keys, latest_by).select(
+    keyed = source if unique else latest_per_key(source.where(all_present(keys)), keys, latest_by)
+    newest = keyed.select(
         *[F.col(c).alias(f"_s_{c}") for c in data], F.lit(True).alias("_in_source")
     )
     on = [F.col(k) == F.col(f"_s_{k}") for k in keys]
@@ -75,6 +79,8 @@ def merge_upsert(
     merged = both.select(
         *[F.when(in_target, updated(c)).otherwise(inserted(c)).alias(c) for c in columns]
     )
+    if unique:
+        return merged
     unkeyed = source.where(~all_present(keys)).select(*data)
     if touch:
         unkeyed = unkeyed.withColumn(touch, now)

@@ -27,6 +27,7 @@ from storelake.operators.merge import (
 from storelake.functions.dates import instant
 from storelake.sources.batches import (
     BATCH,
+    batch_numbers,
     claim,
     read_batches,
     write_batch,
@@ -65,10 +66,10 @@ def store_changes(batch: DataFrame, root: str, batch_id: int) -> None:
 def fold_changes(changes: DataFrame, keys: list[str], update_cols: list[str]) -> DataFrame:
     """One row per key: as its first batch inserted it, updated by its last batch."""
     rest = [c for c in changes.columns if c not in (*keys, BATCH)]
-    row = F.struct(*rest)
-    folded = (
-        changes.groupBy(*keys)
-        .agg(F.min_by(row, BATCH).alias("_first"), F.max_by(row, BATCH).alias("_last"))
+    kept, updated = ([c for c in rest if (c in update_cols) == u] for u in (False, True))
+    folded = changes.groupBy(*keys).agg(
+        *[F.min_by(F.struct(*kept), BATCH).alias("_first")] * bool(kept),
+        *[F.max_by(F.struct(*updated), BATCH).alias("_last")] * bool(updated),
     )
     values = [
         F.col(c) if c in keys else F.col(f"_last.{c}" if c in update_cols else f"_first.{c}").alias(c)
@@ -102,11 +103,15 @@ def _keyed(
     changes = read_batches(spark, f"{root}/changes", schema, after=version, before=before)
     if only is not None and buckets:
         changes = changes.where(slot(ORDER_KEYS, buckets).isin(only))
-    folded = fold_changes(changes, ORDER_KEYS, [*ORDER_UPDATES, *LATEST_BY])
+    if len(batch_numbers(spark, f"{root}/changes", version, before)) > 1:
+        folded = fold_changes(changes, ORDER_KEYS, [*ORDER_UPDATES, *LATEST_BY])
+    else:  # a batch holds one row per order
+        folded = changes.drop(BATCH)
     base = read_buckets(spark, root, schema, ORDER_KEYS, base_before, only)
     if base is None:
         return folded
-    return merge_upsert(base, folded, ORDER_KEYS, [*ORDER_UPDATES, *LATEST_BY], LATEST_BY)
+    updates = [*ORDER_UPDATES, *LATEST_BY]
+    return merge_upsert(base, folded, ORDER_KEYS, updates, LATEST_BY, unique=True)
 
 
 def batch_as_of(spark: SparkSession, root: str, at: dt.datetime | str) -> int | None:
@@ -126,8 +131,7 @@ def read_orders_as_of(
     if upto is None:
         return spark.createDataFrame([], schema)
     version, _, _ = read_manifest(spark, root, before=upto + 1)
-    oldest = read_batches(spark, f"{root}/changes", schema).agg(F.min(BATCH)).first()[0]
-    if version < 0 and (oldest is None or oldest > 0):
+    if version < 0 and batch_numbers(spark, f"{root}/changes")[:1] != [0]:
         raise ValueError(f"batch {upto} has been folded into a later base")
     return read_orders(spark, root, schema, upto)
 

@@ -27,6 +27,8 @@ BLOCKS, BLOCK_BITS = 4, 16
 PIVOTS = 32
 #: Blocks of the table with more fingerprints than this take the exact way for the rest.
 MOST_IN_BLOCK = 512
+#: Fingerprints whose pairs a task holds at once, unless one block has more.
+MOST_AT_ONCE = 1 << 14
 #: The reference fingerprints: seeded, so that every task has the same ones.
 REFERENCES = np.random.default_rng(SEED).integers(0, 2**64, PIVOTS, dtype=np.uint64)
 
@@ -139,6 +141,17 @@ def spanning_links(left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]
     return out
 
 
+def block_runs(sizes: np.ndarray, most: int = MOST_AT_ONCE) -> list[tuple[int, int]]:
+    """Runs (first, end) of blocks that follow each other, of ``most`` fingerprints or one block."""
+    out, first, held = [], 0, 0
+    for at, size in enumerate(sizes.tolist()):
+        if at > first and held + size > most:
+            out.append((first, at))
+            first, held = at, 0
+        held += size
+    return [*out, (first, len(sizes))] if len(sizes) else []
+
+
 def _block(i: int) -> Column:
     return F.shiftrightunsigned("fp", i * BLOCK_BITS).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1))
 
@@ -166,17 +179,17 @@ def links(nodes: DataFrame, most_in_block: int = MOST_IN_BLOCK) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            held = b.column(0)
-            sizes = np.diff(held.offsets.to_numpy())
-            flat = held.flatten()
-            fp = flat.field("fp").to_numpy(zero_copy_only=False)
-            raw = b"".join(flat.field("coords").to_pylist())
-            coords = np.frombuffer(raw, np.uint8).reshape(-1, PIVOTS)
-            pairs = near_pairs(np.repeat(np.arange(len(sizes)), sizes), fp.view(np.uint64), coords)
-            forest = spanning_links(*pairs)
-            a = fp[[x for x, _ in forest]] if forest else fp[:0]
-            c = fp[[y for _, y in forest]] if forest else fp[:0]
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(c)], names=["a", "b"])
+            all_sizes = np.diff(b.column(0).offsets.to_numpy())
+            for first, end in block_runs(all_sizes):
+                sizes, flat = all_sizes[first:end], b.column(0).slice(first, end - first).flatten()
+                fp = flat.field("fp").to_numpy(zero_copy_only=False)
+                raw = b"".join(flat.field("coords").to_pylist())
+                coords = np.frombuffer(raw, np.uint8).reshape(-1, PIVOTS)
+                group = np.repeat(np.arange(len(sizes)), sizes)
+                forest = spanning_links(*near_pairs(group, fp.view(np.uint64), coords))
+                a = fp[[x for x, _ in forest]] if forest else fp[:0]
+                c = fp[[y for _, y in forest]] if forest else fp[:0]
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(c)], names=["a", "b"])
 
     sparse = blocks.select("held").mapInArrow(run, "a long, b long")
     crowded = (

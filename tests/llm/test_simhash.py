@@ -123,3 +123,9 @@ def test_empty_table_and_null_ids(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     assert {r.component_id for r in simhash.near_components(df).collect()} == {9}
     assert [r.doc_id for r in simhash.drop_near_copies(df).collect()] == [9, 9]
+
+
+def test_pairs_are_held_for_a_bounded_number_of_fingerprints():
+    sizes = np.array([300, 300, 300, 900, 2])
+    assert simhash.block_runs(sizes, 600) == [(0, 2), (2, 3), (3, 4), (4, 5)]
+    assert simhash.block_runs(sizes[:0], 600) == []

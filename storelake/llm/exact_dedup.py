@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelake.llm.common import text_of, written
+from storelake.llm.common import TEXTS_A_TASK, few_tasks, text_of, written
 from storelake.operators.ordering import stage
 
 #: The directory never has more than 2 ** MAX_DEPTH cells; a bucket that is still
@@ -27,20 +27,28 @@ def directory(keys: DataFrame, capacity: int) -> DataFrame:
     keep their depth, so several cells point at them. Only the number of overfull
     buckets comes to the driver.
     """
-    cells = stage(keys.groupBy("cell").agg(F.count("*").alias("n")).withColumn("depth", F.lit(0)))
+    most = 1 << MAX_DEPTH
+    start = keys.groupBy("cell").agg(F.count("*").alias("n")).withColumn("depth", F.lit(0))
+    cells = stage(few_tasks(start, most))
     while True:
         placed = cells.withColumn("prefix", _prefix(F.col("cell"), F.col("depth")))
         overfull = stage(
-            placed.groupBy("depth", "prefix")
-            .agg(F.sum("n").alias("held"))
-            .where((F.col("held") > capacity) & (F.col("depth") < MAX_DEPTH))
-            .select("depth", "prefix", F.lit(1).alias("split"))
+            few_tasks(
+                placed.groupBy("depth", "prefix")
+                .agg(F.sum("n").alias("held"))
+                .where((F.col("held") > capacity) & (F.col("depth") < MAX_DEPTH))
+                .select("depth", "prefix", F.lit(1).alias("split")),
+                most,
+            )
         )
         if overfull.count() == 0:
             return placed.select("cell", "depth", F.col("prefix").alias("bucket"))
         cells = stage(
-            placed.join(overfull, ["depth", "prefix"], "left").select(
-                "cell", "n", (F.col("depth") + F.coalesce("split", F.lit(0))).alias("depth")
+            few_tasks(
+                placed.join(overfull, ["depth", "prefix"], "left").select(
+                    "cell", "n", (F.col("depth") + F.coalesce("split", F.lit(0))).alias("depth")
+                ),
+                most,
             )
         )
 
@@ -63,6 +71,13 @@ def exact_dedup(
     the row with the largest id stays; a null id is the smallest. Rows that repeat
     id and text are one group of which one row stays. Other columns are ignored.
     """
+    return _marked(docs, id_col, text_col, capacity)[0]
+
+
+def _marked(
+    docs: DataFrame, id_col: str, text_col: str, capacity: int = 65_536
+) -> tuple[DataFrame, int]:
+    """The result of ``exact_dedup`` and how many rows it has."""
     keyed = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).select(
         "id", F.xxhash64("text").alias("key"), F.sha2("text", 256).alias("digest"), "text"
     )
@@ -70,11 +85,11 @@ def exact_dedup(
         keyed.select("id", "key", "digest").withColumn("tag", F.monotonically_increasing_id()),
         "dedup-entries",
     )
-    chains = stage(
-        entries.groupBy("key", "digest").agg(
-            F.max(F.struct("id", "tag")).alias("top"), F.count("*").alias("size")
-        )
-    ).withColumn("cell", F.shiftrightunsigned("key", 64 - MAX_DEPTH))
+    rows = entries.count()
+    chained = entries.groupBy("key", "digest").agg(
+        F.max(F.struct("id", "tag")).alias("top"), F.count("*").alias("size")
+    )
+    chains = stage(few_tasks(chained, rows)).withColumn("cell", F.shiftrightunsigned("key", 64 - MAX_DEPTH))
     index = written(
         chains.join(directory(chains.select("cell"), capacity), "cell")
         .repartitionByRange("bucket", "key")
@@ -92,18 +107,16 @@ def exact_dedup(
     )
     # Stored, so that the join below shuffles both sides itself: then adaptive execution
     # can split the rows of a hot text, which it cannot behind an aggregate by that key.
-    groups = written(
-        several.join(compared, ["key", "digest"]).select(
-            F.col("key").alias("_key"),
-            F.col("digest").alias("_digest"),
-            "top",
-            F.when(F.col("texts") == 1, F.col("size"))
-            .otherwise(F.raise_error(F.lit("different texts under one digest")).cast("long"))
-            .alias("size"),
-        ),
-        "dedup-groups",
+    groups = several.join(compared, ["key", "digest"]).select(
+        F.col("key").alias("_key"),
+        F.col("digest").alias("_digest"),
+        "top",
+        F.when(F.col("texts") == 1, F.col("size"))
+        .otherwise(F.raise_error(F.lit("different texts under one digest")).cast("long"))
+        .alias("size"),
     )
-    return entries.join(
+    groups = written(few_tasks(groups, rows), "dedup-groups")
+    found = entries.join(
         groups, (F.col("key") == F.col("_key")) & (F.col("digest") == F.col("_digest")), "left"
     ).select(
         F.col("id").alias(id_col),
@@ -112,6 +125,7 @@ def exact_dedup(
         (F.col("top").isNull() | (F.col("top.tag") == F.col("tag"))).alias("kept"),
         F.col("digest").alias("text_sha256"),
     )
+    return found, rows
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -119,9 +133,9 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Rows that repeat both id and text become one of these rows.
     """
+    found, many = _marked(docs, id_col, text_col)
     marked = (
-        exact_dedup(docs, id_col, text_col)
-        .where(F.col("group_size") > 1)
+        found.where(F.col("group_size") > 1)
         .groupBy(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_digest"))
         .agg(F.bool_or("kept").alias("_kept"), F.count("*").alias("_rows"))
         .where(~F.col("_kept") | (F.col("_rows") > 1))
@@ -138,6 +152,6 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     repeated = (
         rows.where("_kept").groupBy("_of", "_sha").agg(F.first("_row").alias("_row")).select("_row")
     )
-    return once.unionByName(repeated).select(
+    return few_tasks(once.unionByName(repeated), many, TEXTS_A_TASK).select(
         *[F.col("_row").getField(c).alias(c) for c in names]
     )

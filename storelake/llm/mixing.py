@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from storelake.llm.common import WORD, text_of, written
+from storelake.llm.common import TEXTS_A_TASK, WORD, few_tasks, text_of, written
 from storelake.operators.ordering import global_positions, stage
 
 #: Hash cells of each source. The extra repetition goes to whole cells up to the one
@@ -32,14 +32,13 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...], max_epochs: int)
     numbered = global_positions(sizes, [F.col("source").asc_nulls_last()], "position")
     choices = F.array(*[F.lit(w).cast("long") for w in weights])
     turn = F.pmod(F.col("position") - 1, F.lit(len(weights))).cast("int")
-    sources = stage(
-        numbered.select(
-            "source",
-            "source_size",
-            F.get(choices, turn).alias("weight"),
-            (F.col("source_size") * max_epochs).alias("cap"),
-        )
+    weighed = numbered.select(
+        "source",
+        "source_size",
+        F.get(choices, turn).alias("weight"),
+        (F.col("source_size") * max_epochs).alias("cap"),
     )
+    sources = stage(few_tasks(weighed, sized.count()))
     whole = sources.agg(F.sum("source_size").alias("s"), F.sum("weight").alias("w")).first()
     total, left, weight = whole["s"] or 0, whole["s"] or 0, whole["w"] or 0
     clamped = F.lit(False)
@@ -76,6 +75,17 @@ def mix(
     Rows that repeat an id are separate documents with the same draw. A source of
     size 0 gets target 0. Nothing depends on partitioning, so reruns agree.
     """
+    return _mix(docs, weights, max_epochs, seed, id_col)[0]
+
+
+def _mix(
+    docs: DataFrame,
+    weights: tuple[int, ...] = (5, 2, 1),
+    max_epochs: int = 3,
+    seed: int = SEED,
+    id_col: str = "doc_id",
+) -> tuple[DataFrame, int]:
+    """The result of ``mix`` and how many rows it has."""
     sized = written(
         docs.select(
             F.col(f"`{id_col}`").alias("id"),
@@ -116,7 +126,7 @@ def mix(
     # The cell salts the join: a source with a third of all rows is spread by it.
     at = F.col("source").eqNullSafe(F.col("_source")) & (F.col("cell") == F.col("_cell"))
     round_up = _draw("id", seed, 3, 8) / F.lit(float(16**8))
-    return sized.join(plan, at).select(
+    mixed = sized.join(plan, at).select(
         F.col("id").alias(id_col),
         "source",
         "size",
@@ -127,6 +137,7 @@ def mix(
             + F.floor(F.col("size") * F.col("part") + round_up).cast("long")
         ).alias("taken"),
     )
+    return mixed, sized.count()
 
 
 def mixed_rows(docs: DataFrame, **parameters) -> DataFrame:
@@ -146,9 +157,8 @@ def mixed_rows(docs: DataFrame, **parameters) -> DataFrame:
         F.regexp_count(text_of(), F.lit(WORD)).cast("long").alias("words"),
     )
     # Rows with one id, source and size take the same number of words.
-    amounts = mix(docs, **parameters).groupBy("doc_id", "source", "size").agg(
-        F.first("taken").alias("taken")
-    )
+    mixed, many = _mix(docs, **parameters)
+    amounts = mixed.groupBy("doc_id", "source", "size").agg(F.first("taken").alias("taken"))
     joined = rows.join(
         amounts,
         F.col("_of").eqNullSafe(F.col("doc_id"))
@@ -159,6 +169,6 @@ def mixed_rows(docs: DataFrame, **parameters) -> DataFrame:
     drawn = (_draw("_of", parameters.get("seed", SEED), 11, 8) + 0.5) / F.lit(float(16**8))
     times = F.floor(F.col("taken") / full + F.lit(1.0) - drawn)
     copies = F.when(F.col("words") == 0, F.lit(1)).otherwise(times).cast("int")
-    return joined.select(
+    return few_tasks(joined, many, TEXTS_A_TASK).select(
         "row", F.explode(F.array_repeat(F.lit(True), copies))
     ).select(*[F.col("row").getField(c).alias(c) for c in names])

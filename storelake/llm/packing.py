@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from storelake.llm.common import text_of, written
+from storelake.llm.common import few_tasks, text_of, written
 from storelake.llm.subwords import default_vocabulary, in_blocks, loaded
 
 CAPACITY, END_ID = 4096, 1
@@ -199,6 +199,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int) -> Data
                 [b.column(0).take(pa.array(at)), *map(pa.array, columns, kinds)],
                 names=["doc_id", "row", "piece", "start", "length", "ids_crc32", "task", "rank"],
             )
+        coder.clear()  # the worker lives on, and other steps need its memory
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
@@ -224,9 +225,8 @@ def pack(
     """
     path = vocabulary or default_vocabulary()
     cut = written(pieces(docs, path, capacity, end_id), "pack-pieces")
-    counts = written(
-        cut.groupBy("task", "length").agg(F.count("*").alias("held")), "pack-counts"
-    )
+    held, total = cut.groupBy("task", "length").agg(F.count("*").alias("held")), cut.count()
+    counts = written(few_tasks(held, total), "pack-counts")
     hist = np.zeros(capacity + 1, np.int64)
     for r in counts.groupBy("length").agg(F.sum("held").alias("n")).collect():
         hist[r["length"]] = r["n"]
@@ -268,7 +268,7 @@ def pack(
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return ranked.mapInArrow(
+    return few_tasks(ranked, total).mapInArrow(
         place,
         f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, "
         "sequence_id long, offset long, row_id long",

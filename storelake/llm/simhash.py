@@ -19,11 +19,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelake.llm.common import text_of, written
+from storelake.llm.common import few_tasks, text_of, written
 from storelake.llm.components import connected_components
 
 SHINGLE, SEED, NEAR = 3, 42, 2
 BLOCKS, BLOCK_BITS = 4, 16
+#: The pairs of blocks whose bits are a key of the table.
+TABLES = list(combinations(range(BLOCKS), 2))
 PIVOTS = 32
 #: Blocks of the table with more fingerprints than this take the exact way for the rest.
 MOST_IN_BLOCK = 512
@@ -156,7 +158,9 @@ def _block(i: int) -> Column:
     return F.shiftrightunsigned("fp", i * BLOCK_BITS).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1))
 
 
-def links(nodes: DataFrame, most_in_block: int = MOST_IN_BLOCK) -> DataFrame:
+def links(
+    nodes: DataFrame, most_in_block: int = MOST_IN_BLOCK, most_nodes: int | None = None
+) -> DataFrame:
     """Links (a, b) that join all fingerprints within NEAR bits; ``nodes`` are distinct.
 
     Not every near pair is a row: those of one table block come as a spanning forest.
@@ -169,10 +173,12 @@ def links(nodes: DataFrame, most_in_block: int = MOST_IN_BLOCK) -> DataFrame:
     table = written(pivot_table(nodes), "simhash-pivots")
     keys = [
         F.struct(F.lit(k).alias("k"), F.shiftleft(_block(i), BLOCK_BITS).bitwiseOR(_block(j)).alias("v"))
-        for k, (i, j) in enumerate(combinations(range(BLOCKS), 2))
+        for k, (i, j) in enumerate(TABLES)
     ]
     keyed = table.withColumn("key", F.explode(F.array(*keys)))
     counts = keyed.groupBy("key").agg(F.count("*").alias("held")).where("held > 1")
+    if most_nodes is not None:  # a block of two or more for every two rows of the table at most
+        counts = few_tasks(counts, len(keys) * most_nodes // 2)
     counts = written(counts, "simhash-blocks")
     small = keyed.join(counts.where(F.col("held") <= most_in_block), "key")
     blocks = small.groupBy("key").agg(F.collect_list(F.struct("fp", "coords")).alias("held"))
@@ -211,18 +217,22 @@ def links(nodes: DataFrame, most_in_block: int = MOST_IN_BLOCK) -> DataFrame:
     return sparse.unionByName(dense.where("a <> b").distinct())
 
 
-def _labelled(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, key, fp, component_id) of every row."""
+def _labelled(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
+    """(id, key, fp, component_id) of every row, and how many rows there are."""
     prints = written(fingerprints(docs, id_col, text_col), "simhash-prints")
-    nodes = written(prints.groupBy("fp").agg(F.min("id").alias("least")), "simhash-nodes")
-    roots = connected_components(links(nodes))
+    least = prints.groupBy("fp").agg(F.min("id").alias("least"))
+    rows = prints.count()
+    nodes = written(few_tasks(least, rows), "simhash-nodes")
+    held = nodes.count()
+    # The links of a block are a forest: fewer than its fingerprints, unless it is crowded.
+    roots = connected_components(links(nodes, most_nodes=held), len(TABLES) * held)
     rooted = nodes.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
-    rooted = written(rooted, "simhash-roots")
+    rooted = written(few_tasks(rooted, held), "simhash-roots")
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(smallest, "root").select(F.col("fp").alias("_fp"), "component_id")
-    return prints.join(named, F.col("fp") == F.col("_fp")).drop("_fp")
+    return prints.join(named, F.col("fp") == F.col("_fp")).drop("_fp"), rows
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -234,7 +244,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component of null ids only has a null component_id. Rows that repeat an id are rows
     of their own. Equal fingerprints are one node, so copies never become pairs.
     """
-    return _labelled(docs, id_col, text_col).select(
+    return _labelled(docs, id_col, text_col)[0].select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
@@ -249,22 +259,29 @@ def drop_near_copies(
     Rows that repeat an id within a component count as one document and stay or go
     together. A component of null ids only stays whole.
     """
-    return without_others(docs, _labelled(docs, id_col, text_col), id_col, text_col)
+    labelled, rows = _labelled(docs, id_col, text_col)
+    return without_others(docs, labelled, id_col, text_col, rows)
 
 
 def without_others(
-    docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    labelled: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    most_rows: int | None = None,
 ) -> DataFrame:
     """``docs`` without the rows of (id, key) whose component is named after another id.
 
     What goes is stored first: Spark then knows its size before it moves any text, and
     moves none where the ids are few enough to send to all tasks.
     """
-    away = written(
+    others = (
         labelled.where(~F.col("id").eqNullSafe(F.col("component_id")))
         .select(F.col("id").alias("_id"), F.col("key").alias("_key"))
-        .distinct(),
-        "simhash-away",
+        .distinct()
+    )
+    away = written(
+        others if most_rows is None else few_tasks(others, most_rows), "simhash-away"
     )
     names = docs.columns
     rows = docs.select(

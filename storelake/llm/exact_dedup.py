@@ -152,6 +152,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     repeated = (
         rows.where("_kept").groupBy("_of", "_sha").agg(F.first("_row").alias("_row")).select("_row")
     )
-    return few_tasks(once.unionByName(repeated), many, TEXTS_A_TASK).select(
+    # Not the union: its small partitions would put several large ones into one task.
+    return few_tasks(once, many, TEXTS_A_TASK).unionByName(repeated).select(
         *[F.col("_row").getField(c).alias(c) for c in names]
     )

@@ -199,7 +199,6 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int) -> Data
                 [b.column(0).take(pa.array(at)), *map(pa.array, columns, kinds)],
                 names=["doc_id", "row", "piece", "start", "length", "ids_crc32", "task", "rank"],
             )
-        coder.clear()  # the worker lives on, and other steps need its memory
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(

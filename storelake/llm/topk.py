@@ -1,14 +1,17 @@
 """Exact top-k inner-product search by a ball tree in every shard.
 
-Candidates are dealt by id hash to shards of bounded size, each with a ball tree. Query
+Candidates are dealt by row hash to shards of bounded size, each with a ball tree. Query
 rows are dealt to blocks of bounded size. A block first searches one home shard, whose
-kth scores it then takes along to all other shards, and shards that a task works on one
-after another hand the current kth scores on.
+kth scores it then takes along to all other shards. These it meets in tiles: some shards
+and some blocks, as many as a task's memory holds. The shards of a tile hand the current
+kth scores on. Vectors move as rows, once for each tile they are in; trees are planted
+where they are searched. No row grows with the tables, and no join is left to a size
+estimate, which would not see that a vector is in many tiles.
 """
 
 from __future__ import annotations
 
-import pickle
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -20,6 +23,8 @@ from storelake.llm.common import written
 
 LOW = np.iinfo(np.int64).min
 SHARD_ROWS, BLOCK_ROWS, LEAF_ROWS = 4096, 512, 64
+#: Bytes of the vectors that a tile has from its shards, and from its blocks; tiles a core.
+TILE_BYTES, TILES_A_CORE = 64 << 20, 4
 FOUND = ["query_row", "query_id", "vec_id", "score"]
 
 
@@ -68,65 +73,93 @@ class BallTree:
 
 
 class Search:
-    """Branch and bound for a block of queries; ``kth`` only ever rises."""
+    """Branch and bound for a block of queries, tree by tree; ``kth`` only ever rises."""
 
     def __init__(self, rows: np.ndarray, queries: np.ndarray, k: int, kth: np.ndarray):
         self.rows, self.queries, self.k, self.kth = rows, queries, k, kth.copy()
         self.norms = np.sqrt((queries**2).sum(axis=1))
         # Rounding: every product and sum below is of at most this relative size.
         self.slack = 1e-9 * (1.0 + self.norms)
+        self.best = np.full((len(rows), k), LOW)
+        self.best_ids = np.full((len(rows), k), np.iinfo(np.int64).max)
 
     def run(self, tree: BallTree) -> tuple[np.ndarray, np.ndarray]:
-        """(scores, ids) of the best k of this shard that may still count; LOW if none."""
-        n = len(self.rows)
+        """(scores, ids) of the best k of all trees so far that may still count; LOW if none."""
+        self.queries, points = _fit_width(self.queries, tree.points)
+        if points.shape[1] != tree.points.shape[1]:
+            centers = np.pad(tree.centers, ((0, 0), (0, points.shape[1] - tree.centers.shape[1])))
+            tree = replace(tree, points=points, centers=centers)
         self.tree = tree
-        self.best = np.full((n, self.k), LOW)
-        self.best_ids = np.full((n, self.k), np.iinfo(np.int64).max)
         # Whole numbers below 2**53 are exact in floating point; else count in integers.
         size = np.abs(tree.points).max(initial=0) * np.abs(self.queries).max(initial=0)
         self.exact = size * max(1, self.queries.shape[1]) < 2**53
-        if n and len(tree.ids):
-            self._visit(0, np.arange(n))
+        self.own = np.isin(self.rows, tree.rows).any()
+        every = np.arange(len(self.rows))
+        if len(every) and len(tree.ids):
+            self.bounds = self._bound(slice(None), every)
+            self.seen = np.full(len(every), -1)
+            self._descend(0, every)
+            self._visit(0, every)
         return self.best, self.best_ids
 
-    def _bound(self, node: int, q: np.ndarray) -> np.ndarray:
-        center, radius = self.tree.centers[node], self.tree.radii[node]
-        near = self.slack[q] * (1.0 + radius + np.sqrt((center**2).sum()))
-        return self.queries[q] @ center + self.norms[q] * radius + near
+    def _bound(self, node: int | slice, q: np.ndarray) -> np.ndarray:
+        """No score of a query with a point of the node is larger; of many nodes a column each."""
+        centers, radii = self.tree.centers[node], self.tree.radii[node]
+        size = 1.0 + radii + np.sqrt((centers**2).sum(axis=-1))
+        reach = np.multiply.outer(self.norms[q], radii) + np.multiply.outer(self.slack[q], size)
+        return self.queries[q] @ centers.T + reach
+
+    def _descend(self, node: int, q: np.ndarray) -> None:
+        """Each query to one leaf, by the child with the larger bound."""
+        a, b = self.tree.left[node], self.tree.right[node]
+        if a < 0:
+            go = q[self.bounds[q, node] >= self.kth[q]]
+            self.seen[go] = node
+            self._leaf(node, go)
+            return
+        a_first = self.bounds[q, a] >= self.bounds[q, b]
+        for child, go in ((a, q[a_first]), (b, q[~a_first])):
+            if len(go):
+                self._descend(child, go)
 
     def _visit(self, node: int, q: np.ndarray) -> None:
+        """All other leaves, each once for all queries that no bound keeps from it."""
+        # A bound equal to the kth score still counts, as a smaller id wins a tie.
+        q = q[self.bounds[q, node] >= self.kth[q]]
+        if not len(q):
+            return
         if self.tree.left[node] < 0:
-            self._leaf(node, q)
+            self._leaf(node, q[self.seen[q] != node])
             return
-        a, b = self.tree.left[node], self.tree.right[node]
-        in_a, in_b = self._bound(a, q), self._bound(b, q)
-        a_first = in_a >= in_b
-        # Each query goes first to the child with the larger bound. A bound equal to the
-        # kth score still counts, as a smaller id wins a tie.
-        for child, bound, turn in (
-            (a, in_a, a_first), (b, in_b, ~a_first), (b, in_b, a_first), (a, in_a, ~a_first),
-        ):
-            go = q[turn & (bound >= self.kth[q])]
-            if len(go):
-                self._visit(child, go)
+        self._visit(self.tree.left[node], q)
+        self._visit(self.tree.right[node], q)
 
     def _scores(self, q: np.ndarray, rows: slice) -> np.ndarray:
+        """Whole numbers, as doubles where these are exact."""
         points = self.tree.points[rows]
         if self.exact:
-            return np.rint(self.queries[q] @ points.T).astype(np.int64)
+            return self.queries[q] @ points.T
         wide = np.array([[int(x) for x in r] for r in self.queries[q]], object)
         products = wide @ np.array([[int(x) for x in r] for r in points], object).T
         return np.clip(products, LOW + 1, np.iinfo(np.int64).max).astype(np.int64)
 
     def _leaf(self, node: int, q: np.ndarray) -> None:
+        if not len(q):
+            return
         rows = slice(self.tree.first[node], self.tree.last[node])
-        ids = np.broadcast_to(self.tree.ids[rows], (len(q), rows.stop - rows.start))
         scores = self._scores(q, rows)
-        scores = np.where(self.tree.rows[rows][None, :] == self.rows[q][:, None], LOW, scores)
+        if self.own:
+            same = self.tree.rows[rows][None, :] == self.rows[q][:, None]
+            scores = np.where(same, scores.dtype.type(LOW), scores)
+        # Only a score that reaches the kth can change what is found; most leaves have none.
+        some = (scores >= self.kth[q][:, None]).any(axis=1)
+        q, scores = q[some], scores[some].astype(np.int64)
+        if not len(q):
+            return
+        ids = np.broadcast_to(self.tree.ids[rows], scores.shape)
         scores = np.concatenate([self.best[q], scores], axis=1)
         ids = np.concatenate([self.best_ids[q], ids], axis=1)
-        order = np.lexsort((ids, -(scores.astype(float)) if self.exact else ~scores), axis=1)
-        order = order[:, : self.k]
+        order = np.lexsort((ids, ~scores), axis=1)[:, : self.k]
         self.best[q] = np.take_along_axis(scores, order, 1)
         self.best_ids[q] = np.take_along_axis(ids, order, 1)
         low = self.best[q, -1]
@@ -179,18 +212,30 @@ def _fit_width(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (a, b))
 
 
-def _search(block: dict, tree: BallTree, k: int) -> tuple[dict, list[pa.Array]]:
-    queries, points = _fit_width(block["queries"], tree.points)
-    if points.shape[1] != tree.points.shape[1]:
-        centers = np.pad(tree.centers, ((0, 0), (0, points.shape[1] - tree.centers.shape[1])))
-        tree = replace(tree, points=points, centers=centers)
-    search = Search(block["rows"], queries, k, block["kth"])
-    scores, ids = search.run(tree)
-    floor = np.where(np.isfinite(block["kth"]), block["kth"], -np.inf)
-    keep = (scores != LOW) & (scores >= floor[:, None])
-    row, of = (np.repeat(block[x], k).reshape(scores.shape) for x in ("rows", "ids"))
-    found = [pa.array(x[keep], pa.int64()) for x in (row, of, ids, scores)]
-    return {**block, "kth": search.kth}, found
+def _parts(table: pa.Table, name: str) -> Iterator[tuple[int, pa.Table]]:
+    """The rows of each value of a column, by rising value."""
+    values = table[name].to_numpy()
+    order = np.argsort(values, kind="stable")
+    cuts = np.flatnonzero(np.diff(values[order])) + 1
+    for rows in np.split(order, cuts):
+        if len(rows):
+            yield int(values[rows[0]]), table.take(pa.array(rows))
+
+
+def _tree(shard: pa.Table) -> BallTree:
+    return BallTree.build(shard["vec_id"].to_numpy(), shard["row"].to_numpy(), _matrix(shard["v"]))
+
+
+def _found(search: Search, block: pa.Table) -> list[np.ndarray]:
+    """The columns of FOUND: what may still count of what a block has found."""
+    keep = (search.best != LOW) & (search.best >= block["kth"].to_numpy()[:, None])
+    at = np.nonzero(keep)[0]
+    rows, ids = (block[x].to_numpy()[at] for x in ("row", "vec_id"))
+    return [rows, ids, search.best_ids[keep], search.best[keep]]
+
+
+def _numbers(columns: list[np.ndarray], names: list[str]) -> pa.Table:
+    return pa.table([pa.array(c, pa.int64()) for c in columns], names=names)
 
 
 def top_k(
@@ -212,85 +257,85 @@ def top_k(
     """
     vectors = written(quantized(rows, vector), "topk-vectors")
     queries = vectors.where(is_query)
-    shards = max(1, -(-vectors.count() // shard_rows))
+    whole = vectors.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("width")).first()
+    shards = max(1, -(-whole["n"] // shard_rows))
     blocks = max(1, -(-queries.count() // block_rows))
+    each = 8 * max(1, whole["width"] or 0)
+    up = -(-blocks // max(1, TILE_BYTES // (block_rows * each)))
+    least = -(-shards // max(1, TILE_BYTES // (shard_rows * each)))
+    enough = TILES_A_CORE * rows.sparkSession.sparkContext.defaultParallelism
+    across = min(shards, max(least, -(-enough // up)))
 
     def deal(n: int) -> Column:
         return F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")
 
-    def plant(table: pa.Table) -> pa.Table:
-        ids, rows = table["vec_id"].to_numpy(), table["row"].to_numpy()
-        tree = BallTree.build(ids, rows, _matrix(table["v"]))
-        raw = pickle.dumps(tree, protocol=5)
-        return pa.table({"shard": pa.array([table["shard"][0].as_py()], pa.int32()), "tree": [raw]})
-
-    def bundle(table: pa.Table) -> pa.Table:
-        block = {
-            "block": table["block"][0].as_py(),
-            "ids": table["vec_id"].to_numpy(),
-            "rows": table["row"].to_numpy(),
-            "queries": _matrix(table["v"]),
-            "kth": np.full(table.num_rows, -np.inf),
-        }
-        return pa.table({"block": pa.array([block["block"]], pa.int32()), "body": [pickle.dumps(block)]})
-
-    trees = written(
-        vectors.withColumn("shard", deal(shards)).groupBy("shard").applyInArrow(
-            plant, "shard int, tree binary"
-        ),
-        "topk-trees",
-    )
-    bundles = queries.withColumn("block", deal(blocks)).groupBy("block").applyInArrow(
-        bundle, "block int, body binary"
-    )
-    # Home shards come from the trees that exist, so that every block has one.
-    home = written(
-        bundles.withColumn("shard", F.pmod(F.col("block"), F.lit(shards))), "topk-blocks"
-    )
-
-    def first(batches):
-        for b in batches:
-            for raw, tree in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                block, found = pickle.loads(raw), [pa.array([], pa.int64())] * 4
-                if tree is not None:
-                    block, found = _search(block, pickle.loads(tree), k)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([block["block"]], pa.int32()),
-                        pa.array([pickle.dumps(block)], pa.binary()),
-                        *[pa.array([x.to_pylist()], pa.list_(pa.int64())) for x in found],
-                    ],
-                    names=["block", "body", *FOUND],
-                )
+    def every(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    def first(left: pa.Table, right: pa.Table) -> pa.Table:
+        """The blocks at home in a shard, with kth scores and what they have found there."""
+        tree, parts = _tree(right) if left.num_rows and right.num_rows else None, []
+        for _, block in _parts(left, "block"):
+            search = Search(block["row"].to_numpy(), _matrix(block["v"]), k, block["kth"].to_numpy())
+            if tree is not None:
+                search.run(tree)
+            seen = search.best != LOW
+            ends = np.concatenate([[0], np.cumsum(seen.sum(axis=1))]).astype(np.int32)
+            lists = [
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(x[seen], pa.int64()))
+                for x in (search.best_ids, search.best)
+            ]
+            kth = block.schema.get_field_index("kth")
+            block = block.set_column(kth, "kth", pa.array(search.kth, pa.float64()))
+            parts.append(
+                block.select(["block", "row", "vec_id", "v", "kth"])
+                .append_column("ids", lists[0])
+                .append_column("scores", lists[1])
+            )
+        if parts:
+            return pa.concat_tables(parts)
+        none = left.select(["block", "row", "vec_id", "v", "kth"])
+        empty = pa.array([], pa.list_(pa.int64()))
+        return none.append_column("ids", empty).append_column("scores", empty)
+
+    def rest(left: pa.Table, right: pa.Table) -> pa.Table:
+        """What the blocks of a tile find in its shards, but for their home."""
+        out = [[np.zeros(0, np.int64)] * len(FOUND)]
+        trees = [(shard, _tree(part)) for shard, part in _parts(right, "shard")] if left.num_rows else []
+        for number, block in _parts(left, "block"):
+            search = Search(block["row"].to_numpy(), _matrix(block["v"]), k, block["kth"].to_numpy())
+            for shard, tree in trees:
+                if shard != number % shards:
+                    search.run(tree)
+            out.append(_found(search, block))
+        return _numbers([np.concatenate(c) for c in zip(*out, strict=True)], FOUND)
 
     started = written(
-        home.join(trees, "shard", "left")
-        .select("block", "body", "tree")
-        .mapInArrow(
+        queries.select("row", "vec_id", "v", deal(blocks).alias("block"))
+        .withColumns({"kth": F.lit(float("-inf")), "home": F.col("block") % shards})
+        .groupBy("home")
+        .cogroup(vectors.withColumn("home", deal(shards)).groupBy("home"))
+        .applyInArrow(
             first,
-            "block int, body binary, " + ", ".join(f"{c} array<long>" for c in FOUND),
+            "block int, row long, vec_id long, v array<double>, kth double, ids array<long>, "
+            "scores array<long>",
         ),
         "topk-home",
     )
-    visits = started.select(
-        "block", "body", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
-    ).where(F.col("shard") != F.pmod(F.col("block"), F.lit(shards)))
-
-    def rest(batches):
-        block, of = None, None
-        for b in batches:
-            for number, raw, tree in zip(*[b.column(i).to_pylist() for i in range(3)], strict=True):
-                if number != of:
-                    block, of = pickle.loads(raw), number
-                block, found = _search(block, pickle.loads(tree), k)
-                yield pa.RecordBatch.from_arrays(found, names=FOUND)
-
+    # A tile is a place in a grid: blocks by their number modulo ``up``, shards modulo ``across``.
+    asking = started.select("block", "row", "vec_id", "v", "kth", every(across).alias("x"))
+    asked = vectors.withColumn("shard", deal(shards)).select("*", every(up).alias("y"))
     later = (
-        visits.join(trees, "shard")
-        .select("block", "body", "tree")
-        .mapInArrow(rest, ", ".join(f"{c} long" for c in FOUND))
+        asking.withColumn("tile", F.col("block") % up * across + F.col("x"))
+        .groupBy("tile")
+        .cogroup(asked.withColumn("tile", F.col("y") * across + F.col("shard") % across).groupBy("tile"))
+        .applyInArrow(rest, ", ".join(f"{c} long" for c in FOUND))
     )
-    found = started.select(F.explode(F.arrays_zip(*FOUND)).alias("x")).select("x.*")
+    found = started.select(
+        F.col("row").alias("query_row"),
+        F.col("vec_id").alias("query_id"),
+        F.explode(F.arrays_zip("ids", "scores")).alias("x"),
+    ).select("query_row", "query_id", F.col("x.ids").alias("vec_id"), F.col("x.scores").alias("score"))
     best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return (
         found.unionByName(later)

@@ -75,3 +75,28 @@ def test_bounds_hold():
         inside = tree.points[tree.first[node] : tree.last[node]]
         bound = search._bound(node, np.arange(20))
         assert (bound >= (queries @ inside.T).max(axis=1)).all()
+
+
+def test_vectors_move_as_rows_in_bounded_tiles(spark, monkeypatch):
+    """No join is left to a size estimate, and several blocks and shards meet in many tiles."""
+    monkeypatch.setattr(topk, "TILE_BYTES", 2 << 10, raising=False)
+    rng = np.random.default_rng(2)
+    vectors = [(i, (rng.normal(size=4) / 3).tolist()) for i in range(600)] + [(50, [0.5] * 3)] * 2
+    found = topk.top_k(table(spark, vectors), F.col("vec_id") % 50 == 0, shard_rows=30, block_rows=2)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Join" not in plan and "FlatMapCoGroupsInArrow" in plan
+    assert sorted(tuple(r) for r in found.collect()) == brute(vectors)
+
+
+def test_a_leaf_is_visited_once_for_all_queries(monkeypatch):
+    rng = np.random.default_rng(3)
+    points = np.floor(rng.normal(size=(512, 32)) * 256)
+    tree = topk.BallTree.build(np.arange(512), np.arange(512), points, leaf=16)
+    visits, leaf = [], topk.Search._leaf
+    monkeypatch.setattr(topk.Search, "_leaf", lambda s, node, q: visits.append(node) or leaf(s, node, q))
+    queries = np.floor(rng.normal(size=(64, 32)) * 256)
+    scores, ids = topk.Search(np.arange(1000, 1064), queries, 5, np.full(64, -np.inf)).run(tree)
+    assert len(visits) <= 2 * tree.left.count(-1)
+    products = queries @ points.T
+    assert (scores == -np.sort(-products, axis=1)[:, :5]).all()
+    assert (np.take_along_axis(products, ids, 1) == scores).all()

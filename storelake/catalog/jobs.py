@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from storelake import schemas
 from storelake.operators import cleaning
 from storelake.plans import analytics, dims, facts, gold, iot, rollups
-from storelake.session import new_folder
+from storelake.session import TIDY, new_folder, settings
 from storelake.sources import batches, buckets, landing, tables, testbed
 from storelake.streaming import buffer, distinct, ingest, ledger, orders, rollup
 from storelake.streaming import stores as store_job
@@ -532,7 +532,8 @@ def _(j: Job):
     Stored are the first arrivals, lines that come again when they are forgotten, and
     nothing of the last drop, which is older than the watermark.
     """
-    lines = tables.write_table(j.pos, j.at("lines"))  # the base tables are joined once
+    with settings(j.spark, TIDY):
+        lines = tables.write_table(j.pos, j.at("lines"))  # the base tables are joined once
     part = F.col("transaction_id").cast("bigint") % 4
     drops = (
         ("08:00", part < 2),  # half of the lines
@@ -549,6 +550,7 @@ def _(j: Job):
             schemas.POS_COLUMNS,
         )
         query.awaitTermination()
+        batches.delete(j.spark, j.at("bronze"))  # the stream has taken the drop
         late += distinct.late_rows(query)
     return j.spark.read.parquet(j.at("silver")).select("*", F.lit(late).cast("long").alias("rows_late"))
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storelake.session import settings
+from storelake.session import TIDY, settings
 
 BATCH, PART = "batch", "_part"
 # Fixed value: files that a task may have open; with more partitions it sorts its rows.
@@ -29,6 +29,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """A folder that no later step reads goes."""
+    fs, where = _files(spark, path)
+    fs.delete(where, True)
+
+
 def stored_bytes(spark: SparkSession, path: str) -> int:
     """Bytes of a file, or of all files of a folder."""
     fs, where = _files(spark, path)
@@ -91,13 +97,14 @@ def write_parts(
     """Stores the rows of each condition in a folder of its own, all in one pass; the folders.
 
     Rows of no condition are left out; a condition without rows gets a file without any. Each
-    task has a file open for each part that it meets.
+    task has a file open for each part that it meets. The shuffle files behind ``df`` go with
+    the write.
     """
     number = F.lit(None).cast("int")
     for n, part in reversed(list(enumerate(parts))):
         number = F.when(part, n).otherwise(number)
     spark = df.sparkSession
-    with settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": OPEN_FILES}):
+    with settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": OPEN_FILES, **TIDY}):
         numbered = df.withColumn(PART, number).where(F.col(PART).isNotNull())
         numbered.write.partitionBy(PART).options(**options).format(fmt).save(path)
     folders = [f"{path}/{PART}={n}" for n in range(len(parts))]

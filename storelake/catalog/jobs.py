@@ -53,15 +53,27 @@ class Job:
         schema = schemas.erp_orders_schema().add("load_ts", "timestamp_ntz")
         return tables.conform(testbed.erp_orders(self.spark, self.sf_dir), schema)
 
-    def landed(self, df: DataFrame, parts: list[Column], dst: str, csv: bool = False) -> Iterator[str]:
-        """The rows of each condition as files in ``dst``, one after another.
+    def landed(
+        self, df: DataFrame, parts: list[Column], dst: str | list[str], csv: bool = False
+    ) -> Iterator[str]:
+        """The rows of each condition as files in ``dst``, or each in a folder of its own, one
+        after another.
 
         They are stored in one pass, so that what ``df`` is derived from is read and joined once.
+        CSV files take several times the bytes, so they are written from the stored rows when
+        their turn comes, and the stored rows go.
         """
-        fmt, options = ("csv", POS_CSV) if csv else ("parquet", {})
-        for part in batches.write_parts(df, parts, new_folder(self.spark, "drops"), fmt, options):
-            batches.land_files(self.spark, part, dst)
-            yield dst
+        folders = [dst] * len(parts) if isinstance(dst, str) else dst
+        stored = batches.write_parts(df, parts, new_folder(self.spark, "drops"), "parquet", {})
+        for part, folder in zip(stored, folders, strict=True):
+            files = part
+            if csv:
+                files = f"{new_folder(self.spark, 'csv')}/{part.rsplit('/', 1)[-1]}"
+                rows = self.spark.read.schema(df.schema).parquet(part)
+                rows.write.options(**POS_CSV).csv(files)
+                batches.delete(self.spark, part)
+            batches.land_files(self.spark, files, folder)
+            yield folder
 
     def drops(self, df: DataFrame, day: str) -> tuple[DataFrame, DataFrame]:
         first = F.col(day) <= F.lit(FIRST_DROP).cast("date")
@@ -231,6 +243,7 @@ def _ingest_pos(j: Job) -> str:
         j.spark, src, "csv", schema, j.at("bronze"), j.at("ckpt"), landing.POS_FILES
     )
     idle.awaitTermination()
+    batches.delete(j.spark, src)  # all of it is in bronze, and no later step reads it
     return j.at("bronze")
 
 

@@ -6,11 +6,35 @@ import datetime as dt
 import math
 import time
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from storelake.catalog.jobs import JOBS
+from storelake.sources import batches, testbed
 from storelake.streaming import distinct
 
+DAYS = [dt.datetime(1997, 5, 1), dt.datetime(1998, 8, 1)]
+ROWS = {
+    "region": [(0, "ASIA"), (1, "EUROPE")],
+    "nation": [(n, f"N{n}", n % 2) for n in range(4)],
+    "customer": [(c, f"C{c}", c % 4, 1.0, "S") for c in range(6)],
+    "supplier": [(1, "s", 1, 1.0)],
+    "part": [(p, f"part {p}", "B", "SMALL TIN", 5, 10.0) for p in range(5)],
+    "orders": [(o, o % 6, "O", 9.0, DAYS[o % 2], "1-URGENT") for o in range(40)],
+    "lineitem": [
+        (o, o % 5, 1, n, 2.0 + n, 100.0 + o, 0.05, 0.0, "N", "O", DAYS[o % 2]) for o in range(40) for n in (1, 2)
+    ],
+}
+
+
+@pytest.fixture
+def sf_dir(spark, tmp_path):
+    for name, given in ROWS.items():
+        spark.createDataFrame(given, testbed.TABLES[name]).write.parquet(f"{tmp_path}/sf/{name}.parquet")
+    return f"{tmp_path}/sf"
+
+
 def shuffle_files(spark) -> int:
     files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
     return sum(files.apply(n).getName().startswith("shuffle_") for n in range(files.size()))
@@ -25,6 +49,35 @@ def settled(spark, before: int) -> bool:
     return False
 
 
+@pytest.mark.parametrize(("name", "landing_goes"), [("append_only_stream", True)])
+def test_csv_drops_are_written_in_turn_from_lines_stored_once(
+    spark, monkeypatch, sf_dir, name, landing_goes
+):
+    """The first drop is loaded before the second is text, and a landed part's rows are gone."""
+    folders, bytes_of, places, real_parts, real_land = [], [], [], batches.write_parts, batches.land_files
+
+    def parts(*args):
+        before = shuffle_files(spark)
+        folders.extend(real_parts(*args))
+        assert settled(spark, before)
+        return folders
+
+    def land(session, src, dst):
+        real_land(session, src, dst)
+        places.append(dst)
+        bytes_of.append([batches.path_exists(session, f) for f in folders])
+
+    monkeypatch.setattr(batches, "write_parts", parts)
+    monkeypatch.setattr(batches, "land_files", land)
+    stored = JOBS[name](spark, sf_dir)
+    assert bytes_of == [[False, True], [False, False]]
+    assert [batches.path_exists(spark, p) for p in places] == [not landing_goes] * 2
+    if name == "load_audit":
+        assert [tuple(r) for r in stored.collect()] == [("pos_transactions", 0, 80, 0)]
+    else:
+        assert stored.count() == 80
+
+
 KEYS = "a double, b float, c string, load_ts timestamp_ntz"
 
 

@@ -322,14 +322,18 @@ def _(j: Job):
 
 def _ledger(j: Job) -> DataFrame:
     """Loads both drops, then reads all files again from a fresh checkpoint."""
-    for n, drop in enumerate([*j.drops(j.pos, "transaction_date"), None]):
-        if drop is not None:
-            j.pos_csv(drop, j.at(f"landing/{ODD}" if n else "landing"))
-        ckpt = j.at("first") if n < 2 else j.at("second")
+
+    def load(ckpt: str) -> None:
         ledger.ingest_with_ledger(
             j.spark, j.at("landing"), "csv", schemas.pos_schema(), "pos_transactions",
-            j.at("bronze"), j.at("ledger"), ckpt, landing.POS_FILES,
+            j.at("bronze"), j.at("ledger"), j.at(ckpt), landing.POS_FILES,
         ).awaitTermination()
+
+    first = F.col("transaction_date") <= F.lit(FIRST_DROP).cast("date")
+    folders = [j.at("landing/pos"), j.at(f"landing/{ODD}/pos")]
+    for _drop in j.landed(j.pos, [first, ~first], folders, csv=True):
+        load("first")
+    load("second")
     return ledger.read_ledger(j.spark, j.at("ledger"))
 
 

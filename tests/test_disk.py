@@ -49,7 +49,7 @@ def settled(spark, before: int) -> bool:
     return False
 
 
-@pytest.mark.parametrize(("name", "landing_goes"), [("append_only_stream", True)])
+@pytest.mark.parametrize(("name", "landing_goes"), [("append_only_stream", True), ("load_audit", False)])
 def test_csv_drops_are_written_in_turn_from_lines_stored_once(
     spark, monkeypatch, sf_dir, name, landing_goes
 ):
